@@ -28,13 +28,13 @@ def category_index_wide(spark, folder):
 
 
 def one_hot_long(spark, folder):
-    df = cases(spark, folder).select("case_id", *CATEGORIES)
+    df = written(cases(spark, folder).select("case_id", *CATEGORIES), "categories")
     index = written(frequency.category_index(frequency.value_counts(df, CATEGORIES)), "index")
     return frequency.one_hot_slots(df, ["case_id"], index, CATEGORIES)
 
 
 def string_indexer_stage(spark, folder):
-    df = cases(spark, folder).select("case_id", *CATEGORIES).na.drop()
+    df = written(cases(spark, folder).select("case_id", *CATEGORIES).na.drop(), "categories")
     out = [f"si_{c}" for c in CATEGORIES]
     model = StringIndexer(inputCols=CATEGORIES, outputCols=out, handleInvalid="keep").fit(df)
     return model.transform(df).select("case_id", *[F.col(c).cast("long").alias(c) for c in out])
@@ -42,7 +42,7 @@ def string_indexer_stage(spark, folder):
 
 def one_hot_stage(spark, folder):
     """One-hot vectors with dropped last category, as ``key, slot`` pairs."""
-    df = cases(spark, folder).select("case_id", "segment").na.drop()
+    df = written(cases(spark, folder).select("case_id", "segment").na.drop(), "segments")
     stages = [
         StringIndexer(inputCol="segment", outputCol="si_segment"),
         OneHotEncoder(inputCols=["si_segment"], outputCols=["tf_segment"]),
@@ -53,7 +53,7 @@ def one_hot_stage(spark, folder):
 
 
 def _frequency_encode(spark, folder, how):
-    df = cases(spark, folder).select("case_id", "segment")
+    df = written(cases(spark, folder).select("case_id", "segment"), "segments")
     table = written(frequency.frequency_table(df, "segment", "segment_count"), "frequencies")
     return frequency.frequency_encode(df, "segment", table, "segment_count", how)
 

@@ -100,7 +100,7 @@ def json_scan_inferred(spark, folder):
 
 
 def json_quarantine(spark, folder):
-    return landing.bad_payloads(landing.scan_json(spark, _landed(spark, folder), EVENT))
+    return landing.bad_lines(landing.scan_lines(spark, _landed(spark, folder), EVENT))
 
 
 def json_good_rows(spark, folder):

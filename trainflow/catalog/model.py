@@ -21,7 +21,7 @@ from trainflow.plans import features, flow, scoring
 from trainflow.sources.registry import ModelRegistry
 from trainflow.spec import MIN_F1_GAIN, RunPaths
 from trainflow.streaming import stream_score as start_scoring
-from trainflow.workspace import new_folder
+from trainflow.workspace import new_folder, written
 
 MODEL_KEY = "cases"
 
@@ -116,24 +116,27 @@ def _paths(spark, run_id="first", root=None):
 
 def validated_cases(spark, folder):
     """The validation stage: accepted rows with their part."""
-    rows, _ = flow.validate(cases(spark, folder), CASE_SPEC, _paths(spark))
+    rows, _ = flow.validate(written(cases(spark, folder), "cases"), CASE_SPEC, _paths(spark))
     return rows.select("case_id", "priority", "outcome", "split")
 
 
 def feature_pipeline(spark, folder):
     """Feature vectors of labelled documents, fitted on the train part only."""
-    marked = with_split(labelled_documents(spark, folder), DOCUMENT_SPEC.key, DOCUMENT_SPEC.test_percent)
+    marked = with_split(
+        written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC.key, DOCUMENT_SPEC.test_percent
+    )
     model, routed = features.fit_features(marked.where(F.col("split") == TRAIN), DOCUMENT_SPEC)
     return model.transform(marked).select("doc_id", "split", routed.features)
 
 
 def stage_report(spark, folder):
-    model, _ = features.fit_features(labelled_documents(spark, folder), DOCUMENT_SPEC)
+    model, _ = features.fit_features(written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC)
     return features.stage_report(spark, model)
 
 
 def _train(spark, folder, paths, version=1):
-    return flow.run_training(cases(spark, folder), CASE_SPEC, paths, MODEL_KEY, version=version)
+    """Training reads a stored table, as it does behind an ingest."""
+    return flow.run_training(written(cases(spark, folder), "cases"), CASE_SPEC, paths, MODEL_KEY, version=version)
 
 
 def train_metrics(spark, folder):
@@ -165,7 +168,8 @@ def retrain_gate(spark, folder):
 
 def document_metrics(spark, folder):
     """Training on whole texts with quality as target."""
-    report = flow.run_training(labelled_documents(spark, folder), DOCUMENT_SPEC, _paths(spark), "documents", version=1)
+    documents = written(labelled_documents(spark, folder), "documents")
+    report = flow.run_training(documents, DOCUMENT_SPEC, _paths(spark), "documents", version=1)
     rows = [(part, name, value) for part, values in report.metrics.items() for name, value in values.items()]
     return spark.createDataFrame(rows, "split string, metric string, value double")
 
@@ -215,7 +219,7 @@ def stream_score(spark, folder):
 
 def held_out_cases(spark, folder):
     """Rows the gate may look at: known target, test part."""
-    rows, _ = flow.validate(cases(spark, folder), CASE_SPEC, _paths(spark))
+    rows, _ = flow.validate(written(cases(spark, folder), "cases"), CASE_SPEC, _paths(spark))
     return rows.where(F.col("split") == TEST).select("case_id", "outcome")
 
 

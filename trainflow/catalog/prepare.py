@@ -11,6 +11,7 @@ from trainflow.functions import elapsed_days as days_between
 from trainflow.operators import frequency, scaling, splits
 from trainflow.operators.stages import ConstantFiller, ElapsedDays, ModeImputer
 from trainflow.spec import TEST_PERCENT
+from trainflow.workspace import written
 
 CATEGORIES = ["priority", "segment", "channel"]
 MODES = [f"im_{c}" for c in CATEGORIES]
@@ -38,7 +39,13 @@ def elapsed_days_from_text(spark, folder):
 
 
 def _with_days(spark, folder):
-    return cases(spark, folder).select("case_id", days_between("sent_at", "opened_at").alias("diff_in_days"))
+    """Stored, as fitting and filling both read it."""
+    days = days_between("sent_at", "opened_at").alias("diff_in_days")
+    return written(cases(spark, folder).select("case_id", days), "days")
+
+
+def _categories(spark, folder):
+    return written(cases(spark, folder).select("case_id", *CATEGORIES), "categories")
 
 
 def mean_impute(spark, folder):
@@ -54,13 +61,13 @@ def mean_impute_stage(spark, folder):
 
 
 def mode_impute(spark, folder):
-    df = cases(spark, folder).select("case_id", *CATEGORIES)
+    df = _categories(spark, folder)
     filled = frequency.fill_with(df, frequency.mode_values(df, CATEGORIES))
     return filled.select("case_id", *MODES)
 
 
 def mode_impute_stage(spark, folder):
-    df = cases(spark, folder).select("case_id", *CATEGORIES)
+    df = _categories(spark, folder)
     return ModeImputer(inputCols=CATEGORIES, outputCols=MODES).fit(df).transform(df).select("case_id", *MODES)
 
 

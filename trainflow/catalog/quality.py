@@ -8,6 +8,7 @@ from trainflow.catalog.tables import CASE_COLUMNS, CASE_SPEC, CASES, cases, load
 from trainflow.operators import frequency, quality
 from trainflow.operators.quality import known_target
 from trainflow.spec import MAX_MISSING_PERCENT
+from trainflow.workspace import written
 
 CATEGORIES = list(CASE_SPEC.categorical)
 REQUIRED = [*CASE_SPEC.required_columns, "narrative"]
@@ -85,13 +86,13 @@ def rows_with_verdict(spark, folder):
 
 
 def rejected_columns(spark, folder):
-    df = cases(spark, folder)
+    df = written(cases(spark, folder), "cases")
     unwanted = quality.unwanted_columns(df, MAX_MISSING_PERCENT, CASE_SPEC.always_drop, CASE_SPEC.key)
     return quality.split_columns(df, unwanted, CASE_SPEC.key)[1]
 
 
 def kept_columns(spark, folder):
-    df = cases(spark, folder)
+    df = written(cases(spark, folder), "cases")
     unwanted = quality.unwanted_columns(df, MAX_MISSING_PERCENT, CASE_SPEC.always_drop, CASE_SPEC.key)
     return quality.split_columns(df, unwanted, CASE_SPEC.key)[0]
 

@@ -111,9 +111,8 @@ def check_required(df: DataFrame, required: Sequence[str]) -> None:
 def required_column_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row per required column: is it there, and how many values are filled."""
     present = [c for c in required if c in df.columns]
-    counted = df.agg(*[F.count(quoted(c)).alias(f"filled_{i}") for i, c in enumerate(present)])
-    if not present:
-        counted = df.agg(F.count(F.lit(1)).alias("total_row"))
+    counts = [F.count(quoted(c)).alias(f"filled_{i}") for i, c in enumerate(present)]
+    counted = df.agg(F.count(F.lit(1)).alias("total_row"), *counts)
     filled = {c: F.col(f"filled_{i}") for i, c in enumerate(present)}
     entries = [
         F.struct(

@@ -83,7 +83,6 @@ def rejected(spark: SparkSession, paths: RunPaths) -> DataFrame:
 def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
     """Fit features on the train part, write the vectors of both parts in one pass."""
     model, routed = fit_features(df.where(F.col(SPLIT) == TRAIN), spec)
-    model.write().overwrite().save(paths.feature_model)
     vectors = model.transform(df).select(*routed.key, routed.features, routed.target, SPLIT)
     replace(vectors, paths.transformed, [SPLIT])
     return model, routed, read_table(df.sparkSession, paths.transformed)
@@ -92,7 +91,10 @@ def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[Pipeline
 def train(
     vectors: DataFrame, spec: FeatureSpec, features: PipelineModel, paths: RunPaths
 ) -> tuple[PipelineModel, dict[str, dict[str, float]]]:
-    """Fit labels and classifier on the train part, measure both parts, save the joined model."""
+    """Fit labels and classifier on the train part, measure both parts, save the joined model.
+
+    The saved model holds all feature stages too, so it is the only copy a run writes.
+    """
     train_part = vectors.where(F.col(SPLIT) == TRAIN)
     labels = fit_labels(train_part, spec)
     labels.write().overwrite().save(paths.label_indexer)
@@ -126,5 +128,6 @@ def run_training(
     verdict = evaluate(held_out, routed, model, champion, min_gain, min_f1)
     EvaluationLog(spark, paths.evaluations).insert(paths.run_id, verdict, paths.trained_model, best_path)
 
-    registered = registry.register(model, model_key, verdict.f1_challenger, version) if verdict.accepted else None
-    return TrainingReport(paths.run_id, dropped, metrics, verdict, registered)
+    if verdict.accepted:
+        registry.list_saved(paths.trained_model, model_key, verdict.f1_challenger, version)
+    return TrainingReport(paths.run_id, dropped, metrics, verdict, paths.trained_model if verdict.accepted else None)

@@ -60,8 +60,22 @@ def good_payloads(df: DataFrame) -> DataFrame:
     return df.where(parsed()).drop(CORRUPT)
 
 
+def scan_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """Landing files line by line: the text as ``payload`` and what it parses to as ``record``.
+
+    Spark reads no column but ``_corrupt_record`` from JSON files; this scan lists bad lines directly.
+    """
+    return parse_json(spark.read.text(path).withColumnRenamed("value", "payload"), "payload", record)
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """Lines that do not parse, with a reason."""
+    broken = ~parsed(F.col("record")[CORRUPT])
+    return lines.where(broken).select("payload", F.lit(BAD_PAYLOAD).alias(ERROR_COLUMN))
+
+
 def bad_payloads(df: DataFrame) -> DataFrame:
-    """Texts that do not parse, with a reason."""
+    """Texts of a stored scan that did not parse, with a reason."""
     return df.where(~parsed()).select(F.col(CORRUPT).alias("payload"), F.lit(BAD_PAYLOAD).alias(ERROR_COLUMN))
 
 

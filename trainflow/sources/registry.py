@@ -14,8 +14,12 @@ from trainflow.sources.tables import append, read_if_present
 COLUMNS = "model_key string, version long, path string, f1 double, created_ts timestamp"
 
 
+def _now() -> int:
+    return int(time.time() * 1000)
+
+
 class ModelRegistry:
-    """Models under ``<models>/<key>/saved_models/<version>/model``, listed in a Parquet table.
+    """Saved models, listed in a Parquet table with one row per version.
 
     A model is saved before its row is appended, so a listed model is always complete.
     """
@@ -27,10 +31,16 @@ class ModelRegistry:
         self._loaded: tuple[str, PipelineModel] | None = None
 
     def register(self, model: PipelineModel, key: str, f1: float | None = None, version: int | None = None) -> str:
-        """Save a model as a new version and return its path."""
-        version = int(time.time() * 1000) if version is None else version
+        """Save a model as a new version under ``<models>/<key>/saved_models/`` and return its path."""
+        version = _now() if version is None else version
         path = f"{self.models}/{key}/saved_models/{version}/model"
         model.write().overwrite().save(path)
+        self.list_saved(path, key, f1, version)
+        return path
+
+    def list_saved(self, path: str, key: str, f1: float | None = None, version: int | None = None) -> None:
+        """Make a model saved elsewhere, such as in a run's folder, a new version without copying it."""
+        version = _now() if version is None else version
         row = self.spark.range(1).select(
             F.lit(key).alias("model_key"),
             F.lit(version).cast("long").alias("version"),
@@ -39,7 +49,6 @@ class ModelRegistry:
             F.current_timestamp().alias("created_ts"),
         )
         append(row.coalesce(1), self.table)
-        return path
 
     def all_versions(self) -> DataFrame:
         found = read_if_present(self.spark, self.table)

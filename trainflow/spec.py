@@ -159,18 +159,10 @@ class RunPaths:
     def rejected_columns(self) -> str:
         return self._in_run("rejected", "columns")
 
-    @property
-    def feature_model(self) -> str:
-        return self._in_run("feature_model")
-
     @property
     def transformed(self) -> str:
         return self._in_run("transformed")
 
-    @property
-    def scored_sample(self) -> str:
-        return self._in_run("scored")
-
     @property
     def label_indexer(self) -> str:
         return self._in_run("label_indexer")
