@@ -34,7 +34,9 @@ def test_tf_idf_against_brute_force(spark, documents):
     frequencies = text.document_frequency(documents, "t")
     df = Counter(w for _, t in TEXTS for w in set(words(t)))
     assert {r.term: r.df for r in frequencies.collect()} == df
-    found = {(r.k, r.term): r.tfidf for r in text.tf_idf(documents, ["k"], "t", frequencies, len(TEXTS)).collect()}
+    counts = text.term_counts(documents, ["k"], "t")
+    assert {r.term: r.df for r in text.counted_frequency(counts).collect()} == df
+    found = {(r.k, r.term): r.tfidf for r in text.tf_idf(counts, ["k"], frequencies, len(TEXTS)).collect()}
     expected = {
         (k, w): n * math.log((len(TEXTS) + 1) / (df[w] + 1)) for k, t in TEXTS for w, n in Counter(words(t)).items()
     }

@@ -89,19 +89,21 @@ def idf_weights(spark, folder):
     return text.document_frequency(documents, "text").select("term", F.round(weight, 6).alias("idf"))
 
 
-def tfidf(spark, folder):
-    documents = load(spark, folder, "documents")
-    frequencies = written(text.document_frequency(documents, "text"), "terms")
-    weights = text.tf_idf(documents, ["doc_id"], "text", frequencies, documents.count())
+def _tf_idf(documents, key, column):
+    """Texts are split once: the term counts are stored, and so are the word weights made from them."""
+    counts = written(text.term_counts(documents, [key], column), "counts")
+    frequencies = written(text.counted_frequency(counts), "terms")
+    weights = text.tf_idf(counts, [key], frequencies, documents.count())
     return weights.withColumn("tfidf", F.round("tfidf", 6))
 
 
+def tfidf(spark, folder):
+    return _tf_idf(load(spark, folder, "documents"), "doc_id", "text")
+
+
 def tfidf_subjects(spark, folder):
     """Short texts: the words of part names."""
-    parts = load(spark, folder, "part")
-    frequencies = written(text.document_frequency(parts, "p_name"), "terms")
-    weights = text.tf_idf(parts, ["p_partkey"], "p_name", frequencies, parts.count())
-    return weights.withColumn("tfidf", F.round("tfidf", 6))
+    return _tf_idf(load(spark, folder, "part"), "p_partkey", "p_name")
 
 
 def hashed_terms_digest(spark, folder):
@@ -116,7 +118,8 @@ def hashed_tfidf_stage(spark, folder):
         IDF(inputCol="rawFeatures", outputCol="tf_text"),
     ]
     model = Pipeline(stages=stages).fit(documents)
-    return model.transform(documents).select("doc_id", F.size("words").alias("n_words"), vector_to_array("tf_text").alias("tf_text"))
+    weights = vector_to_array("tf_text").alias("tf_text")
+    return model.transform(documents).select("doc_id", F.size("words").alias("n_words"), weights)
 
 
 def tokenizer_stage(spark, folder):

@@ -10,4 +10,4 @@ def tokens(text: Column | str) -> Column:
     """Lower-case words of a text, split on white space, empty words left out; null has none."""
     text = F.col(text) if isinstance(text, str) else text
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s")
-    return F.filter(words, lambda w: w != "")
+    return F.array_remove(words, "")

@@ -87,14 +87,13 @@ def category_index(counts: DataFrame) -> DataFrame:
 def one_hot_slots(df: DataFrame, key: Sequence[str], index: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long one-hot form ``key, column, slot``; the last category of a column has no slot."""
     cells = [F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
-    rows = df.select(*key, F.explode(F.array(*cells)).alias("cell")).select(
-        *key, "cell.column", F.to_json("cell").alias("cell")
-    )
+    cell = F.concat("column", F.lit("\u0000"), "value").alias("cell")
+    rows = df.select(*key, F.explode(F.array(*cells)).alias("c")).select(*key, "c.*").select(*key, "column", cell)
     last = index.groupBy("column").agg(F.max("idx").alias("last"))
     slots = (
         index.join(last, "column")
         .where(F.col("idx") < F.col("last"))
-        .select(F.to_json(F.struct("column", "value")).alias("cell"), F.col("idx").alias("slot"), "cnt")
+        .select(cell, F.col("idx").alias("slot"), "cnt")
     )
     return lookup(rows, "cell", slots, "cell", ["slot"], "cnt", how="inner").select(*key, "column", "slot")
 

@@ -27,15 +27,23 @@ def document_frequency(df: DataFrame, text: str) -> DataFrame:
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def counted_frequency(counts: DataFrame) -> DataFrame:
+    """The same from term counts, without splitting the texts again."""
+    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def inverse_frequency(documents: int, df: Column, min_doc_freq: int = 0) -> Column:
     """``ln((documents + 1) / (df + 1))``; 0 for words in fewer than ``min_doc_freq`` texts."""
     weight = F.log((F.lit(float(documents)) + 1.0) / (df.cast("double") + 1.0))
     return F.when(df >= min_doc_freq, weight).otherwise(F.lit(0.0))
 
 
-def tf_idf(df: DataFrame, key: Sequence[str], text: str, frequency: DataFrame, documents: int) -> DataFrame:
-    """``key, term, tfidf`` over the exact vocabulary; words outside ``frequency`` are left out."""
-    counted = lookup(term_counts(df, key, text), "term", frequency, "term", ["df"], "df", how="inner")
+def tf_idf(counts: DataFrame, key: Sequence[str], frequency: DataFrame, documents: int) -> DataFrame:
+    """``key, term, tfidf`` over the exact vocabulary; words outside ``frequency`` are left out.
+
+    ``counts`` are the term counts of the texts, ``frequency`` that of the ``documents`` learnt from.
+    """
+    counted = lookup(counts, "term", frequency, "term", ["df"], "df", how="inner")
     weight = F.col("tf").cast("double") * inverse_frequency(documents, F.col("df"))
     return counted.select(*key, "term", weight.alias("tfidf"))
 
