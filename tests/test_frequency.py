@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -87,15 +88,21 @@ def test_frequency_encoding_is_the_same_on_every_path(spark, sizes):
     assert {r.k: r.n for r in inner.collect()} == known
 
 
-def test_hot_keys_are_few_and_leave_the_shuffle(spark, monkeypatch):
+def test_answered_rows_are_spread_over_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(lookup, "HOT_PARTS", 5)
     rows = spark.range(300).selectExpr("id", "CASE WHEN id < 100 THEN 'hot' ELSE cast(id as string) END AS c")
     table = written(frequency.frequency_table(rows, "c", "n"), "frequencies")
-    plan = frequency.frequency_encode(rows, "c", table, "n")._jdf.queryExecution().toString()
-    assert "Broadcast" in plan and "__salt" in plan
     size = lookup.table_size(table, "value", "n")
     assert (size.rows, size.weight) == (201, 300)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        encoded = frequency.frequency_encode(rows, "c", table, "n")
+        plan = encoded._jdf.queryExecution().toString()
+        assert re.search(r"hashpartitioning\(__open#\d+, __salt#\d+", plan)
+        assert {r.c: r.n for r in encoded.where("id < 101").collect()} == {"hot": 100, "100": 1}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_lookup_rejects_other_joins(spark):

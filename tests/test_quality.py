@@ -69,3 +69,9 @@ def test_column_profile_counts_null_as_a_value(spark, exact):
 def test_null_counts_in_one_row(spark):
     df = spark.createDataFrame([("a", None), (None, None)], "s string, n int")
     assert quality.null_counts(df).first().asDict() == {"s": 1, "n": 2}
+
+
+def test_column_profile_tells_long_texts_apart(spark):
+    long = "x" * 1000
+    df = spark.createDataFrame([(long + "a",), (long + "b",), (long + "a",), ("x",)], "t string")
+    assert quality.column_profile(df).first().n_unique == 3

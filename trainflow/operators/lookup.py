@@ -70,8 +70,10 @@ def lookup(
         F.octet_length(F.col(table_key).cast("string")) <= HOT_KEY_BYTES
     )
     hot = table.where(is_hot).select(F.col(table_key).alias("__hot"), *renamed)
+    # Always 0, but not a literal: the optimizer would fold that into a filter and shuffle by key alone.
+    zero = F.pmod(F.xxhash64(table_key), F.lit(1)).cast("int").alias("__zero")
     cold = table.where(~is_hot).select(
-        F.col(table_key).alias("__cold"), F.lit(0).alias("__zero"), *[F.col(v).alias(f"__c_{v}") for v in values]
+        F.col(table_key).alias("__cold"), zero, *[F.col(v).alias(f"__c_{v}") for v in values]
     )
     spread = F.lit(1) + F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
     with_hot = rows.join(F.broadcast(hot), F.col(row_key) == F.col("__hot"), "left")

@@ -144,10 +144,12 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
         entries = F.array(*[F.col(f"entry_{i}") for i in range(len(names))])
         per_column = counted.select("total", F.explode(entries).alias("entry")).select("total", "entry.*")
     else:
-        # Counting each value first makes the second grouping add up partial counts only.
+        # Counting each value first makes the second grouping add up partial counts only. Long
+        # texts are told apart by their SHA-256 digest, so that no text is shuffled.
+        short = F.when(F.octet_length("value") > 64, F.sha2("value", 256)).otherwise(F.col("value"))
         per_column = (
             value_rows(df, names)
-            .groupBy("column", "value")
+            .groupBy("column", short.alias("value"))
             .agg(F.count(F.lit(1)).alias("cnt"))
             .groupBy("column")
             .agg(
