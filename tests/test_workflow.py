@@ -1,15 +1,19 @@
 import math
+from datetime import date
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trainflow import FeatureSpec, RunPaths
+from trainflow.operators.splits import with_split
 from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer
 from trainflow.plans import features, flow, scoring
 from trainflow.plans.evaluation import evaluate
 from trainflow.plans.training import fit_labels
 from trainflow.sources.registry import ModelRegistry
+from trainflow.sources.watermark import next_span
 from trainflow.streaming import stream_score
 
 SPEC = FeatureSpec(
@@ -106,6 +110,36 @@ def test_features_are_free_of_nulls_and_unseen_values(spark):
     assert report.where("stage = 'ModeImputerModel' AND param = 'modes'").first().value == "['blue', 'v0', 'one']"
 
 
+def test_storing_word_counts_gives_the_same_vectors(spark, tmp_path):
+    marked = with_split(cases(spark), ["id"], 30)
+    plain, _ = features.fit_features(marked.where("split = 'train'"), SPEC)
+    expected = {r.id: r[SPEC.features].toArray().tolist() for r in plain.transform(marked).collect()}
+    model, _, vectors = features.fit_and_store(marked, SPEC, "split", "train", str(tmp_path / "v"))
+    assert vectors.columns == ["id", SPEC.features, "y", "split"]
+    for rows in (vectors, model.transform(marked)):
+        found = {r.id: r[SPEC.features].toArray().tolist() for r in rows.collect()}
+        assert found.keys() == expected.keys()
+        assert all(found[k] == pytest.approx(expected[k]) for k in expected)
+
+
+def test_ingest_moves_the_watermark(spark, tmp_path):
+    paths = RunPaths(str(tmp_path), "one")
+    record = T.StructType([T.StructField("id", T.LongType())])
+    landed = tmp_path / "runs" / "one" / "landing"
+    landed.mkdir(parents=True)
+    (landed / "a.json").write_text('[{"_source": {"id": 1}}, {"_source": {"id": 2}}, {"x": 1}]')
+    span = next_span(spark, paths.watermarks, end=date(2024, 1, 1))
+    assert sorted(r.id for r in flow.ingest(spark, record, span, paths, enveloped=True).collect()) == [1, 2]
+    again = next_span(spark, paths.watermarks, end=date(2024, 1, 1))
+    assert again.empty and flow.ingest(spark, record, again, paths) is None
+    second = RunPaths(str(tmp_path), "two")
+    landed = tmp_path / "runs" / "two" / "landing"
+    landed.mkdir(parents=True)
+    (landed / "b.json").write_text('{"id": 3}\n{"id"')
+    more = flow.ingest(spark, record, next_span(spark, paths.watermarks, end=date(2024, 2, 1)), second)
+    assert sorted(r.id for r in more.collect()) == [1, 2, 3]
+
+
 def test_wide_columns_are_counted_not_indexed(spark):
     spec = FeatureSpec(target="y", key=("id",), categorical=("c", "d"), max_categories=4)
     model, routed = features.fit_features(cases(spark), spec)

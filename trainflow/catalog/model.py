@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from trainflow.catalog.prepare import digest
@@ -121,12 +122,24 @@ def validated_cases(spark, folder):
 
 
 def feature_pipeline(spark, folder):
-    """Feature vectors of labelled documents, fitted on the train part only."""
+    """Feature vectors of labelled documents, fitted on the train part only.
+
+    Shows the scaled slots of language, source and length; those of the words follow them.
+    """
     marked = with_split(
         written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC.key, DOCUMENT_SPEC.test_percent
     )
     model, routed = features.fit_features(marked.where(F.col("split") == TRAIN), DOCUMENT_SPEC)
-    return model.transform(marked).select("doc_id", "split", routed.features)
+    slots = vector_to_array(routed.features).alias("slots")
+    vectors = model.transform(marked).select("doc_id", "split", slots, F.size(vector_to_array("tf_lang")).alias("langs"))
+    return vectors.select(
+        "doc_id",
+        "split",
+        F.round(F.array_max(F.slice("slots", F.lit(1), F.col("langs"))), 6).alias("lang"),
+        F.round(F.col("slots")[F.col("langs")], 6).alias("source"),
+        F.round(F.col("slots")[F.col("langs") + 1], 6).alias("length"),
+        (F.size("slots") - F.col("langs") - 2).alias("word_slots"),
+    )
 
 
 def stage_report(spark, folder):
@@ -325,6 +338,19 @@ ORACLES = {
         FROM cases WHERE outcome <> 'N/A'""",
     "held_out_cases": f"""WITH {CASES} SELECT case_id, outcome FROM cases
         WHERE outcome <> 'N/A' AND {_CASE_SPLIT} = 'test'""",
+    "feature_pipeline": f"""WITH d AS (
+            SELECT doc_id, lang, source, n_chars::DOUBLE AS n,
+                   CASE WHEN {digest('doc_id', 100)} < 70 THEN 'train' ELSE 'test' END AS split
+            FROM documents JOIN labels USING (doc_id)),
+        t AS (SELECT *, count(*) OVER (PARTITION BY source) AS fe, count(*) OVER (PARTITION BY lang) AS nl,
+                     count(*) OVER () AS total FROM d WHERE split = 'train'),
+        langs AS (SELECT lang, sqrt(any_value(nl) * (1 - any_value(nl)::DOUBLE / any_value(total))
+                  / (any_value(total) - 1)) AS dev FROM t GROUP BY 1),
+        sources AS (SELECT source, any_value(fe)::DOUBLE AS fe FROM t GROUP BY 1),
+        devs AS (SELECT stddev_samp(fe) AS source_dev, stddev_samp(n) AS n_dev FROM t)
+        SELECT doc_id, split, round(coalesce(1 / dev, 0), 6) AS lang, round(coalesce(fe, 0) / source_dev, 6) AS source,
+               round(n / n_dev, 6) AS length, {DOCUMENT_SPEC.text_slots} AS word_slots
+        FROM d LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source), devs""",
     "retrain_gate": """SELECT 'first' AS run_id, true AS model_accepted, true AS active, 1::BIGINT AS version
         UNION ALL SELECT 'second', false, false, NULL""",
     "batch_score_archive": """SELECT 'archive' AS place, o_orderkey AS id FROM orders

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 from trainflow.functions import elapsed_days
 from trainflow.operators.quality import quoted
 from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer
+from trainflow.sources.tables import read_table, replace
 from trainflow.spec import FeatureSpec
 
+WORD_COUNTS = "rawFeatures"
+
 
 @dataclass(frozen=True)
 class FeatureProfile:
@@ -57,12 +61,9 @@ def route_features(spec: FeatureSpec, profile: FeatureProfile) -> FeatureSpec:
     return spec.with_frequency(profile.wide_columns) if profile.wide_columns else spec
 
 
-def feature_pipeline(spec: FeatureSpec, empty_numbers: tuple[str, ...] | list[str] = ()) -> Pipeline:
-    """Stages from raw columns to one scaled vector.
-
-    Every stage is free of nulls and safe for values unseen in training: an unseen or null category
-    becomes a zero vector, an unseen frequency 0.
-    """
+def column_stages(spec: FeatureSpec, empty_numbers: Sequence[str] = ()) -> list:
+    """Stages from raw columns to numbers, one-hot vectors and word counts. None of them is fitted on
+    the text."""
     stages = []
     if spec.date_pairs:
         pairs = [c for a, b, _ in spec.date_pairs for c in (a, b)]
@@ -93,14 +94,30 @@ def feature_pipeline(spec: FeatureSpec, empty_numbers: tuple[str, ...] | list[st
         stages += [
             ConstantFiller(inputCols=[spec.text], outputCols=["filled_text"], values=[""]),
             Tokenizer(inputCol="filled_text", outputCol="words"),
-            HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=spec.text_slots),
-            IDF(inputCol="rawFeatures", outputCol=f"tf_{spec.text}", minDocFreq=spec.min_doc_freq),
+            HashingTF(inputCol="words", outputCol=WORD_COUNTS, numFeatures=spec.text_slots),
         ]
-    stages += [
+    return stages
+
+
+def vector_stages(spec: FeatureSpec) -> list:
+    """Stages from the outputs of :func:`column_stages` to one scaled vector."""
+    stages = []
+    if spec.text:
+        stages.append(IDF(inputCol=WORD_COUNTS, outputCol=f"tf_{spec.text}", minDocFreq=spec.min_doc_freq))
+    return [
+        *stages,
         VectorAssembler(inputCols=spec.vector_inputs, outputCol=spec.vector, handleInvalid="error"),
         StandardScaler(inputCol=spec.vector, outputCol=spec.features, withStd=True, withMean=False),
     ]
-    return Pipeline(stages=stages)
+
+
+def feature_pipeline(spec: FeatureSpec, empty_numbers: Sequence[str] = ()) -> Pipeline:
+    """Stages from raw columns to one scaled vector.
+
+    Every stage is free of nulls and safe for values unseen in training: an unseen or null category
+    becomes a zero vector, an unseen frequency 0.
+    """
+    return Pipeline(stages=[*column_stages(spec, empty_numbers), *vector_stages(spec)])
 
 
 def fit_features(train: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, FeatureSpec]:
@@ -110,6 +127,28 @@ def fit_features(train: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, Fe
     return feature_pipeline(routed, profile.empty_numbers).fit(train), routed
 
 
+def fit_and_store(
+    rows: DataFrame, spec: FeatureSpec, split: str, train: str, path: str
+) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
+    """Fit on the ``train`` rows and prepare all rows, reading the text only once.
+
+    A plain fit splits every text for the IDF, for the scaler and again for the result. Here the
+    word counts are stored with the other inputs of the vector, and the last stages use those.
+    Returns the whole model, the routed spec, and ``key, features, target, split`` of all rows.
+    """
+    train_rows = rows.where(F.col(split) == train)
+    profile = profile_features(train_rows, spec)
+    routed = route_features(spec, profile)
+    first = Pipeline(stages=column_stages(routed, profile.empty_numbers)).fit(train_rows)
+    text = f"tf_{routed.text}"
+    inputs = [WORD_COUNTS if c == text else c for c in routed.vector_inputs]
+    replace(first.transform(rows).select(*map(quoted, [*routed.key, *inputs, routed.target, split])), path, [split])
+    stored = read_table(rows.sparkSession, path)
+    second = Pipeline(stages=vector_stages(routed)).fit(stored.where(F.col(split) == train))
+    vectors = second.transform(stored).select(*map(quoted, [*routed.key, routed.features, routed.target, split]))
+    return PipelineModel(stages=[*first.stages, *second.stages]), routed, vectors
+
+
 def stage_report(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """``position, stage, param, value`` of every parameter of a fitted pipeline."""
     rows = [

@@ -23,11 +23,11 @@ from trainflow.operators.quality import (
 )
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans.evaluation import EvaluationLog, Verdict, evaluate
-from trainflow.plans.features import fit_features
+from trainflow.plans.features import fit_and_store
 from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_metrics
-from trainflow.sources.landing import compact, read_store
+from trainflow.sources.landing import compact, compact_enveloped, read_store
 from trainflow.sources.registry import ModelRegistry
-from trainflow.sources.tables import create, read_table, replace
+from trainflow.sources.tables import create, read_table
 from trainflow.sources.watermark import LoadSpan, record_load
 from trainflow.spec import MIN_F1_GAIN, FeatureSpec, RunPaths
 
@@ -45,11 +45,17 @@ class TrainingReport:
     registered_path: str | None
 
 
-def ingest(spark: SparkSession, record: T.StructType, span: LoadSpan, paths: RunPaths) -> DataFrame | None:
-    """Add the run's landing files to the feature store and move the watermark; None if nothing is due."""
+def ingest(
+    spark: SparkSession, record: T.StructType, span: LoadSpan, paths: RunPaths, enveloped: bool = False
+) -> DataFrame | None:
+    """Add the run's landing files to the feature store and move the watermark; None if nothing is due.
+
+    ``enveloped`` files hold ``{"_source": {..}}`` elements.
+    """
     if span.empty:
         return None
-    compact(spark, paths.landing, record, paths.feature_store)
+    load = compact_enveloped if enveloped else compact
+    load(spark, paths.landing, record, paths.feature_store)
     record_load(spark, paths.watermarks, span, paths.feature_store)
     return read_store(spark, paths.feature_store)
 
@@ -81,11 +87,8 @@ def rejected(spark: SparkSession, paths: RunPaths) -> DataFrame:
 
 
 def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
-    """Fit features on the train part, write the vectors of both parts in one pass."""
-    model, routed = fit_features(df.where(F.col(SPLIT) == TRAIN), spec)
-    vectors = model.transform(df).select(*routed.key, routed.features, routed.target, SPLIT)
-    replace(vectors, paths.transformed, [SPLIT])
-    return model, routed, read_table(df.sparkSession, paths.transformed)
+    """Fit features on the train part, store the vector inputs of both parts in one pass."""
+    return fit_and_store(df, spec, SPLIT, TRAIN, paths.transformed)
 
 
 def train(
