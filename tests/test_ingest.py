@@ -172,3 +172,13 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         stream_ingest(spark, path, RECORD, store, checkpoint).awaitTermination()
     assert sorted(r.id for r in landing.read_store(spark, store).collect()) == [1, 2]
     assert [r.payload for r in landing.read_quarantine(spark, store).collect()] == ["broken"]
+
+
+def test_only_tables_with_few_splits_are_spread(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).coalesce(1).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    few = tables.spread(spark.read.parquet(path))
+    assert few.rdd.getNumPartitions() == cores and few.count() == 100
+    many = spark.range(0, 100, 1, 3 * cores)
+    assert tables.spread(many) is many

@@ -11,12 +11,17 @@ from trainflow.catalog.prepare import digest
 from trainflow.catalog.tables import CASES, cases, load, per_column
 from trainflow.operators import frequency, text
 from trainflow.operators.stages import FrequencyEncoder
+from trainflow.sources.tables import spread
 from trainflow.spec import TEXT_SLOTS
 from trainflow.workspace import written
 
 CATEGORIES = ["priority", "segment", "channel"]
 
 
+def _documents(spark, folder):
+    return spread(load(spark, folder, "documents").select("doc_id", "text"))
+
+
 def category_index(spark, folder):
     return frequency.category_index(frequency.value_counts(cases(spark, folder), CATEGORIES))
 
@@ -75,16 +80,16 @@ def frequency_encode_stage(spark, folder):
 
 
 def tokens(spark, folder):
-    documents = load(spark, folder, "documents")
+    documents = _documents(spark, folder)
     return text.term_counts(documents, ["doc_id"], "text")
 
 
 def document_frequency(spark, folder):
-    return text.document_frequency(load(spark, folder, "documents"), "text")
+    return text.document_frequency(_documents(spark, folder), "text")
 
 
 def idf_weights(spark, folder):
-    documents = load(spark, folder, "documents")
+    documents = _documents(spark, folder)
     weight = text.inverse_frequency(documents.count(), F.col("df"))
     return text.document_frequency(documents, "text").select("term", F.round(weight, 6).alias("idf"))
 
@@ -98,7 +103,7 @@ def _tf_idf(documents, key, column):
 
 
 def tfidf(spark, folder):
-    return _tf_idf(load(spark, folder, "documents"), "doc_id", "text")
+    return _tf_idf(_documents(spark, folder), "doc_id", "text")
 
 
 def tfidf_subjects(spark, folder):
@@ -107,11 +112,11 @@ def tfidf_subjects(spark, folder):
 
 
 def hashed_terms_digest(spark, folder):
-    return text.hashed_terms(load(spark, folder, "documents"), ["doc_id"], "text", TEXT_SLOTS)
+    return text.hashed_terms(_documents(spark, folder), ["doc_id"], "text", TEXT_SLOTS)
 
 
 def hashed_tfidf_stage(spark, folder):
-    documents = load(spark, folder, "documents").select("doc_id", "text")
+    documents = _documents(spark, folder)
     stages = [
         Tokenizer(inputCol="text", outputCol="words"),
         HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=TEXT_SLOTS),
@@ -124,7 +129,7 @@ def hashed_tfidf_stage(spark, folder):
 
 def tokenizer_stage(spark, folder):
     """Words of the pipeline's tokenizer; unlike ``tokens`` it keeps blanks between two spaces."""
-    documents = load(spark, folder, "documents")
+    documents = _documents(spark, folder)
     words = Tokenizer(inputCol="text", outputCol="words").transform(documents)
     filled = F.size(F.filter("words", lambda w: w != "")).cast("long")
     return words.select("doc_id", filled.alias("n_words"))

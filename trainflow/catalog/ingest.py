@@ -58,7 +58,7 @@ def rows_per_year(spark, folder):
 
 def window_requests(spark, folder):
     spine = intervals.interval_spine(spark, *_span(load(spark, folder, "events"), "ts"))
-    template = "/cases?date_received_max=<todate>&date_received_min=<fromdate>&field=all&format=json"
+    template = "/events?before=<todate>&from=<fromdate>&format=json"
     return intervals.window_requests(spine, template).select("request")
 
 
@@ -231,8 +231,8 @@ ORACLES = {
     "rows_per_week": _per_window(_WEEKS, "events", "ts"),
     "rows_per_month": _per_window(_MONTHS, "lineitem", "l_shipdate"),
     "rows_per_year": _per_window(_YEARS, "orders", "o_orderdate"),
-    "window_requests": f"""WITH {_WEEKS} SELECT '/cases?date_received_max=' || window_end ||
-        '&date_received_min=' || window_start || '&field=all&format=json' AS request FROM spine""",
+    "window_requests": f"""WITH {_WEEKS} SELECT '/events?before=' || window_end ||
+        '&from=' || window_start || '&format=json' AS request FROM spine""",
     "incremental_slice": f"""WITH bounds AS ({_bounds("events", "ts")})
         SELECT event_id, event_type, value FROM events, bounds
         WHERE ts >= first + INTERVAL 1 DAY * ((stop - first) // 2) AND ts < stop""",

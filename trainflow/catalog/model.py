@@ -121,7 +121,7 @@ def validated_cases(spark, folder):
     return rows.select("case_id", "priority", "outcome", "split")
 
 
-def feature_pipeline(spark, folder):
+def feature_vectors(spark, folder):
     """Feature vectors of labelled documents, fitted on the train part only.
 
     Shows the scaled slots of language, source and length; those of the words follow them.
@@ -249,7 +249,7 @@ QUERIES = {
     "label_decode": label_decode,
     "validated_cases": validated_cases,
     "held_out_cases": held_out_cases,
-    "feature_pipeline": feature_pipeline,
+    "feature_vectors": feature_vectors,
     "stage_report": stage_report,
     "train_metrics": train_metrics,
     "train_score": train_score,
@@ -338,7 +338,7 @@ ORACLES = {
         FROM cases WHERE outcome <> 'N/A'""",
     "held_out_cases": f"""WITH {CASES} SELECT case_id, outcome FROM cases
         WHERE outcome <> 'N/A' AND {_CASE_SPLIT} = 'test'""",
-    "feature_pipeline": f"""WITH d AS (
+    "feature_vectors": f"""WITH d AS (
             SELECT doc_id, lang, source, n_chars::DOUBLE AS n,
                    CASE WHEN {digest('doc_id', 100)} < 70 THEN 'train' ELSE 'test' END AS split
             FROM documents JOIN labels USING (doc_id)),

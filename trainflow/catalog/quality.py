@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trainflow.catalog.tables import CASE_COLUMNS, CASE_SPEC, CASES, cases, load, per_column
 from trainflow.operators import frequency, quality
 from trainflow.operators.quality import known_target
-from trainflow.spec import MAX_MISSING_PERCENT
+from trainflow.spec import MAX_MISSING_PERCENT, UNKNOWN_TARGET_REASON
 from trainflow.workspace import written
 
 CATEGORIES = list(CASE_SPEC.categorical)
@@ -76,12 +76,12 @@ def accepted_rows(spark, folder):
 
 
 def rejected_rows(spark, folder):
-    rejected = quality.rejected_rows(cases(spark, folder), _known(), "Dropped row as target label is unknown")
+    rejected = quality.rejected_rows(cases(spark, folder), _known(), UNKNOWN_TARGET_REASON)
     return rejected.select("case_id", "priority", "outcome", "error_msg")
 
 
 def rows_with_verdict(spark, folder):
-    judged = quality.with_verdict(cases(spark, folder), _known(), "Dropped row as target label is unknown")
+    judged = quality.with_verdict(cases(spark, folder), _known(), UNKNOWN_TARGET_REASON)
     return judged.select("case_id", "accepted", "error_msg")
 
 

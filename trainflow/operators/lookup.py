@@ -39,6 +39,11 @@ def table_size(table: DataFrame, key: str, weight: str) -> TableSize:
     return TableSize(row["rows"], row["key_bytes"], row["weight"])
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [name for name, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
+
+
 def lookup(
     rows: DataFrame,
     row_key: str,
@@ -53,8 +58,9 @@ def lookup(
 
     ``weight`` is the column telling how many rows carry the key. A small table is broadcast whole.
     Otherwise the hot keys, whose number is bounded, are broadcast, and only the other rows are
-    shuffled by key; rows already answered or without key are spread evenly, so that no task gets
-    more than one cold key's share. ``how`` is ``left`` or ``inner``. Null keys never match.
+    shuffled by key. Rows already answered or without key are spread by their content and the task
+    they come from, so that copies part too and a retried task sends each row to the same place. No
+    task gets more than one cold key's share. ``how`` is ``left`` or ``inner``. Null keys never match.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how}")
@@ -75,7 +81,7 @@ def lookup(
     cold = table.where(~is_hot).select(
         F.col(table_key).alias("__cold"), zero, *[F.col(v).alias(f"__c_{v}") for v in values]
     )
-    spread = F.lit(1) + F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    spread = F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows), F.spark_partition_id()), F.lit(SALTS)).cast("int")
     with_hot = rows.join(F.broadcast(hot), F.col(row_key) == F.col("__hot"), "left")
     open_key = F.when(F.col("__hot").isNull(), F.col(row_key))
     keyed = with_hot.withColumns(

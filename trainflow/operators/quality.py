@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.functions import missing_percentage
+from trainflow.spec import HIGH_MISSING_REASON
 
 ERROR_COLUMN = "error_msg"
 ACCEPTED_COLUMN = "accepted"
@@ -68,7 +69,7 @@ def unwanted_columns(
 
 
 def split_columns(
-    df: DataFrame, unwanted: Sequence[str], key: Sequence[str], reason: str = "Contains many missing values"
+    df: DataFrame, unwanted: Sequence[str], key: Sequence[str], reason: str = HIGH_MISSING_REASON
 ) -> tuple[DataFrame, DataFrame]:
     """The table without the unwanted columns, and those columns with key and reason."""
     rejected = [c for c in unwanted if c in df.columns and c not in key]

@@ -29,7 +29,7 @@ from trainflow.sources.landing import compact, compact_enveloped, read_store
 from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import create, read_table
 from trainflow.sources.watermark import LoadSpan, record_load
-from trainflow.spec import MIN_F1_GAIN, FeatureSpec, RunPaths
+from trainflow.spec import MIN_F1_GAIN, UNKNOWN_TARGET_REASON, FeatureSpec, RunPaths
 
 SPLIT = "split"
 
@@ -66,9 +66,7 @@ def validate(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[DataFra
     unwanted = unwanted_columns(df, spec.max_missing_percent, spec.always_drop, keep=spec.key)
     kept, rejected = split_columns(df, unwanted, spec.key)
     check_required(kept, spec.required_columns)
-    judged = with_verdict(
-        kept, known_target(spec.target, spec.unknown_target), "Dropped row as target label is unknown"
-    )
+    judged = with_verdict(kept, known_target(spec.target, spec.unknown_target), UNKNOWN_TARGET_REASON)
     create(with_split(judged, spec.key, spec.test_percent, SPLIT), paths.validated, [ACCEPTED_COLUMN, SPLIT])
     if unwanted:
         create(rejected, paths.rejected_columns)

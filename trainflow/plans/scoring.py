@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trainflow.operators.quality import ERROR_COLUMN, quoted
 from trainflow.sources.inventory import check_inputs, split_inputs
 from trainflow.sources.registry import ModelRegistry
-from trainflow.sources.tables import replace
+from trainflow.sources.tables import read_table, replace
 from trainflow.spec import FeatureSpec, RunPaths
 
 SOURCE_FILE = "source_file"
@@ -52,7 +52,7 @@ def score_files(
         replace(spark.read.parquet(path).withColumn(ERROR_COLUMN, F.lit(reason)), f"{paths.failed}/{number}")
     if not valid:
         return ScoringReport([], {p: checked[p] for p in invalid}, None)
-    rows = spark.read.parquet(*valid).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    rows = read_table(spark, *valid, merge=True).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     keys = [c for c in spec.key if c in rows.columns]
     scored = predictions(registry.load_newest(model_key), rows, spec, [*keys, SOURCE_FILE])
     replace(scored, paths.predictions)

@@ -8,12 +8,15 @@ from pyspark.sql import types as T
 
 # Defaults a run must share with earlier runs to be comparable.
 #   70 % of rows train and 30 % test; a column may miss at most 20 % of its values;
-#   text is hashed to 40 slots; a challenger must gain 0.002 F1; the unknown target is "N/A".
+#   text is hashed to 40 slots; a challenger must gain 0.002 F1; the unknown target is "N/A";
+#   rejected columns and rows carry these reasons.
 TEST_PERCENT = 30
 MAX_MISSING_PERCENT = 20.0
 TEXT_SLOTS = 40
 MIN_F1_GAIN = 0.002
 UNKNOWN_TARGET = "N/A"
+HIGH_MISSING_REASON = "Contains many missing values"
+UNKNOWN_TARGET_REASON = "Dropped row as target label is unknown"
 
 
 @dataclass(frozen=True)
