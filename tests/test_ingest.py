@@ -111,6 +111,23 @@ def test_arrays_lines_bad_text_and_empty_files(spark, tmp_path):
     assert [(r.payload, r.error_msg) for r in bad] == [('{"id": 4, "name"', landing.BAD_PAYLOAD)]
 
 
+def test_repeating_a_named_load_adds_nothing(spark, tmp_path):
+    store = str(tmp_path / "store")
+    path = land(tmp_path / "in", lines='{"id": 1}\n{"id": 2}\nbad')
+    for load in ("a", "a", "b"):
+        landing.compact(spark, path, RECORD, store, load)
+    assert sorted(r.id for r in landing.read_store(spark, store).collect()) == [1, 1, 2, 2]
+    assert landing.read_store(spark, store).columns == ["id", "name"]
+    assert landing.read_quarantine(spark, store).count() == 2
+
+
+def test_the_unit_can_be_chosen(spark):
+    spine = intervals.interval_spine(spark, date(2024, 1, 15), date(2024, 3, 2), "month").orderBy("window_start")
+    cuts = [date(2024, 1, 15), date(2024, 1, 31), date(2024, 2, 29), date(2024, 3, 2)]
+    assert [tuple(r) for r in spine.collect()] == list(zip(cuts, cuts[1:]))
+    assert intervals.interval_spine(spark, date(2020, 1, 1), date(2024, 1, 1), None).count() == 1
+
+
 def test_bad_lines(spark, tmp_path):
     path = land(tmp_path / "in", lines='{"id": 3}\nnot json\n')
     lines = landing.scan_lines(spark, path, RECORD)

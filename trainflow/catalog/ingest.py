@@ -45,10 +45,8 @@ def rows_per_week(spark, folder):
 
 
 def rows_per_month(spark, folder):
-    """Line items shipped in the year before the last shipping day, by month."""
     items = load(spark, folder, "lineitem")
-    _, stop = _span(items, "l_shipdate")
-    return intervals.rows_per_interval(items, "l_shipdate", stop - timedelta(days=365), stop)
+    return intervals.rows_per_interval(items, "l_shipdate", *_span(items, "l_shipdate"), "month")
 
 
 def rows_per_year(spark, folder):
@@ -209,11 +207,7 @@ def _bounds(table: str, moment: str) -> str:
 
 _WEEKS = _spine_sql(_bounds("events", "ts"), "dayofweek(d) = 0")
 _YEARS = _spine_sql(_bounds("orders", "o_orderdate"), "strftime(d, '%m-%d') = '12-31'")
-_MONTHS = _spine_sql(
-    """SELECT (max(l_shipdate)::DATE - INTERVAL 364 DAY)::DATE AS first,
-              (max(l_shipdate)::DATE + INTERVAL 1 DAY)::DATE AS stop FROM lineitem""",
-    "d = last_day(d)",
-)
+_MONTHS = _spine_sql(_bounds("lineitem", "l_shipdate"), "d = last_day(d)")
 
 
 def _per_window(spine: str, table: str, moment: str) -> str:

@@ -13,18 +13,23 @@ from trainflow.functions import next_period_end, previous_period_end
 UNIT_LIMITS = ((365, "year"), (30, "month"), (7, "week"))
 
 
-def interval_unit(start: date, end: date) -> str | None:
-    """Period that cuts the span; None for a span short enough to stay whole."""
+AUTO = "auto"
+
+
+def interval_unit(start: date, end: date, unit: str | None = AUTO) -> str | None:
+    """Period that cuts the span, by its length unless given; None for a span to stay whole."""
+    if unit != AUTO:
+        return unit
     days = (end - start).days
     return next((unit for limit, unit in UNIT_LIMITS if days > limit), None)
 
 
-def interval_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
+def interval_spine(spark: SparkSession, start: date, end: date, unit: str | None = AUTO) -> DataFrame:
     """Half-open windows ``window_start, window_end`` from ``start`` to ``end``, cut at period ends.
 
     One row per calendar period of the span. Equal dates give no window.
     """
-    unit = interval_unit(start, end)
+    unit = interval_unit(start, end, unit)
     days = spark.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("stop"))
     if start >= end:
         cuts = days.where(F.lit(False)).select("first", "stop", F.col("first").alias("window_start"))
@@ -40,9 +45,9 @@ def interval_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     return cuts.select("window_start", stop.alias("window_end"))
 
 
-def with_window(df: DataFrame, moment: str, start: date, end: date) -> DataFrame:
+def with_window(df: DataFrame, moment: str, start: date, end: date, unit: str | None = AUTO) -> DataFrame:
     """Rows inside the span with their window, found from the row's own date without a join."""
-    unit = interval_unit(start, end)
+    unit = interval_unit(start, end, unit)
     first, stop = F.lit(start), F.lit(end)
     inside = slice_between(df, moment, start, end)
     day = F.col(moment).cast("date")
@@ -56,10 +61,11 @@ def with_window(df: DataFrame, moment: str, start: date, end: date) -> DataFrame
     )
 
 
-def rows_per_interval(df: DataFrame, moment: str, start: date, end: date) -> DataFrame:
+def rows_per_interval(df: DataFrame, moment: str, start: date, end: date, unit: str | None = AUTO) -> DataFrame:
     """``window_start, window_end, n_rows`` for every window, empty ones included."""
-    counts = with_window(df, moment, start, end).groupBy("window_start").agg(F.count(F.lit(1)).alias("n_rows"))
-    spine = interval_spine(df.sparkSession, start, end)
+    placed = with_window(df, moment, start, end, unit)
+    counts = placed.groupBy("window_start").agg(F.count(F.lit(1)).alias("n_rows"))
+    spine = interval_spine(df.sparkSession, start, end, unit)
     return spine.join(counts, "window_start", "left").select(
         "window_start", "window_end", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")
     )

@@ -50,12 +50,13 @@ def ingest(
 ) -> DataFrame | None:
     """Add the run's landing files to the feature store and move the watermark; None if nothing is due.
 
-    ``enveloped`` files hold ``{"_source": {..}}`` elements.
+    ``enveloped`` files hold ``{"_source": {..}}`` elements. A load that broke off before its watermark
+    was written is repeated by the next run, and replaces what it left.
     """
     if span.empty:
         return None
-    load = compact_enveloped if enveloped else compact
-    load(spark, paths.landing, record, paths.feature_store)
+    add = compact_enveloped if enveloped else compact
+    add(spark, paths.landing, record, paths.feature_store, load=f"{span.start}_{span.end}")
     record_load(spark, paths.watermarks, span, paths.feature_store)
     return read_store(spark, paths.feature_store)
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trainflow.operators.quality import ERROR_COLUMN
-from trainflow.sources.tables import append, read_table
+from trainflow.sources.tables import append, read_table, replace
 
 CORRUPT = "_corrupt_record"
 PAYLOAD_OK = "payload_ok"
+LOAD = "load"
 ENVELOPE = "_source"
 BAD_PAYLOAD = "Payload is not valid JSON"
 
@@ -79,25 +80,37 @@ def bad_payloads(df: DataFrame) -> DataFrame:
     return df.where(~parsed()).select(F.col(CORRUPT).alias("payload"), F.lit(BAD_PAYLOAD).alias(ERROR_COLUMN))
 
 
-def compact(spark: SparkSession, landing: str, record: T.StructType, store: str) -> None:
-    """Append all landing files to a Parquet store: one scan, one write, no file counted first.
+def _store(df: DataFrame, store: str, load: str | None) -> None:
+    """One write; a load with a name replaces its own partitions, so repeating it adds nothing."""
+    if load is None:
+        append(df.withColumn(PAYLOAD_OK, parsed()), store, [PAYLOAD_OK])
+    else:
+        named = df.withColumns({LOAD: F.lit(load), PAYLOAD_OK: parsed()})
+        replace(named, store, [LOAD, PAYLOAD_OK])
 
-    Records that do not parse go to the partition ``payload_ok=false`` of the same write.
+
+def compact(spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None) -> None:
+    """Add all landing files to a Parquet store: one scan, one write, no file counted first.
+
+    Records that do not parse go to the partition ``payload_ok=false`` of the same write. Without a
+    ``load`` name the rows are appended. A store holds either named loads or appended ones.
     """
-    append(scan_json(spark, landing, record).withColumn(PAYLOAD_OK, parsed()), store, [PAYLOAD_OK])
+    _store(scan_json(spark, landing, record), store, load)
 
 
-def compact_enveloped(spark: SparkSession, landing: str, record: T.StructType, store: str) -> None:
+def compact_enveloped(
+    spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None
+) -> None:
     """Like :func:`compact` for ``{"_source": {..}}`` elements; elements without it are left out."""
     envelopes = T.StructType([T.StructField(ENVELOPE, record)])
     scanned = scan_json(spark, landing, envelopes).where(F.col(ENVELOPE).isNotNull() | ~parsed())
     fields = [F.col(ENVELOPE)[f.name].alias(f.name) for f in record.fields]
-    append(scanned.select(*fields, CORRUPT, parsed().alias(PAYLOAD_OK)), store, [PAYLOAD_OK])
+    _store(scanned.select(*fields, CORRUPT), store, load)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
     """Good records of a store; files of earlier runs may lack columns added since."""
-    return read_table(spark, store, merge=True).where(F.col(PAYLOAD_OK).cast("boolean")).drop(PAYLOAD_OK, CORRUPT)
+    return read_table(spark, store, merge=True).where(F.col(PAYLOAD_OK).cast("boolean")).drop(LOAD, PAYLOAD_OK, CORRUPT)
 
 
 def read_quarantine(spark: SparkSession, store: str) -> DataFrame:
