@@ -131,7 +131,8 @@ def feature_vectors(spark, folder):
     )
     model, routed = features.fit_features(marked.where(F.col("split") == TRAIN), DOCUMENT_SPEC)
     slots = vector_to_array(routed.features).alias("slots")
-    vectors = model.transform(marked).select("doc_id", "split", slots, F.size(vector_to_array("tf_lang")).alias("langs"))
+    langs = F.size(vector_to_array("tf_lang")).alias("langs")
+    vectors = model.transform(marked).select("doc_id", "split", slots, langs)
     return vectors.select(
         "doc_id",
         "split",
@@ -212,8 +213,8 @@ def batch_score_archive(spark, folder):
     registry = ModelRegistry(spark, paths.registry, paths.saved_models)
     inputs = _case_files(spark, folder, paths.root)
     scoring.score_files(spark, CASE_SPEC, registry, MODEL_KEY, inputs, paths)
-    archived = spark.read.parquet(paths.archive).select(F.lit("archive").alias("place"), F.col("case_id").alias("id"))
-    failed = spark.read.parquet(f"{paths.failed}/0").select(F.lit("failed").alias("place"), F.col("c_custkey").alias("id"))
+    archived = spark.read.parquet(paths.archive).selectExpr("'archive' AS place", "case_id AS id")
+    failed = spark.read.parquet(f"{paths.failed}/0").selectExpr("'failed' AS place", "c_custkey AS id")
     return archived.unionByName(failed)
 
 
@@ -271,7 +272,8 @@ def _rates(scored: str, by: str = "") -> str:
     part = f"PARTITION BY {by.rstrip(', ')}" if by else ""
     return f"""scored AS ({scored}),
     cm AS (SELECT {by} label, prediction, count(*) AS cnt FROM scored GROUP BY ALL),
-    sides AS (SELECT {by} label AS class, cnt AS n, 0 AS p, CASE WHEN label = prediction THEN cnt ELSE 0 END AS tp FROM cm
+    sides AS (SELECT {by} label AS class, cnt AS n, 0 AS p,
+                     CASE WHEN label = prediction THEN cnt ELSE 0 END AS tp FROM cm
               UNION ALL SELECT {by} prediction, 0, cnt, 0 FROM cm),
     cls AS (SELECT {by} class, sum(n)::DOUBLE AS n, sum(p)::DOUBLE AS p, sum(tp)::DOUBLE AS tp FROM sides GROUP BY ALL),
     tot AS (SELECT *, sum(n) OVER ({part}) AS total FROM cls),
@@ -288,7 +290,8 @@ def _metric_sql(scored: str, label: str, by: str = "") -> str:
 
     def one(name):
         rate = value[name]
-        total = f"sum(CASE WHEN class = {label} THEN {rate} ELSE 0 END)" if "ByLabel" in name else f"sum({rate} * n / total)"
+        by_label = f"sum(CASE WHEN class = {label} THEN {rate} ELSE 0 END)"
+        total = by_label if "ByLabel" in name else f"sum({rate} * n / total)"
         return f"SELECT {by} '{name}' AS metric, round({total}, 6)::DOUBLE AS value FROM rates GROUP BY ALL"
 
     return f"WITH {_rates(scored, by)} " + " UNION ALL ".join(one(name) for name in METRIC_NAMES)
@@ -308,7 +311,8 @@ def _gate_sql(scored: str, accepted: str) -> str:
            {accepted} AS model_accepted, {accepted} AS active FROM pair"""
 
 
-_RANKED = """ranks AS (SELECT o_orderstatus, (row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1)::DOUBLE AS label
+_RANKED = """ranks AS (
+    SELECT o_orderstatus, (row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1)::DOUBLE AS label
     FROM orders GROUP BY 1)"""
 _CASE_SPLIT = f"CASE WHEN {digest('case_id', 100)} < 70 THEN 'train' ELSE 'test' END"
 

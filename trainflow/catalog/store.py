@@ -95,10 +95,9 @@ def evaluation_find(spark, folder):
 def _model_paths(spark, folder):
     """Events as saved models: the type is the model key, the second the version."""
     second = F.unix_seconds(to_timestamp("ts")).cast("string")
+    path = F.concat_ws("/", F.lit("registry-2"), "event_type", F.lit("saved_models"), second, F.lit("model"))
     return load(spark, folder, "events").select(
-        F.col("event_type").alias("model_key"),
-        "event_id",
-        F.concat_ws("/", F.lit("registry-2"), "event_type", F.lit("saved_models"), second, F.lit("model")).alias("path"),
+        F.col("event_type").alias("model_key"), "event_id", path.alias("path")
     )
 
 

@@ -136,7 +136,10 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
         sketches = [
             F.struct(
                 F.lit(c).alias("column"),
-                (F.approx_count_distinct(quoted(c)) + F.max(quoted(c).isNull().cast("long"))).alias("n_unique"),
+                (
+                    F.approx_count_distinct(quoted(c))
+                    + F.coalesce(F.max(quoted(c).isNull().cast("long")), F.lit(0))
+                ).alias("n_unique"),
                 F.count_if(quoted(c).isNull()).alias("n_missing"),
             ).alias(f"entry_{i}")
             for i, c in enumerate(names)

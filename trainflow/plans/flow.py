@@ -82,7 +82,8 @@ def accepted(spark: SparkSession, paths: RunPaths) -> DataFrame:
 
 def rejected(spark: SparkSession, paths: RunPaths) -> DataFrame:
     """Rejected rows with their reason."""
-    return read_table(spark, paths.validated).where(~F.col(ACCEPTED_COLUMN).cast("boolean")).drop(ACCEPTED_COLUMN, SPLIT)
+    rows = read_table(spark, paths.validated).where(~F.col(ACCEPTED_COLUMN).cast("boolean"))
+    return rows.drop(ACCEPTED_COLUMN, SPLIT)
 
 
 def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[PipelineModel, FeatureSpec, DataFrame]:

@@ -48,4 +48,5 @@ def scoring_model(features: PipelineModel, classifier: PipelineModel) -> Pipelin
 def split_metrics(scored: DataFrame, spec: FeatureSpec, split: str = "split") -> dict[str, dict[str, float]]:
     """All metrics of the train and the test part from one pass over the scored rows."""
     counts = confusion_counts(scored, spec.indexed_target, "prediction", by=[split])
-    return {row[split]: {k: v for k, v in row.asDict().items() if k != split} for row in metric_row(counts, [split]).collect()}
+    rows = [row.asDict() for row in metric_row(counts, [split]).collect()]
+    return {row.pop(split): row for row in rows}
