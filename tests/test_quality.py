@@ -66,6 +66,11 @@ def test_column_profile_counts_null_as_a_value(spark, exact):
     assert found == {"s": (3, 1, 25.0), "n": (3, 2, 50.0)}
 
 
+def test_sketched_profile_of_an_empty_table(spark):
+    row = quality.column_profile(spark.createDataFrame([], "a int"), exact=False).first()
+    assert (row.n_unique, row.n_missing, row.missing_percentage) == (0, 0, None)
+
+
 def test_null_counts_in_one_row(spark):
     df = spark.createDataFrame([("a", None), (None, None)], "s string, n int")
     assert quality.null_counts(df).first().asDict() == {"s": 1, "n": 2}

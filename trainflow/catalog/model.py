@@ -19,6 +19,7 @@ from trainflow.operators import gate, metrics
 from trainflow.operators.metrics import METRIC_NAMES
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans import features, flow, scoring
+from trainflow.plans.evaluation import EvaluationLog, evaluate
 from trainflow.sources.registry import ModelRegistry
 from trainflow.spec import MIN_F1_GAIN, RunPaths
 from trainflow.streaming import stream_score as start_scoring
@@ -169,13 +170,16 @@ def train_score(spark, folder):
 
 
 def retrain_gate(spark, folder):
-    """A second run on the same rows gains nothing over the first, so it is not registered."""
+    """The same model put up a second time gains nothing over itself, so it is not accepted again."""
     first = _paths(spark)
     _train(spark, folder, first)
-    second = _paths(spark, "second", first.root)
-    _train(spark, folder, second, version=2)
     registry = ModelRegistry(spark, first.registry, first.saved_models)
-    records = spark.read.parquet(first.evaluations)
+    model = registry.load_newest(MODEL_KEY)
+    held_out = flow.accepted(spark, first).where(F.col("split") == TEST)
+    verdict = evaluate(held_out, CASE_SPEC, model, model, MIN_F1_GAIN)
+    log = EvaluationLog(spark, first.evaluations)
+    log.insert("second", verdict, first.trained_model, registry.newest_path(MODEL_KEY))
+    records = log.records()
     listed = registry.versions(MODEL_KEY).select(F.lit("first").alias("run_id"), "version")
     return records.join(listed, "run_id", "left").select("run_id", "model_accepted", "active", "version")
 

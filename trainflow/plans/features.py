@@ -130,7 +130,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, Fe
 def fit_and_store(
     rows: DataFrame, spec: FeatureSpec, split: str, train: str, path: str
 ) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
-    """Fit on the ``train`` rows and prepare all rows, reading the text only once.
+    """Fit on the ``train`` rows of a stored table and prepare all rows, reading the text only once.
 
     A plain fit splits every text for the IDF, for the scaler and again for the result. Here the
     word counts are stored with the other inputs of the vector, and the last stages use those.

@@ -21,11 +21,6 @@ def payload_schema(record: T.StructType) -> T.StructType:
     return T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def envelope_schema(record: T.StructType) -> T.StructType:
-    """Read schema of ``{"_source": {record}}`` elements."""
-    return payload_schema(T.StructType([T.StructField(ENVELOPE, record)]))
-
-
 def scan_json(spark: SparkSession, path: str, record: T.StructType | None = None) -> DataFrame:
     """All JSON files below a path in one scan.
 

@@ -150,10 +150,6 @@ class RunPaths:
     def landing(self) -> str:
         return self._in_run("landing")
 
-    @property
-    def failed_payloads(self) -> str:
-        return self._in_run("failed_payloads")
-
     @property
     def validated(self) -> str:
         return self._in_run("validated")
