@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from trainflow.functions import elapsed_days
 from trainflow.operators.quality import quoted
 from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer
-from trainflow.sources.tables import read_table, replace, spread
+from trainflow.sources.tables import read_table, replace
 from trainflow.spec import FeatureSpec
 
 WORD_COUNTS = "rawFeatures"
@@ -142,9 +142,9 @@ def fit_and_store(
     first = Pipeline(stages=column_stages(routed, profile.empty_numbers)).fit(train_rows)
     text = f"tf_{routed.text}"
     inputs = [WORD_COUNTS if c == text else c for c in routed.vector_inputs]
-    prepared = first.transform(spread(rows)).select(*map(quoted, [*routed.key, *inputs, routed.target, split]))
+    prepared = first.transform(rows).select(*map(quoted, [*routed.key, *inputs, routed.target, split]))
     replace(prepared, path, [split])
-    stored = spread(read_table(rows.sparkSession, path))
+    stored = read_table(rows.sparkSession, path)
     second = Pipeline(stages=vector_stages(routed)).fit(stored.where(F.col(split) == train))
     vectors = second.transform(stored).select(*map(quoted, [*routed.key, routed.features, routed.target, split]))
     return PipelineModel(stages=[*first.stages, *second.stages]), routed, vectors
