@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
-from trainflow.llm import simhash
+from trainflow.llm import decontaminate, simhash, substrings
 
 
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,8 +17,90 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(13, len(w)) AS size,
+           array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS words
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+    SELECT DISTINCT size FROM windows
+), spots AS (
+    SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS words
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+), hits AS (
+    SELECT doc_id, i, spots.size, item FROM spots JOIN windows USING (words)
+    WHERE spots.size = windows.size
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hits))
+    GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.without_repeats(load(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) AS words
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), firsts AS (
+    SELECT words, min(doc_id) AS first FROM windows GROUP BY words
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+    FROM windows JOIN firsts USING (words) WHERE doc_id > first
+), places AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n_kept
+    FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_substring_dedup": op9_substring_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_benchmark_decontamination": OP8_SQL,
+    "op9_substring_dedup": OP9_SQL,
+}
