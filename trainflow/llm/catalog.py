@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
-from trainflow.llm import decontaminate, simhash, substrings
+from trainflow.llm import decontaminate, packing, records, simhash, substrings
 
 
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +19,19 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def byte_bpe() -> str:
+    """The vocabulary of the token queries, as the tokenizers library writes it."""
+    return Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+
+
+def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    return records.round_trip(spark, load(spark, folder, "documents"), byte_bpe(), end=0)
+
+
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(load(spark, folder, "documents"), byte_bpe(), end=2, size=1024)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
     return found.select(
@@ -96,6 +111,8 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
+    "op5_token_records": op5_token_records,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
