@@ -6,11 +6,42 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
-from trainflow.llm import decontaminate, packing, records, simhash, substrings
+from trainflow.llm import decontaminate, licenses, packing, quality, records, secrets, simhash, substrings
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    machine = quality.train(docs, load(spark, folder, "labels"))
+    score = quality.scored(docs.select("doc_id", "text", "n_chars"), machine)
+    return score.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    base = [r.kind for r in secrets.BASE]
+    docs = secrets.with_spans(load(spark, folder, "documents").select("doc_id", "text"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base_spans = F.filter("spans", lambda s: s["kind"].isin(base))
+    return docs.select(
+        "doc_id",
+        *(count(kind) for kind in base),
+        F.sha2(joined(base_spans), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
 
 
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,6 +59,21 @@ def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.round_trip(spark, load(spark, folder, "documents"), byte_bpe(), end=0)
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's licences: how many finds, the best covered name, and all of them with their places."""
+    docs = licenses.with_licenses(load(spark, folder, "documents").select("doc_id", "text"))
+    finds = F.transform("licenses", lambda s: F.concat_ws(":", s["name"], s["start"], s["end"]))
+    order = F.transform("licenses", lambda s: F.struct(-s["coverage"], s["start"], s["name"].alias("name"), s["coverage"].alias("coverage")))
+    best = F.get(F.array_sort(order), F.lit(0))
+    return docs.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        best["name"].alias("license"),
+        F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"),
+        F.array_join(finds, ",").alias("licenses"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(load(spark, folder, "documents"), byte_bpe(), end=2, size=1024)
 
@@ -112,8 +158,11 @@ FROM d LEFT JOIN kept USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op5_token_records": op5_token_records,
+    "op6_license_scan": op6_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
