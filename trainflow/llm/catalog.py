@@ -10,7 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
-from trainflow.llm import decontaminate, licenses, packing, quality, records, secrets, simhash, substrings
+from trainflow.llm import (
+    decontaminate,
+    licenses,
+    order_minhash,
+    packing,
+    quality,
+    records,
+    secrets,
+    simhash,
+    substrings,
+)
 
 
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +65,19 @@ def byte_bpe() -> str:
     return Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
 
 
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = order_minhash.fingerprints(load(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        order_minhash.as_text(F.col("slots")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_slots")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.round_trip(spark, load(spark, folder, "documents"), byte_bpe(), end=0)
 
@@ -157,6 +180,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
+    "op4_order_minhash": op4_order_minhash,
     "op5_token_records": op5_token_records,
     "op6_license_scan": op6_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
