@@ -13,6 +13,7 @@ from trainflow.catalog.tables import load
 from trainflow.llm import (
     decontaminate,
     licenses,
+    line_dedup,
     order_minhash,
     packing,
     quality,
@@ -178,7 +179,13 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.deduplicated(load(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_line_dedup": op10_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op5_token_records": op5_token_records,
