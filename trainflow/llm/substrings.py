@@ -18,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.llm import words
+from trainflow.llm.sieve import sieved
+from trainflow.workspace import written
 
 WINDOW = 50
 #: A perfect difference set, every difference modulo the period occurs once.
@@ -32,7 +33,10 @@ COVER = (0, 1, 3, 8, 12, 18)
 ANCHOR = WINDOW - PERIOD + 1
 
 LAST = (1 << 63) - 1
-RUNS = "x long, y long, o long, u long, p int, known boolean"
+#: Rows by key: an anchor's hash with the text that has it, a window's hash (96 bits) with its document
+#: and text. ``p`` is the place; rows known to be hits have -1 minus their place.
+ANCHORS = "x long, p int, u long"
+WINDOWS = "x long, y int, p int, u long, o long"
 
 
 def _text_words(texts: list[bytes | None], double: bool = False) -> Iterator[tuple]:
@@ -51,19 +55,25 @@ def _rolling(values: np.ndarray, width: int) -> np.ndarray:
     return words.mixed((sums[width:] - sums[:-width]) * down[: len(sums) - width])
 
 
-def _combined(x, y, o, u, p, several: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> pa.RecordBatch:
-    """Rows by key ``x, y`` and order ``o``; keys that decide themselves in the batch send one row."""
-    order = np.lexsort((p, u, o, y, x))
-    x, y, o, u, p = x[order], y[order], o[order], u[order], p[order]
-    new = np.ones(len(x), bool)
-    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-    known = several(new, o)
+def _combined(key: list, place, unit, order, decided: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> list:
+    """Rows by key; keys that decide themselves in the batch send one row, the others are known."""
+    by = np.lexsort((place, unit, order, *key[::-1]))
+    key, place, unit, order = [k[by] for k in key], place[by], unit[by], order[by]
+    new = _turns(key)
+    known = decided(new, order)
     # A row known already needs no partner; the first row of each key still tells others of it.
     sent = ~known | new
-    x, y, o, u, p = (np.concatenate((v[sent], v[known])) for v in (x, y, o, u, p))
-    flag = np.concatenate((np.zeros(sent.sum(), bool), np.ones(known.sum(), bool)))
-    columns = [x.view(np.int64), y.view(np.int64), o, u, p.astype(np.int32), flag]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "o", "u", "p", "known"])
+    place = np.concatenate((place[sent], -1 - place[known])).astype(np.int32)
+    return [*(np.concatenate((v[sent], v[known])) for v in key), place] + [
+        np.concatenate((v[sent], v[known])) for v in (unit, order)
+    ]
+
+
+def _turns(key: list) -> np.ndarray:
+    """Where a row's key differs from the one before."""
+    new = np.ones(len(key[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+    return new
 
 
 def _run_values(new: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -107,7 +117,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append((rolled[chosen], units[first + text[chosen]], place[chosen]))
         if parts:
             x, u, p = (np.concatenate(c) for c in zip(*parts, strict=True))
-            yield _combined(x, np.zeros_like(x), u, u, p, _shared)
+            x, p, u, _ = _combined([x], p, u, u, _shared)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(p), pa.array(u)], names=["x", "p", "u"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,62 +142,65 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(
                 (
                     _rolling(one, WINDOW)[chosen],
-                    _rolling(two, WINDOW)[chosen],
+                    _rolling(two, WINDOW)[chosen] >> np.uint64(32),
                     docs[first + text],
                     units[first + text],
                     chosen - edges[text],
                 )
             )
         if parts:
-            yield _combined(*(np.concatenate(c) for c in zip(*parts, strict=True)), _later)
+            x, y, o, u, p = (np.concatenate(c) for c in zip(*parts, strict=True))
+            x, y, p, u, o = _combined([x, y], p, u, o, _later)
+            columns = [x.view(np.int64), y.astype(np.uint32).view(np.int32), p, u, o]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "p", "u", "o"])
 
 
-def _runs(several: str) -> Callable:
-    """Reads sorted runs of a key; passes on what is known or decided by the whole run."""
+def _runs(keys: int, order: int, whole_run: bool) -> Callable:
+    """Reads sorted runs of the first ``keys`` columns; passes on rows known or decided by their run.
+
+    Rows beyond the first value of the ``order`` column are decided, with ``whole_run`` all rows of a
+    run that has several values.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first, held = None, 0, []  # the run that goes on: its key, first value, rows not decided yet
+        last, first, held = None, 0, []  # the run that goes on: its key, first value, undecided rows
         for batch in batches:
-            x, y, o, u, p = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            known = batch.column(5).to_numpy(zero_copy_only=False)
-            out = [(u[known], p[known])]
-            x, y, o, u, p = (v[~known] for v in (x, y, o, u, p))
-            if len(x):
-                new = np.ones(len(x), bool)
-                new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-                goes_on = key == (x[0], y[0])
-                run_first = _run_values(new, o)
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+            known = columns[keys] < 0
+            out = [(columns[keys + 1][known], -1 - columns[keys][known])]
+            columns = [c[~known] for c in columns]
+            key, p, u, o = columns[:keys], columns[keys], columns[keys + 1], columns[order]
+            if len(p):
+                new = _turns(key)
+                starts = np.flatnonzero(new)
+                ends = np.append(starts[1:], len(new)) - 1
+                goes_on = last == [k[0] for k in key]
+                firsts = _run_values(new, o)
                 if goes_on:
-                    until = np.flatnonzero(new)[1] if new.sum() > 1 else len(x)
-                    run_first[:until] = first
-                later = o > run_first
-                if several == "all":
-                    starts = np.flatnonzero(new)
-                    ends = np.append(starts[1:], len(new)) - 1
-                    whole = np.repeat(later[ends], ends - starts + 1)
-                    if goes_on and later[ends[0]]:
+                    firsts[: ends[0] + 1] = first
+                decided = o > firsts
+                if whole_run:
+                    several = decided[ends]
+                    if goes_on and several[0]:
                         out += held
+                    if several[0] or not goes_on or len(starts) > 1:
                         held = []
-                    # The last run may go on: its rows are held while they have one value only.
-                    if not goes_on or len(starts) > 1:
-                        held = []
-                    if not whole[-1]:
+                    if not several[-1]:  # the run may go on: its rows are of one text so far
                         held.append((u[starts[-1] :], p[starts[-1] :]))
-                    out.append((u[whole], p[whole]))
-                else:
-                    out.append((u[later], p[later]))
-                key, first = (x[-1], y[-1]), run_first[-1]
-            columns = [np.concatenate([v[i] for v in out]) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["u", "p"])
+                    decided = np.repeat(several, ends - starts + 1)
+                out.append((u[decided], p[decided]))
+                last, first = [k[-1] for k in key], firsts[-1]
+            both = [np.concatenate([v[i] for v in out]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1].astype(np.int32))], names=["u", "p"])
 
     return run
 
 
-def _decided(rows: DataFrame, several: str) -> DataFrame:
-    """``u, p`` of rows decided by the rows of their key ``x, y``, in the order ``o``."""
-    key = F.when(F.col("known"), F.xxhash64("u", "p")).otherwise(F.col("x"))
-    dealt = rows.repartition(key).sortWithinPartitions("known", "x", "y", "o")
-    return dealt.mapInArrow(_runs(several), "u long, p int")
+def _decided(rows: DataFrame, sort: list[str], run: Callable) -> DataFrame:
+    """``u`` and the places ``p`` of rows decided by the rows of their key; known rows go anywhere."""
+    dealt = rows.repartition(F.when(F.col("p") < 0, F.xxhash64("u", "p")).otherwise(F.col("x")))
+    found = dealt.sortWithinPartitions(F.col("p") < 0, *sort).mapInArrow(run, "u long, p int")
+    return found.groupBy("u").agg(F.collect_set("p").alias("p"))
 
 
 def _left(text: bytes, places: list[int] | None, copy: bool) -> tuple[int, int, bytes]:
@@ -233,14 +247,20 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     own = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     own = own.withColumns({"d": F.coalesce("k", F.lit(LAST)), "u": one, "v": two, "t": F.col("t").cast("binary")})
     texts = own.groupBy("u", "v").agg(F.min("d").alias("m"))
-    spots = _decided(own.select("u", "t").mapInArrow(_anchors, RUNS), "all")
-    spots = spots.groupBy("u").agg(F.collect_set("p").alias("p"))
+    anchors = own.select("u", "t").mapInArrow(_anchors, ANCHORS)
+    spots = _decided(anchors, ["x", "u"], _runs(1, 2, whole_run=True))
     # Copies have other keys than the first of their text, so they are spread and left out at once.
-    first = texts.join(spots, "u").select("u", "v", F.col("m").alias("d"), "p")
-    windows = own.join(first, ["u", "v", "d"]).select("u", "d", "t", "p").mapInArrow(_windows, RUNS)
-    hits = _decided(windows, "later").groupBy("u").agg(F.collect_set("p").alias("p"))
+    first = written(texts.join(spots, "u").select("u", "v", F.col("m").alias("d"), "p"), "spots")
+    near = sieved(own, "u", first.select("u"), "near").where("near").join(first, ["u", "v", "d"])
+    windows = near.select("u", "d", "t", "p").mapInArrow(_windows, WINDOWS)
+    hits = _decided(windows, ["x", "y", "o"], _runs(2, 4, whole_run=False))
     judged = own.select("d", "u", "v").distinct().join(texts, ["u", "v"])
     copies = judged.where("d > m").select("u", "v", "d", F.lit(None).cast("array<int>").alias("p"), F.lit(True).alias("c"))
     firsts = texts.join(hits, "u").select("u", "v", F.col("m").alias("d"), "p", F.lit(False).alias("c"))
-    marked = own.join(copies.unionByName(firsts), ["u", "v", "d"], "left").select("k", "t", "p", "c")
-    return marked.mapInArrow(_kept, "k long, n_words long, n_removed long, kept string").withColumnRenamed("k", key)
+    losing = written(copies.unionByName(firsts), "hits")
+    # Texts that surely lose nothing are not dealt out.
+    marked = sieved(own, "u", losing.select("u"), "near")
+    plain = marked.where("NOT near").select("k", "t", F.lit(None).cast("array<int>").alias("p"), F.lit(False).alias("c"))
+    some = marked.where("near").join(losing, ["u", "v", "d"], "left").select("k", "t", "p", "c")
+    rows = some.unionByName(plain).mapInArrow(_kept, "k long, n_words long, n_removed long, kept string")
+    return rows.withColumnRenamed("k", key)
