@@ -26,7 +26,7 @@ def order_key(row):
     return ((1 << 63) - 1 if k is None else k, digest - (1 << 64) if digest >> 63 else digest)
 
 
-def brute(rows, edits=2, least=24):
+def brute(rows, edits=2, least=24, in_order=False):
     """Rows of key and text; equal rows count once for the order."""
     order = sorted(set(rows), key=order_key)
     lines = {}
@@ -58,7 +58,7 @@ def brute(rows, edits=2, least=24):
         own = t.split("\n")
         kept = [x for i, x in enumerate(own) if not x.strip(" ") or first[root(x)] == (order_key((k, t)), i)]
         out.append((k, "\n".join(kept), len(own), len(own) - len(kept)))
-    return sorted(out, key=repr)
+    return out if in_order else sorted(out, key=repr)
 
 
 def result(spark, rows):

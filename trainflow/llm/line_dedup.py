@@ -163,16 +163,21 @@ def _losses(own: DataFrame, edits: int, least: int) -> DataFrame:
 
 
 def deduplicated(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, least: int = LEAST_CHARS
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    least: int = LEAST_CHARS,
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
 ) -> DataFrame:
-    """The rows of ``docs`` without repeated lines, with ``n_lines`` and ``n_removed`` added.
+    """The rows of ``docs`` without repeated lines, with the number of lines and of removed ones added.
 
     Lines are what stands between line feeds. Of each class of near lines (within ``edits`` edits if
     both have ``least`` characters, else equal) the first stays: in the smallest key, then the text of
     the smallest hash, then by place; the others go, also within a document. Blank lines stay. Kept
     lines are joined by line feeds. Null keys come last. A null text stays null and has no lines, an
     empty one has one blank line. Rows equal in key and text are one document and keep the same lines.
-    Other columns stay as they are; columns of the two new names are replaced. An empty table gives no rows.
+    Other columns stay as they are; columns with the names of ``counts`` are replaced. An empty table gives no rows.
     """
     lost = _losses(_identified(docs, key, text), edits, least)
     d = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
@@ -188,7 +193,7 @@ def deduplicated(
     return every.withColumns(
         {
             text: F.when(F.col("__lost").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
-            "n_lines": F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.size("__lost"), F.lit(0)).cast("long"),
+            counts[0]: F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
+            counts[1]: F.coalesce(F.size("__lost"), F.lit(0)).cast("long"),
         }
-    ).select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    ).select(*[c for c in docs.columns if c not in counts], *counts)

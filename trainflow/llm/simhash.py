@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.llm.components import components
+from trainflow.llm.sieve import sieved
 from trainflow.workspace import written
 
 #: Fixed values of the fingerprint: seed of the shingle hash, bits.
@@ -251,3 +252,26 @@ def near_duplicates(
     return rows.join(groups, F.col("f") == F.col("g")).select(
         F.col("k").alias(key), F.col("f").alias("fingerprint"), F.col("c").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3
+) -> DataFrame:
+    """One row of each component, all columns: that of the smallest key, then of the smallest text hash.
+
+    Null keys come last. Of rows equal in key and text any one stays. Only rows that may go are dealt out.
+    """
+    d = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
+    x = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    named = docs.select(F.struct(d.alias("d"), x.alias("x")).alias("k"), F.col(text).alias("t"))
+    found = near_duplicates(named, "k", "t", shingle, max_bits)
+    counted = found.groupBy("k").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
+    doubtful = counted.where((F.col("k") != F.col("c")) | (F.col("n") > 1))
+    doubtful = written(doubtful.select("k.d", "k.x", (F.col("k") == F.col("c")).alias("stays")), "doubtful")
+    rows = docs.withColumns({"__d": d, "__x": x})
+    rows = sieved(rows, "__x", doubtful.select(F.col("x").alias("__x")), "__met")
+    gone = doubtful.where("NOT stays").select(F.col("d").alias("__d"), F.col("x").alias("__x"))
+    kept = rows.where("__met").join(gone, ["__d", "__x"], "left_anti")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = kept.groupBy("__d", "__x").agg(F.first(row).alias("row")).select("row.*")
+    return rows.where("NOT __met").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(kept)
