@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trainflow.operators import intervals
+from trainflow.plans import flow
 from trainflow.sources import inventory, landing, tables, watermark
 from trainflow.sources.watermark import LoadSpan
+from trainflow.spec import FeatureSpec, RunPaths
 from trainflow.streaming import stream_ingest
 
 RECORD = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
@@ -199,3 +201,63 @@ def test_only_tables_with_few_splits_are_spread(spark, tmp_path):
     assert few.rdd.getNumPartitions() == cores and few.count() == 100
     many = spark.range(0, 100, 1, 3 * cores)
     assert tables.spread(many) is many
+
+
+def test_good_elements_of_an_array_are_kept_beside_bad_ones(spark, tmp_path):
+    lines = '[{"id": 1}, {"id": 2}]\n[{"id": 3}, {"id": "x"}, null, {"id": 4, "name": "d"}, 7]\n[{"id": 5},{"id"\n\n[]\n'
+    path, store = land(tmp_path / "in", lines=lines), str(tmp_path / "store")
+    landing.compact(spark, path, RECORD, store)
+    assert sorted(r.id for r in landing.read_store(spark, store).collect()) == [1, 2, 3, 4]
+    bad = sorted(tuple(r) for r in landing.read_quarantine(spark, store).collect())
+    unfit, broken = landing.UNFIT_PAYLOAD, landing.BAD_PAYLOAD
+    assert bad == [("7", unfit), ('[{"id": 5},{"id"', broken), ("null", unfit), ('{"id":"x"}', unfit)]
+    scanned = landing.scan_json(spark, path, RECORD)
+    assert scanned.count() == 8 and landing.good_payloads(scanned).count() == 4
+    assert landing.good_payloads(scanned).select("name").count() == 4
+
+
+def test_a_load_repeated_later_replaces_itself(spark, tmp_path):
+    paths, start = RunPaths(str(tmp_path), "r"), date(2024, 1, 1)
+    (tmp_path / "runs" / "r").mkdir(parents=True)
+    land(tmp_path / "runs" / "r" / "landing", a='{"id": 1}\nbad\n{"id": 2}')
+    landing.compact(spark, paths.landing, RECORD, paths.feature_store, f"from-{start}")
+    (tmp_path / "runs" / "r" / "landing" / "a.json").write_text('{"id": 1}\n{"id": 2}\n{"id": 3}')
+    rows = flow.ingest(spark, RECORD, LoadSpan(start, date(2024, 1, 3)), paths)
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
+    assert landing.read_quarantine(spark, paths.feature_store).count() == 0
+
+
+def test_no_landing_files_move_the_watermark(spark, tmp_path):
+    paths = RunPaths(str(tmp_path), "r")
+    assert flow.ingest(spark, RECORD, LoadSpan(date(2024, 1, 1), date(2024, 1, 2)), paths).count() == 0
+    (tmp_path / "runs" / "r" / "landing").mkdir(parents=True)
+    assert flow.ingest(spark, RECORD, LoadSpan(date(2024, 1, 2), date(2024, 1, 3)), paths).count() == 0
+    assert watermark.last_end(spark, paths.watermarks) == date(2024, 1, 3)
+
+
+def test_stream_and_batch_share_a_store(spark, tmp_path):
+    first, second = land(tmp_path / "a", x='[{"id": 1}, {"id": "y"}]'), land(tmp_path / "b", x='{"id": 2}')
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    for _ in range(2):
+        stream_ingest(spark, first, RECORD, store, checkpoint).awaitTermination()
+    landing.compact(spark, second, RECORD, store)
+    assert sorted(r.id for r in landing.read_store(spark, store).collect()) == [1, 2]
+    assert landing.read_quarantine(spark, store).count() == 1
+
+
+@pytest.mark.parametrize("name", ["load", "payload_ok", "Error_Msg", "_corrupt_record"])
+def test_clashing_names_are_refused(spark, tmp_path, name):
+    record = T.StructType([T.StructField("id", T.LongType()), T.StructField(name, T.StringType())])
+    path = land(tmp_path / "in", x='{"id": 2}')
+    with pytest.raises(ValueError, match=name.lower()):
+        landing.compact(spark, path, record, str(tmp_path / "store"))
+    with pytest.raises(ValueError, match=name.lower()):
+        stream_ingest(spark, path, record, str(tmp_path / "store"), str(tmp_path / "cp"))
+
+
+def test_validate_refuses_columns_it_would_replace(spark, tmp_path):
+    spec = FeatureSpec(target="y", key=("k",))
+    for name in ("split", "accepted"):
+        df = spark.createDataFrame([(1, "a", 2)], f"k long, y string, {name} int")
+        with pytest.raises(ValueError, match=name):
+            flow.validate(df, spec, RunPaths(str(tmp_path), "r"))

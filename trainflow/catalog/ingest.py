@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 from trainflow.catalog.tables import load
 from trainflow.functions import largest_number, row_as_json
 from trainflow.operators import intervals
+from trainflow.plans import flow
 from trainflow.sources import landing, watermark
 from trainflow.sources.watermark import LoadSpan
+from trainflow.spec import RunPaths
 from trainflow.streaming import stream_ingest as start_ingest
 from trainflow.workspace import new_folder
 
@@ -98,7 +100,7 @@ def json_scan_inferred(spark, folder):
 
 
 def json_quarantine(spark, folder):
-    return landing.bad_lines(landing.scan_lines(spark, _landed(spark, folder), EVENT))
+    return landing.bad_payloads(landing.scan_json(spark, _landed(spark, folder), EVENT))
 
 
 def json_good_rows(spark, folder):
@@ -130,7 +132,7 @@ def _enveloped(spark, folder):
 
 def json_envelope_unwrap(spark, folder):
     envelopes = T.StructType([T.StructField(landing.ENVELOPE, EVENT)])
-    return landing.unwrap(landing.scan_json(spark, _enveloped(spark, folder), envelopes))
+    return landing.unwrap(landing.good_payloads(landing.scan_json(spark, _enveloped(spark, folder), envelopes)))
 
 
 def json_envelope_compaction(spark, folder):
@@ -169,6 +171,61 @@ def stream_ingest(spark, folder):
     return landing.read_store(spark, store)
 
 
+def _arrays(spark, folder):
+    """Landing lines that hold arrays of four events; the values of errors are texts, not numbers."""
+    path = new_folder(spark, "landing")
+    text = row_as_json("event_id", "event_type", "value")
+    unfit = F.regexp_replace(text, '"value":.*}', '"value":"none"}')
+    events = load(spark, folder, "events").withColumn(
+        "text", F.when(F.col("event_type") == "error", unfit).otherwise(text)
+    )
+    line = events.groupBy(F.floor(F.col("event_id") / 4)).agg(F.sort_array(F.collect_list("text")).alias("t"))
+    line.select(F.concat(F.lit("["), F.concat_ws(", ", "t"), F.lit("]"))).write.text(path)
+    return path
+
+
+def json_array_salvage(spark, folder):
+    """Good elements beside bad ones in one array."""
+    store = new_folder(spark, "store")
+    landing.compact(spark, _arrays(spark, folder), EVENT, store)
+    return landing.read_store(spark, store, EVENT)
+
+
+def json_array_quarantine(spark, folder):
+    store = new_folder(spark, "store")
+    landing.compact(spark, _arrays(spark, folder), EVENT, store)
+    return landing.read_quarantine(spark, store)
+
+
+def repeated_load(spark, folder):
+    """A load whose watermark was lost is repeated later, up to a later day, with more files."""
+    paths = RunPaths(new_folder(spark, "workflow"), "run")
+    events = load(spark, folder, "events")
+    start, stop = _span(events, "ts")
+    text = _payload(F.col("event_type") == "error")
+    events.where(F.col("event_type") != "click").select(text).write.text(paths.landing)
+    landing.compact(spark, paths.landing, EVENT, paths.feature_store, load=f"from-{start}")
+    events.where(F.col("event_type") == "click").select(text).write.mode("append").text(paths.landing)
+    return flow.ingest(spark, EVENT, LoadSpan(start, stop), paths)
+
+
+def mixed_store(spark, folder):
+    """A stream, then a batch job, into one store."""
+    first, second, store, checkpoint = (new_folder(spark, n) for n in ("landing", "landing", "store", "stream"))
+    events = load(spark, folder, "events")
+    for part, path in ((F.col("event_type") == "click", first), (F.col("event_type") != "click", second)):
+        events.where(part).select(_payload(F.lit(False))).write.text(path)
+    start_ingest(spark, first, EVENT, store, checkpoint).awaitTermination()
+    landing.compact(spark, second, EVENT, store)
+    return landing.read_store(spark, store)
+
+
+def stream_ingest_enveloped(spark, folder):
+    store, checkpoint = new_folder(spark, "store"), new_folder(spark, "stream")
+    start_ingest(spark, _enveloped(spark, folder), EVENT, store, checkpoint, enveloped=True).awaitTermination()
+    return landing.read_store(spark, store)
+
+
 QUERIES = {
     "interval_spine_weeks": interval_spine_weeks,
     "interval_spine_years": interval_spine_years,
@@ -189,6 +246,11 @@ QUERIES = {
     "rows_as_json": rows_as_json,
     "largest_number_in_url": largest_number_in_url,
     "stream_ingest": stream_ingest,
+    "stream_ingest_enveloped": stream_ingest_enveloped,
+    "json_array_salvage": json_array_salvage,
+    "json_array_quarantine": json_array_quarantine,
+    "repeated_load": repeated_load,
+    "mixed_store": mixed_store,
 }
 
 
@@ -247,4 +309,10 @@ ORACLES = {
     "largest_number_in_url": r"""SELECT page_id,
         list_max(list_transform(regexp_extract_all(url, '\d+'), lambda d: d::BIGINT)) AS number FROM pages""",
     "stream_ingest": f"{_EVENTS} WHERE event_type <> 'error'",
+    "stream_ingest_enveloped": f"{_EVENTS} WHERE event_type <> 'view'",
+    "json_array_salvage": f"{_EVENTS} WHERE event_type <> 'error'",
+    "json_array_quarantine": """SELECT '{"event_id":' || event_id || ',"event_type":"error","value":"none"}' AS payload,
+        'Payload does not fit the record' AS error_msg FROM events WHERE event_type = 'error'""",
+    "repeated_load": f"{_EVENTS} WHERE event_type <> 'error'",
+    "mixed_store": _EVENTS,
 }

@@ -25,7 +25,7 @@ from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans.evaluation import EvaluationLog, Verdict, evaluate
 from trainflow.plans.features import fit_and_store
 from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_metrics
-from trainflow.sources.landing import compact, compact_enveloped, read_store
+from trainflow.sources.landing import compact, compact_enveloped, read_store, refuse_names
 from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import create, read_table
 from trainflow.sources.watermark import LoadSpan, record_load
@@ -51,19 +51,21 @@ def ingest(
     """Add the run's landing files to the feature store and move the watermark; None if nothing is due.
 
     ``enveloped`` files hold ``{"_source": {..}}`` elements. A load that broke off before its watermark
-    was written is repeated by the next run, and replaces what it left.
+    was written is repeated by the next run, and replaces what it left: it is named by its start alone,
+    as the next run may reach further. Without landing files only the watermark moves.
     """
     if span.empty:
         return None
     add = compact_enveloped if enveloped else compact
-    add(spark, paths.landing, record, paths.feature_store, load=f"{span.start}_{span.end}")
+    add(spark, paths.landing, record, paths.feature_store, load=f"from-{span.start}")
     record_load(spark, paths.watermarks, span, paths.feature_store)
-    return read_store(spark, paths.feature_store)
+    return read_store(spark, paths.feature_store, record)
 
 
 def validate(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[DataFrame, list[str]]:
     """Drop poor columns, reject rows without target, mark the split: one pass for the counts, one to
     write all rows, and one over the rejected columns alone."""
+    refuse_names(df.columns, (SPLIT, ACCEPTED_COLUMN, ERROR_COLUMN))
     unwanted = unwanted_columns(df, spec.max_missing_percent, spec.always_drop, keep=spec.key)
     kept, rejected = split_columns(df, unwanted, spec.key)
     check_required(kept, spec.required_columns)

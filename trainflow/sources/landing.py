@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trainflow.operators.quality import ERROR_COLUMN
-from trainflow.sources.tables import append, read_table, replace
+from trainflow.sources.tables import read_if_present, read_table, replace
 
 CORRUPT = "_corrupt_record"
 PAYLOAD_OK = "payload_ok"
 LOAD = "load"
 ENVELOPE = "_source"
 BAD_PAYLOAD = "Payload is not valid JSON"
+UNFIT_PAYLOAD = "Payload does not fit the record"
+#: Columns that a store adds to the record's.
+RESERVED = (LOAD, PAYLOAD_OK, CORRUPT, ERROR_COLUMN)
+
+
+def refuse_names(columns: Iterable[str], reserved: Iterable[str]) -> None:
+    """Raise if a table has columns that a step would write over."""
+    clash = sorted({c.lower() for c in columns} & {c.lower() for c in reserved})
+    if clash:
+        raise ValueError(f"columns {', '.join(clash)} have names that are added here; rename them first")
 
 
 def payload_schema(record: T.StructType) -> T.StructType:
@@ -21,92 +35,131 @@ def payload_schema(record: T.StructType) -> T.StructType:
     return T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def scan_json(spark: SparkSession, path: str, record: T.StructType | None = None) -> DataFrame:
-    """All JSON files below a path in one scan.
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of the files below a path, as ``value``; none if nothing is there."""
+    try:
+        return spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string")
 
-    A line holds one object or an array of objects. With a declared schema nothing is inferred and
-    text that does not parse is kept in ``_corrupt_record``.
+
+def elements(lines: DataFrame, text: str = "value") -> DataFrame:
+    """``payload``: the elements of every line. A line holds one object or an array of objects.
+
+    A line that is no valid array is one payload; blank lines and empty arrays have none.
     """
-    if record is None:
-        return spark.read.json(path)
-    return (
-        spark.read.schema(payload_schema(record))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    trimmed = F.expr(f"trim(BOTH ' \t\r\n' FROM `{text}`)")
+    parts = F.from_json(trimmed, "array<string>")
+    array = trimmed.startswith("[") & F.try_parse_json(trimmed).isNotNull()
+    payloads = F.when(array, F.transform(parts, lambda x: F.coalesce(x, F.lit("null")))).otherwise(F.array(F.col(text)))
+    return lines.where(trimmed != "").select(F.explode(payloads).alias("payload"))
 
 
 def parse_json(df: DataFrame, text: str, record: T.StructType, output: str = "record") -> DataFrame:
-    """The same for JSON held in a column: adds a struct with the fields and ``_corrupt_record``."""
+    """JSON objects held in a column: adds a struct with the fields and ``_corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return df.withColumn(output, F.from_json(text, payload_schema(record), options))
 
 
-def unwrap(df: DataFrame, envelope: str = ENVELOPE) -> DataFrame:
-    """Payloads of the elements that have an envelope; the others are left out."""
-    return df.where(F.col(envelope).isNotNull()).select(f"{envelope}.*")
-
-
 def parsed(corrupt: Column | None = None) -> Column:
     return (F.col(CORRUPT) if corrupt is None else corrupt).isNull()
 
 
-def good_payloads(df: DataFrame) -> DataFrame:
-    return df.where(parsed()).drop(CORRUPT)
+def scan_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """Landing files element by element: the text as ``payload`` and what it parses to as ``record``."""
+    return parse_json(elements(read_lines(spark, path)), "payload", record)
 
 
-def scan_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Landing files line by line: the text as ``payload`` and what it parses to as ``record``.
+def _reason() -> Column:
+    return F.when(F.try_parse_json("payload").isNull(), BAD_PAYLOAD).otherwise(UNFIT_PAYLOAD)
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """Scanned elements that do not parse or fit, with a reason."""
+    return lines.where(~parsed(F.col("record")[CORRUPT])).select("payload", _reason().alias(ERROR_COLUMN))
 
-    Spark reads no column but ``_corrupt_record`` from JSON files; this scan lists bad lines directly.
+
+def _flat(payloads: DataFrame, record: T.StructType) -> DataFrame:
+    """The record's fields, and the text and the reason of payloads that do not parse."""
+    df = parse_json(payloads, "payload", record)
+    corrupt = F.col("record")[CORRUPT]
+    fields = [F.when(parsed(corrupt), F.col("record")[f.name]).alias(f.name) for f in record.fields]
+    return df.select(*fields, corrupt.alias(CORRUPT), F.when(~parsed(corrupt), _reason()).alias(ERROR_COLUMN))
+
+
+def scan_json(spark: SparkSession, path: str, record: T.StructType | None = None) -> DataFrame:
+    """All JSON files below a path in one scan.
+
+    With a declared schema nothing is inferred, and each object is judged alone: text that does not
+    parse or fit is kept in ``_corrupt_record`` with its reason, whatever columns are read.
     """
-    return parse_json(spark.read.text(path).withColumnRenamed("value", "payload"), "payload", record)
+    if record is None:
+        return spark.read.json(path)
+    return _flat(elements(read_lines(spark, path)), record)
 
 
-def bad_lines(lines: DataFrame) -> DataFrame:
-    """Lines that do not parse, with a reason."""
-    broken = ~parsed(F.col("record")[CORRUPT])
-    return lines.where(broken).select("payload", F.lit(BAD_PAYLOAD).alias(ERROR_COLUMN))
+def unwrap(df: DataFrame, envelope: str = ENVELOPE) -> DataFrame:
+    """Payloads of the elements that have an envelope; the others are left out."""
+    return df.where(F.col(envelope).isNotNull()).select(f"{envelope}.*")
+
+
+def good_payloads(df: DataFrame) -> DataFrame:
+    return df.where(parsed()).drop(CORRUPT, ERROR_COLUMN)
 
 
 def bad_payloads(df: DataFrame) -> DataFrame:
-    """Texts of a stored scan that did not parse, with a reason."""
-    return df.where(~parsed()).select(F.col(CORRUPT).alias("payload"), F.lit(BAD_PAYLOAD).alias(ERROR_COLUMN))
+    """Texts that did not parse or fit, with the reason."""
+    return df.where(~parsed()).select(F.col(CORRUPT).alias("payload"), ERROR_COLUMN)
 
 
-def _store(df: DataFrame, store: str, load: str | None) -> None:
-    """One write; a load with a name replaces its own partitions, so repeating it adds nothing."""
-    if load is None:
-        append(df.withColumn(PAYLOAD_OK, parsed()), store, [PAYLOAD_OK])
+def stored(lines: DataFrame, record: T.StructType, store: str, load: str | None = None, enveloped: bool = False) -> None:
+    """Write the elements of landing lines to a store, as one load.
+
+    A load with a name replaces what an earlier attempt of it left, so repeating it adds nothing.
+    ``enveloped`` elements hold the record in ``_source``; those without it are left out.
+    """
+    refuse_names(record.fieldNames(), RESERVED)
+    if enveloped:
+        envelope = T.StructType([T.StructField(ENVELOPE, record)])
+        flat = _flat(elements(lines), envelope).where(F.col(ENVELOPE).isNotNull() | ~parsed())
+        flat = flat.select(*[F.col(ENVELOPE)[f.name].alias(f.name) for f in record.fields], CORRUPT, ERROR_COLUMN)
     else:
-        named = df.withColumns({LOAD: F.lit(load), PAYLOAD_OK: parsed()})
-        replace(named, store, [LOAD, PAYLOAD_OK])
+        flat = _flat(elements(lines), record)
+    named = flat.withColumns({PAYLOAD_OK: parsed(), LOAD: F.lit(load or uuid.uuid4().hex)})
+    replace(named, store, [LOAD])
 
 
 def compact(spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None) -> None:
     """Add all landing files to a Parquet store: one scan, one write, no file counted first.
 
-    Records that do not parse go to the partition ``payload_ok=false`` of the same write. Without a
-    ``load`` name the rows are appended. A store holds either named loads or appended ones.
+    An absent or empty landing folder adds nothing.
     """
-    _store(scan_json(spark, landing, record), store, load)
+    stored(read_lines(spark, landing), record, store, load)
 
 
 def compact_enveloped(
     spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None
 ) -> None:
     """Like :func:`compact` for ``{"_source": {..}}`` elements; elements without it are left out."""
-    envelopes = T.StructType([T.StructField(ENVELOPE, record)])
-    scanned = scan_json(spark, landing, envelopes).where(F.col(ENVELOPE).isNotNull() | ~parsed())
-    fields = [F.col(ENVELOPE)[f.name].alias(f.name) for f in record.fields]
-    _store(scanned.select(*fields, CORRUPT), store, load)
+    stored(read_lines(spark, landing), record, store, load, enveloped=True)
+
 
+def read_store(spark: SparkSession, store: str, record: T.StructType | None = None) -> DataFrame:
+    """Good records of a store; files of earlier runs may lack columns added since.
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    """Good records of a store; files of earlier runs may lack columns added since."""
-    return read_table(spark, store, merge=True).where(F.col(PAYLOAD_OK).cast("boolean")).drop(LOAD, PAYLOAD_OK, CORRUPT)
+    With the declared record no file is opened to learn the columns, and a store not yet written is empty.
+    """
+    if record is None:
+        rows = read_table(spark, store, merge=True)
+        return rows.where(PAYLOAD_OK).drop(*RESERVED)
+    if read_if_present(spark, store) is None:
+        return spark.createDataFrame([], record)
+    schema = T.StructType([*record.fields, T.StructField(PAYLOAD_OK, T.BooleanType())])
+    return spark.read.schema(schema).parquet(store).where(PAYLOAD_OK).select(*record.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, store: str) -> DataFrame:
-    return bad_payloads(read_table(spark, store, merge=True).where(~F.col(PAYLOAD_OK).cast("boolean")))
+    """Payloads of a store that did not parse or fit, with the reason."""
+    return bad_payloads(read_table(spark, store, merge=True))

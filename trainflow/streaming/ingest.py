@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trainflow.sources.landing import CORRUPT, PAYLOAD_OK, parsed, payload_schema
+from trainflow.sources.landing import RESERVED, refuse_names, stored
 
 
 def stream_ingest(
@@ -16,25 +18,19 @@ def stream_ingest(
     store: str,
     checkpoint: str,
     files_per_batch: int = 1_000,
+    enveloped: bool = False,
 ) -> StreamingQuery:
     """Add landing files not seen before to a store, then stop.
 
-    Every file is taken exactly once over all runs with the same checkpoint. Records that do not
-    parse go to the partition ``payload_ok=false``.
+    Every file is taken exactly once over all runs with the same checkpoint: a batch is a load of its
+    own name, so a repeated batch replaces itself. Batch jobs may write to the same store.
     """
-    rows = (
-        spark.readStream.schema(payload_schema(record))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(landing)
-    )
-    return (
-        rows.withColumn(PAYLOAD_OK, parsed())
-        .writeStream.format("parquet")
-        .partitionBy(PAYLOAD_OK)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(store)
-    )
+    refuse_names(record.fieldNames(), RESERVED)
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def add(lines: DataFrame, batch: int) -> None:
+        stored(lines, record, store, f"stream-{stream}-{batch}", enveloped)
+
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+    writer = lines.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
