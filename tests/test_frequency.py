@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trainflow.operators import frequency, lookup
 from trainflow.operators.ranking import numbered
+from trainflow.operators.stages import FrequencyEncoder
 from trainflow.workspace import written
 
 
@@ -93,13 +94,12 @@ def test_answered_rows_are_spread_over_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(lookup, "HOT_PARTS", 5)
     rows = spark.range(300).selectExpr("id", "CASE WHEN id < 100 THEN 'hot' ELSE cast(id as string) END AS c")
     table = written(frequency.frequency_table(rows, "c", "n"), "frequencies")
-    size = lookup.table_size(table, "value", "n")
-    assert (size.rows, size.weight) == (201, 300)
+    assert lookup.table_size(table, "value", "n") == lookup.TableSize(201, 3 + 3 + 200 * 3 + 200)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         encoded = frequency.frequency_encode(rows, "c", table, "n")
         plan = encoded._jdf.queryExecution().toString()
-        assert re.search(r"hashpartitioning\(__open#\d+, __salt#\d+", plan)
+        assert re.search(r"hashpartitioning\(__lk_row#\d+, __lk_salt#\d+", plan)
         assert {r.c: r.n for r in encoded.where("id < 101").collect()} == {"hot": 100, "100": 1}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -108,4 +108,36 @@ def test_answered_rows_are_spread_over_the_shuffle(spark, monkeypatch):
 def test_lookup_rejects_other_joins(spark):
     df = spark.range(1).selectExpr("id", "id AS n")
     with pytest.raises(ValueError, match="left or inner"):
-        lookup.lookup(df, "id", df, "id", ["n"], "n", how="full")
+        lookup.lookup(df, F.col("id"), df, "id", {"n": "n"}, how="full")
+
+
+@pytest.mark.parametrize("key", ["unseen", "known", "known" * 2000])
+def test_no_task_gets_much_more_than_the_mean(spark, monkeypatch, key):
+    """Half of all rows under one key, also one the table lacks and one of several thousand bytes."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    rows = spark.range(60_000).withColumn("c", F.when(F.col("id") % 2 == 0, key).otherwise(F.col("id").cast("string")))
+    table = written(spark.range(1, 60_000, 2).select(F.col("id").cast("string").alias("v"), F.lit(1).alias("n")), "t")
+    if key != "unseen":
+        table = written(table.unionByName(spark.range(1).select(F.lit(key).alias("v"), F.lit(2).alias("n"))), "t")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = lookup.lookup(rows, F.col("c"), table, "v", {"n": "n"})
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 60_000 and max(sizes) <= 2 * 60_000 / 16
+    assert found.where("n IS NULL").count() == (30_000 if key == "unseen" else 0)
+
+
+def test_names_of_the_table_do_not_clash(spark, monkeypatch):
+    for rows_limit in (lookup.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(lookup, "BROADCAST_ROWS", rows_limit)
+        df = spark.createDataFrame([(1, "a", 5, "x"), (2, "b", 6, "y"), (3, None, 7, "a")], "cnt int, `a.b` string, value int, `__text` string")
+        model = FrequencyEncoder(inputCols=["a.b", "__text"], outputCols=["fe", "cnt"]).fit(df)
+        found = model.transform(df)
+        assert found.columns == ["a.b", "value", "__text", "fe", "cnt"]
+        assert sorted((r["value"], r.fe, r.cnt) for r in found.collect()) == [(5, 1.0, 1.0), (6, 1.0, 1.0), (7, 0.0, 1.0)]

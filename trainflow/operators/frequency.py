@@ -93,9 +93,9 @@ def one_hot_slots(df: DataFrame, key: Sequence[str], index: DataFrame, columns:
     slots = (
         index.join(last, "column")
         .where(F.col("idx") < F.col("last"))
-        .select(cell, F.col("idx").alias("slot"), "cnt")
+        .select(cell, F.col("idx").alias("slot"))
     )
-    return lookup(rows, "cell", slots, "cell", ["slot"], "cnt", how="inner").select(*key, "column", "slot")
+    return lookup(rows, F.col("cell"), slots, "cell", {"slot": "slot"}, how="inner").select(*key, "column", "slot")
 
 
 def frequency_table(df: DataFrame, column: str, output: str) -> DataFrame:
@@ -108,5 +108,5 @@ def frequency_encode(df: DataFrame, column: str, table: DataFrame, output: str,
 
     ``left`` keeps every row and gives 0 to null and unseen values; ``inner`` drops those rows.
     """
-    encoded = lookup(df, column, table, "value", [output], output, how=how)
-    return encoded.withColumn(output, F.coalesce(output, F.lit(0).cast("long")))
+    encoded = lookup(df, quoted(column), table, "value", {output: output}, how=how)
+    return encoded.withColumn(output, F.coalesce(quoted(output), F.lit(0).cast("long")))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trainflow.functions import elapsed_days, to_timestamp
 from trainflow.operators.frequency import mode_values, value_counts
-from trainflow.operators.lookup import TableSize, lookup, table_size
+from trainflow.operators.lookup import TableSize, lookup
 from trainflow.operators.quality import quoted
 from trainflow.workspace import new_folder
 
@@ -176,21 +176,27 @@ class FrequencyEncoder(Estimator, _Frequencies, DefaultParamsReadable, DefaultPa
         return self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "FrequencyEncoderModel":
-        columns = self.getInputCols()
-        path = new_folder(dataset.sparkSession, "frequencies")
-        counts = value_counts(dataset, columns).where(F.col("value").isNotNull())
-        counts.write.partitionBy("column").parquet(path)
+        return self.fit_counts(value_counts(dataset, self.getInputCols()))
+
+    def fit_counts(self, counts: DataFrame) -> "FrequencyEncoderModel":
+        """Learn from value counts, ``column, value, cnt``, made before; other columns' are left out."""
+        columns, spark = self.getInputCols(), counts.sparkSession
+        path = new_folder(spark, "frequencies")
+        own = counts.where(F.col("value").isNotNull() & F.col("column").isin(columns))
+        own.write.partitionBy("column").parquet(path)
         model = FrequencyEncoderModel(inputCols=columns, outputCols=self.getOutputCols(), how=self.getHow())
         model.setTablePath(path)
-        sizes = [table_size(model.table(dataset.sparkSession, c), "value", "cnt") for c in columns]
-        return model.setSizes([[s.rows, s.key_bytes, s.weight] for s in sizes])
+        width = F.octet_length("value") + F.octet_length(F.col("cnt").cast("string"))
+        measured = model.tables(spark).groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+        sizes = {r["column"]: [r["n"], r["b"]] for r in measured.collect()}
+        return model.setSizes([sizes.get(c, [0, 0]) for c in columns])
 
 
 class FrequencyEncoderModel(Model, _Frequencies, MLReadable, MLWritable):
     """Add the learnt count of each value as a double."""
 
     tablePath = Param(Params._dummy(), "tablePath", "folder of the counts", typeConverter=TypeConverters.toString)
-    sizes = Param(Params._dummy(), "sizes", "rows, key bytes and weight of each column's counts")
+    sizes = Param(Params._dummy(), "sizes", "rows and bytes of each column's counts")
 
     @keyword_only
     def __init__(
@@ -226,10 +232,9 @@ class FrequencyEncoderModel(Model, _Frequencies, MLReadable, MLWritable):
         result = dataset
         for c, out, size in zip(self.getInputCols(), self.getOutputCols(), self.getSizes()):
             table = self.table(dataset.sparkSession, c)
-            keyed = result.withColumn("__text", quoted(c).cast("string"))
-            joined = lookup(keyed, "__text", table, "value", ["cnt"], "cnt", self.getHow(), TableSize(*size))
-            count = F.coalesce("cnt", F.lit(0)).cast("double").alias(out)
-            result = joined.select(*[quoted(n) for n in result.columns if n != out], count)
+            key = quoted(c).cast("string")
+            joined = lookup(result, key, table, "value", {"cnt": out}, self.getHow(), TableSize(*size))
+            result = joined.withColumn(out, F.coalesce(quoted(out), F.lit(0)).cast("double"))
         return result
 
     def write(self):

@@ -43,7 +43,7 @@ def tf_idf(counts: DataFrame, key: Sequence[str], frequency: DataFrame, document
 
     ``counts`` are the term counts of the texts, ``frequency`` that of the ``documents`` learnt from.
     """
-    counted = lookup(counts, "term", frequency, "term", ["df"], "df", how="inner")
+    counted = lookup(counts, F.col("term"), frequency, "term", {"df": "df"}, how="inner")
     weight = F.col("tf").cast("double") * inverse_frequency(documents, F.col("df"))
     return counted.select(*key, "term", weight.alias("tfidf"))
 
