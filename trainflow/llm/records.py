@@ -124,7 +124,8 @@ def _record(batch_rows: list[tuple]) -> pa.RecordBatch:
     keys, starts, ids = zip(*batch_rows, strict=True)
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
     values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids).astype(np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), values], names=["key", "start", "ids"])
+    columns = [pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), values]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "start", "ids"])
 
 
 def _index(path: str) -> np.ndarray:
@@ -137,27 +138,37 @@ def _key(entry: np.void) -> int | None:
     return int(entry["key"]) if entry["has_key"] else None
 
 
+def _file_records(file: dict) -> Iterator[tuple]:
+    """Key, ids before it and ids of every record of a file, in order."""
+    system, base = _opened(file["path"])
+    with system.open_input_stream(f"{base}.rec", buffer_size=BUFFER) as stream:
+        for entry in _index(file["path"]):
+            ids = np.frombuffer(unframed(stream, int(entry["size"])), f"<u{file['width']}")
+            yield _key(entry), file["start"] + int(entry["start"]), ids
+
+
+def _spread(files: DataFrame) -> DataFrame:
+    """The table of files with about one file in each partition."""
+    return files.select("path", "start", "width").repartitionByRange(max(1, files.count()), "path")
+
+
 def read(files: DataFrame) -> DataFrame:
     """``key, start, ids`` of every record, read from the files in order; ``start``: ids before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.to_pylist():
-                system, base = _opened(file["path"])
                 out, held = [], 0
-                with system.open_input_stream(f"{base}.rec", buffer_size=BUFFER) as stream:
-                    for entry in _index(file["path"]):
-                        ids = np.frombuffer(unframed(stream, int(entry["size"])), f"<u{file['width']}")
-                        out.append((_key(entry), file["start"] + int(entry["start"]), ids))
-                        held += len(ids)
-                        if held >= 1 << 18:
-                            yield _record(out)
-                            out, held = [], 0
+                for record in _file_records(file):
+                    out.append(record)
+                    held += len(record[2])
+                    if held >= 1 << 18:
+                        yield _record(out)
+                        out, held = [], 0
                 if out:
                     yield _record(out)
 
-    own = files.select("path", "start", "width")
-    return own.repartition(F.xxhash64("path")).mapInArrow(run, RECORDS)
+    return _spread(files).mapInArrow(run, RECORDS)
 
 
 def read_shuffled(files: DataFrame, seed: int) -> DataFrame:
@@ -192,8 +203,7 @@ def read_shuffled(files: DataFrame, seed: int) -> DataFrame:
                     out.append((e["key"], e["start"], ids))
                 yield _record(out)
 
-    own = files.select("path", "start", "width").repartition(F.xxhash64("path"))
-    index = own.mapInArrow(entries, "path string, width int, key long, start long, offset long, size long")
+    index = _spread(files).mapInArrow(entries, "path string, width int, key long, start long, offset long, size long")
     drawn = F.xxhash64(F.lit(seed), "path", "offset")
     return index.repartitionByRange(drawn).sortWithinPartitions(drawn).mapInArrow(fetch, RECORDS)
 
@@ -203,16 +213,12 @@ def summary(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(2)
-            values = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            at = ids.offsets.to_numpy()
-            crc = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
-                names=["key", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return read(files).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+            for file in batch.to_pylist():
+                rows = [(k, start, len(ids), zlib.crc32(ids.astype("<u4"))) for k, start, ids in _file_records(file)]
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "n_tokens", "ids_crc32"])
+
+    return _spread(files).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, definition: str, end: int) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Words whose ids are remembered, and characters encoded at once.
-MOST_WORDS = 500_000
+MOST_WORDS = 900_000
 CHARACTERS = 1 << 21
 #: Words given to the library in one text.
 TOGETHER = 64
