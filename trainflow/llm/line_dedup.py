@@ -23,26 +23,49 @@ EDITS, LEAST_CHARS = 2, 24
 LAST_KEY = (1 << 63) - 1
 
 
-def _segment(length: str, number: int, segments: int) -> tuple[str, str]:
-    """Start (from 1) and length of a segment; the last ones take what the division leaves over."""
-    base, rest = f"({length} div {segments})", f"({length} % {segments})"
-    start = f"({number - 1} * {base} + greatest(0, {number - 1} - {segments} + {rest}) + 1)"
-    return start, f"({base} + if({number} > {segments} - {rest}, 1, 0))"
+def _edge(number: int, less: int, segments: int) -> str:
+    """Where a segment of a line shorter by ``less`` ends; segment ``number`` + 1 begins behind it."""
+    return {0: "0", segments: f"(n - {less})"}.get(number, f"e{number}_{less}")
+
+
+def _cut(lines: DataFrame, edits: int) -> DataFrame:
+    """Adds segment ends, and for each segment the window of ``l`` that holds all its places.
+
+    Small columns of their own: one large expression would not be compiled to machine code.
+    """
+    segments = edits + 1
+    inner = [(j, less) for j in range(1, segments) for less in range(segments)]
+    ends = {_edge(j, less, segments): F.expr(f"cast({j} * (n - {less}) div {segments} as int)") for j, less in inner}
+    first = {f"s{i}": F.expr(f"greatest(1, {_edge(i - 1, edits, segments)} + 1 - {edits})") for i in range(1, segments + 1)}
+    windows = {}
+    for i in range(1, segments + 1):
+        size = f"{_edge(i, 0, segments)} - {_edge(i - 1, 0, segments)} + {3 * edits + 3}"
+        windows[f"w{i}"] = F.expr(f"substring(l, s{i}, {size})")
+    return lines.withColumns(ends).withColumns(first).withColumns(windows)
 
 
 def _keys(edits: int) -> Column:
-    """The keys a line ``l`` of ``n`` characters is looked up under; ``own``: it is listed there too."""
-    out = []
-    for less in range(edits + 1):
-        length = f"(n - {less})"
-        for number in range(1, edits + 2):
-            start, size = _segment(length, number, edits + 1)
-            left, right = number - 1, edits + 1 - number
+    """The keys a line is looked up under; it is listed under the first ``edits`` + 1 as well."""
+    segments = edits + 1
+    listed, others = [], []
+    for less in range(segments):
+        for i in range(1, segments + 1):
+            start, end = _edge(i - 1, less, segments), _edge(i, less, segments)
+            left, right = i - 1, segments - i
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
-                part = f"substring(l, cast({start} + {shift} as int), cast({size} as int))"
-                own = str(less == shift == 0).lower()
-                out.append(f"named_struct('key', xxhash64({number}, cast({length} as int), {part}), 'own', {own})")
-    return F.expr(f"array({', '.join(out)})")
+                part = f"substring(w{i}, {start} - s{i} + {shift + 2}, {end} - {start})"
+                key = f"xxhash64({i}, n - {less}, {part})"
+                (listed if less == shift == 0 else others).append(key)
+    return F.expr(f"array({', '.join(listed + others)})")
+
+
+#: Characters by class: edits change few of them.
+CLASSES = ("eé", "aáà", "tT", "nñ", "os", "ir", "hl", "dcu")
+
+
+def _bag() -> list[Column]:
+    """How many characters of each class a line ``l`` of ``n`` characters has."""
+    return [(F.col("n") - F.char_length(F.translate("l", c, ""))).alias(f"c{i}") for i, c in enumerate(CLASSES)]
 
 
 def near(a: Column, b: Column, edits: int) -> Column:
@@ -124,16 +147,23 @@ def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -
     Takes any number of rows ``l, h, g`` for each line.
     """
     long = lines.select("h", "g", "l", F.char_length("l").alias("n")).where(F.col("n") >= least)
-    keyed = long.select("h", "g", "n", F.explode(_keys(edits)).alias("k")).select("h", "g", "n", "k.key", "k.own")
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own"))
+    keyed = _cut(long, edits).select("h", "g", "n", F.posexplode(_keys(edits)).alias("i", "key"))
+    own = F.col("i") <= edits
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max(own).alias("own"))
     again = written(counts.where("c > 1 AND own").select("key"), "keys")
-    met = sieved(keyed, "key", again, "met").where("met").select("h", "g", "n", "key", "own").distinct()
-    met = written(met.join(again, "key", "left_semi"), "segments")
-    listed = met.where("own").select("key", F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("n").alias("n2"))
+    met = sieved(keyed, "key", again, "met").where("met").select("h", "g", "n", "key", own.alias("own"))
+    met = written(met.distinct().join(again, "key", "left_semi"), "segments")
+    # An edit changes the count of at most two classes by one each: lines further apart cannot be near.
+    lines_met = met.select("h", "g").distinct()
+    bags = sieved(long, "h", lines_met.select("h"), "met").where("met").select("h", "g", *_bag()).distinct()
+    named = written(met.join(bags, ["h", "g"]), "segments")
+    renamed = {"h": "h2", "g": "g2", "n": "n2"} | {f"c{i}": f"b{i}" for i in range(len(CLASSES))}
+    listed = named.where("own").drop("own").withColumnsRenamed(renamed)
     # Of two lines of one length the one with the larger hash looks up the other.
-    before = F.expr("n2 < n OR (n2 = n AND (h2 < h OR (h2 = h AND g2 < g)))")
-    pairs = met.join(listed, "key").where(before).select("h", "g", "h2", "g2").distinct()
-    pairs = written(pairs, "pairs")
+    before = "(n2 < n OR (n2 = n AND (h2 < h OR (h2 = h AND g2 < g))))"
+    apart = " + ".join(f"abs(c{i} - b{i})" for i in range(len(CLASSES)))
+    pairs = named.join(listed, "key").where(f"{before} AND {apart} <= {2 * edits}")
+    pairs = written(pairs.select("h", "g", "h2", "g2").distinct(), "pairs")
     ends = pairs.select("h", "g").unionByName(pairs.select(F.col("h2").alias("h"), F.col("g2").alias("g"))).distinct()
     ends = written(ends, "ends")
     texts = sieved(long, "h", ends.select("h"), "met").where("met").join(ends, ["h", "g"], "left_semi")
