@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -100,8 +101,7 @@ def test_features_are_free_of_nulls_and_unseen_values(spark):
     spec = FeatureSpec(
         target="y", key=("id",), categorical=("c", "d", "same"), numeric=("n", "empty"), date_pairs=SPEC.date_pairs, text="t"
     )
-    model, routed = features.fit_features(train, spec)
-    assert routed == spec
+    model = features.fit_features(train, spec)
     new = train.limit(2).withColumns({"c": F.lit("unseen"), "t": F.lit(None).cast("string"), "d": F.lit(None).cast("string")})
     width = {len(r[spec.features]) for r in model.transform(new).collect()}
     # one slot per seen value (2, 7, 1), two numbers and elapsed days, hashed words
@@ -112,9 +112,9 @@ def test_features_are_free_of_nulls_and_unseen_values(spark):
 
 def test_storing_word_counts_gives_the_same_vectors(spark, tmp_path):
     marked = with_split(cases(spark), ["id"], 30)
-    plain, _ = features.fit_features(marked.where("split = 'train'"), SPEC)
+    plain = features.fit_features(marked.where("split = 'train'"), SPEC)
     expected = {r.id: r[SPEC.features].toArray().tolist() for r in plain.transform(marked).collect()}
-    model, _, vectors = features.fit_and_store(marked, SPEC, "split", "train", str(tmp_path / "v"))
+    model, vectors = features.fit_and_store(marked, SPEC, "split", "train", str(tmp_path / "v"))
     assert vectors.columns == ["id", SPEC.features, "y", "split"]
     for rows in (vectors, model.transform(marked)):
         found = {r.id: r[SPEC.features].toArray().tolist() for r in rows.collect()}
@@ -140,14 +140,40 @@ def test_ingest_moves_the_watermark(spark, tmp_path):
     assert sorted(r.id for r in more.collect()) == [1, 2, 3]
 
 
-def test_wide_columns_are_counted_not_indexed(spark):
+def test_wide_columns_are_an_error_and_frequency_columns_are_counted(spark):
     spec = FeatureSpec(target="y", key=("id",), categorical=("c", "d"), max_categories=4)
-    model, routed = features.fit_features(cases(spark), spec)
-    assert (routed.categorical, routed.frequency) == (("c",), ("d",))
+    with pytest.raises(ValueError, match="'d': 7"):
+        features.fit_features(cases(spark), spec)
+    model = features.fit_features(cases(spark), replace(spec, categorical=("c",), frequency=("d",)))
     row = model.transform(cases(spark)).where("d = 'v1'").first()
     assert row.fe_d == cases(spark).where("d = 'v1'").count()
 
 
+def test_features_are_learnt_in_two_scans(spark):
+    """The learnt stages equal those that Spark ML fits one by one."""
+    train = cases(spark)
+    first = features.learnt_stages(SPEC, features.profile_features(train, SPEC))
+    plain = Pipeline(stages=features.column_stages(SPEC)).fit(train)
+    a, b = (PipelineModel(stages=list(s)).transform(train).select(*SPEC.vector_inputs[:-1]).collect() for s in (first, plain.stages))
+    assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_a_wide_target_is_an_error_before_it_is_collected(spark):
+    spec = replace(SPEC, max_categories=3)
+    df = spark.createDataFrame([(f"k{i}",) for i in range(4)], "y string")
+    with pytest.raises(ValueError, match="4 classes"):
+        fit_labels(df, spec)
+
+
+def test_a_class_only_the_test_part_has_counts(spark, tmp_path):
+    df = cases(spark)
+    marked = with_split(df, SPEC.key, SPEC.test_percent)
+    third = marked.withColumn("y", F.when((F.col("split") == "test") & (F.col("id") % 2 == 0), "third").otherwise(F.col("y")))
+    report = flow.run_training(third.drop("split"), SPEC, RunPaths(str(tmp_path), "r"))
+    assert report.metrics["test"]["f1"] == pytest.approx(report.verdict.f1_challenger)
+    assert report.metrics["test"]["f1"] < 0.9
+
+
 def test_a_category_without_values_is_an_error(spark):
     df = cases(spark).withColumn("c", F.lit(None).cast("string"))
     with pytest.raises(ValueError, match="'c'"):
@@ -263,7 +289,7 @@ def test_held_out_rows_without_target_are_an_error(spark, trained):
 def test_weight_of_words_matches_the_formula(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "a"), (3, "c")], "id int, t string")
     spec = FeatureSpec(target="y", key=("id",), text="t", text_slots=1 << 18)
-    model, _ = features.fit_features(docs, spec)
+    model = features.fit_features(docs, spec)
     weights = {r.id: sorted(r.tf_t.values.tolist()) for r in model.transform(docs).collect()}
     rare, common = math.log(4 / 2), math.log(4 / 3)
     assert weights == {1: pytest.approx([common, rare]), 2: pytest.approx([common]), 3: pytest.approx([rare])}

@@ -130,8 +130,8 @@ def feature_vectors(spark, folder):
     marked = with_split(
         written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC.key, DOCUMENT_SPEC.test_percent
     )
-    model, routed = features.fit_features(marked.where(F.col("split") == TRAIN), DOCUMENT_SPEC)
-    slots = vector_to_array(routed.features).alias("slots")
+    model = features.fit_features(marked.where(F.col("split") == TRAIN), DOCUMENT_SPEC)
+    slots = vector_to_array(DOCUMENT_SPEC.features).alias("slots")
     langs = F.size(vector_to_array("tf_lang")).alias("langs")
     vectors = model.transform(marked).select("doc_id", "split", slots, langs)
     return vectors.select(
@@ -145,7 +145,7 @@ def feature_vectors(spark, folder):
 
 
 def stage_report(spark, folder):
-    model, _ = features.fit_features(written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC)
+    model = features.fit_features(written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC)
     return features.stage_report(spark, model)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.operators.metrics import metric_row
+from trainflow.operators.quality import quoted
 
 CHALLENGER = "challenger"
 CHAMPION = "champion"
@@ -17,7 +18,7 @@ def two_model_counts(df: DataFrame, label: str, challenger: str, champion: str)
     The rows are grouped once by label and both predictions; only the groups are taken apart.
     """
     groups = df.groupBy(
-        F.col(label).alias("label"), F.col(challenger).alias("challenger"), F.col(champion).alias("champion")
+        quoted(label).alias("label"), quoted(challenger).alias("challenger"), quoted(champion).alias("champion")
     ).agg(F.count(F.lit(1)).alias("cnt"))
     sides = F.array(
         F.struct(F.lit(CHALLENGER).alias("model"), F.col("challenger").alias("prediction")),

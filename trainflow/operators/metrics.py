@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trainflow.operators.quality import quoted
+
 # The metric names a report holds.
 METRIC_NAMES = (
     "f1",
@@ -30,7 +32,7 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[st
     Rows without label or prediction count for nothing, as in the ML evaluator's input contract.
     """
     return (
-        df.select(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction"))
+        df.select(*by, quoted(label).alias("label"), quoted(prediction).alias("prediction"))
         .where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
         .groupBy(*by, "label", "prediction")
         .agg(F.count(F.lit(1)).alias("cnt"))

@@ -175,4 +175,5 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
 def value_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long form: one ``column, value`` row per cell, values as text."""
     cells = [F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
-    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.column", "cell.value")
+    kind = "array<struct<column:string,value:string>>"  # also with no columns at all
+    return df.select(F.explode(F.array(*cells).cast(kind)).alias("cell")).select("cell.column", "cell.value")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.operators import history
-from trainflow.operators.gate import CHALLENGER, decide, two_model_counts
+from trainflow.operators.gate import CHALLENGER, CHAMPION, decide, two_model_counts
 from trainflow.operators.metrics import confusion_counts
 from trainflow.operators.quality import quoted
 from trainflow.sources.tables import append, read_if_present
@@ -35,16 +35,29 @@ def evaluate(
     champion: PipelineModel | None,
     min_gain: float,
     min_f1: float | None = None,
+    challenger_counts: DataFrame | None = None,
 ) -> Verdict:
-    """Score both models on the same held-out rows, by class name, in one pass."""
-    first = challenger.transform(held_out).select(
-        *map(quoted, held_out.columns), quoted(spec.predicted_target).alias("__challenger")
-    )
-    if champion is None:
-        counts = confusion_counts(first.withColumn("model", F.lit(CHALLENGER)), spec.target, "__challenger", ["model"])
+    """Both models on the same held-out rows, by class name.
+
+    With the confusion counts of the challenger, ``label, prediction, cnt``, only the champion scores
+    the rows; else both do, in one pass.
+    """
+    rows = held_out.withColumn(spec.target, quoted(spec.target).cast("string"))
+
+    def scored(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
+        return model.transform(df).select(*map(quoted, df.columns), quoted(spec.predicted_target).alias(name))
+
+    def counted(model: PipelineModel, name: str) -> DataFrame:
+        return confusion_counts(scored(rows, model, "__prediction"), spec.target, "__prediction").withColumn("model", F.lit(name))
+
+    if champion is not None and challenger_counts is None:
+        both = scored(scored(rows, challenger, "__challenger"), champion, "__champion")
+        counts = two_model_counts(both, spec.target, "__challenger", "__champion")
     else:
-        both = champion.transform(first).select(spec.target, "__challenger", quoted(spec.predicted_target))
-        counts = two_model_counts(both, spec.target, "__challenger", spec.predicted_target)
+        own = challenger_counts
+        counts = counted(challenger, CHALLENGER) if own is None else own.withColumn("model", F.lit(CHALLENGER))
+        if champion is not None:
+            counts = counts.unionByName(counted(champion, CHAMPION))
     row = decide(counts, min_gain, min_f1).first()
     if row is None:
         raise ValueError("no held-out rows with a known target to evaluate on")

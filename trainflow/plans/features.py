@@ -13,6 +13,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     Tokenizer,
     VectorAssembler,
 )
@@ -20,45 +21,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.functions import elapsed_days
+from trainflow.operators.frequency import cardinality, value_counts
 from trainflow.operators.quality import quoted
-from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer
+from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer, ModeImputerModel
 from trainflow.sources.tables import read_table, replace
 from trainflow.spec import FeatureSpec
+from trainflow.workspace import written
 
 WORD_COUNTS = "rawFeatures"
 
 
 @dataclass(frozen=True)
 class FeatureProfile:
-    """What the builder must know about the training rows."""
+    """What the column stages learn from the training rows, in two passes."""
 
-    wide_columns: list[str]
-    empty_categories: list[str]
-    empty_numbers: list[str]
+    counts: DataFrame
+    labels: dict[str, list[str]]
+    means: dict[str, float | None]
+
+    @property
+    def empty_numbers(self) -> list[str]:
+        return [c for c, mean in self.means.items() if mean is None]
 
 
 def profile_features(train: DataFrame, spec: FeatureSpec) -> FeatureProfile:
-    """One pass over the training rows: sketched cardinality of categories, filled cells of the rest."""
+    """Value counts of all categories in one pass, means of all numbers in another.
+
+    A categorical column without values, or with more than ``spec.max_categories``, is an error: an
+    index keeps its labels on the driver. Columns with more values belong into ``spec.frequency``.
+    """
+    counts = written(value_counts(train, [*spec.categorical, *spec.frequency]), "category_counts")
+    own = counts.where(F.col("value").isNotNull() & F.col("column").isin(list(spec.categorical)))
+    sizes = {r["column"]: r["n_category"] for r in cardinality(own).collect()}
+    if empty := [c for c in spec.categorical if c not in sizes]:
+        raise ValueError(f"categorical columns without any value: {empty}")
+    if wide := {c: n for c, n in sizes.items() if n > spec.max_categories}:
+        raise ValueError(f"more than {spec.max_categories} categories, use frequency columns: {wide}")
+    labels: dict[str, list[str]] = {c: [] for c in spec.categorical}
+    # Bounded by the check above.
+    for row in own.orderBy("column", F.desc("cnt"), "value").collect():
+        labels[row["column"]].append(row["value"])
     numbers = {c: quoted(c) for c in spec.numeric}
     numbers.update({out: elapsed_days(quoted(a), quoted(b)) for a, b, out in spec.date_pairs})
-    aggregates = [F.count(F.lit(1)).alias("total")]
-    for c in spec.categorical:
-        aggregates += [F.approx_count_distinct(quoted(c)).alias(f"distinct {c}")]
-    for c, value in numbers.items():
-        aggregates += [F.count(F.nanvl(value.cast("double"), F.lit(None))).alias(f"filled {c}")]
-    row = train.agg(*aggregates).first()
-    return FeatureProfile(
-        wide_columns=[c for c in spec.categorical if row[f"distinct {c}"] > spec.max_categories],
-        empty_categories=[c for c in spec.categorical if row[f"distinct {c}"] == 0],
-        empty_numbers=[c for c in numbers if row[f"filled {c}"] == 0],
-    )
-
-
-def route_features(spec: FeatureSpec, profile: FeatureProfile) -> FeatureSpec:
-    """Columns with too many values to index are frequency encoded instead."""
-    if profile.empty_categories:
-        raise ValueError(f"categorical columns without any value: {profile.empty_categories}")
-    return spec.with_frequency(profile.wide_columns) if profile.wide_columns else spec
+    means = [F.avg(F.nanvl(v.cast("double"), F.lit(None))) for v in numbers.values()]
+    row = train.agg(*means).first() if means else []
+    return FeatureProfile(counts, labels, dict(zip(numbers, row, strict=True)))
+
+
+def learnt_stages(spec: FeatureSpec, profile: FeatureProfile) -> list:
+    """The stages of :func:`column_stages`, fitted from the profile: no further pass over the rows."""
+    spark = profile.counts.sparkSession
+    fitted = []
+    for stage in column_stages(spec, profile.empty_numbers):
+        if isinstance(stage, Imputer):
+            means = [tuple(profile.means[c] for c in stage.getInputCols())]
+            stage = stage.fit(spark.createDataFrame(means, ", ".join(f"`{c}` double" for c in stage.getInputCols())))
+        elif isinstance(stage, ModeImputer):
+            model = ModeImputerModel(inputCols=stage.getInputCols(), outputCols=stage.getOutputCols())
+            stage = model.setModes([profile.labels[c][0] for c in spec.categorical])
+        elif isinstance(stage, StringIndexer):
+            # One model a column: an index of several columns cannot be made from lists of unequal length.
+            columns = zip(spec.categorical, stage.getInputCols(), stage.getOutputCols(), strict=True)
+            indexed = [StringIndexerModel.from_labels(profile.labels[c], i, o, "keep") for c, i, o in columns]
+            fitted += indexed
+            continue
+        elif isinstance(stage, OneHotEncoder):
+            imputed = spark.createDataFrame([], ", ".join(f"`{i.getInputCol()}` string" for i in indexed))
+            stage = stage.fit(PipelineModel(stages=indexed).transform(imputed))
+        elif isinstance(stage, FrequencyEncoder):
+            stage = stage.fit_counts(profile.counts)
+        fitted.append(stage)
+    return fitted
 
 
 def column_stages(spec: FeatureSpec, empty_numbers: Sequence[str] = ()) -> list:
@@ -120,41 +153,44 @@ def feature_pipeline(spec: FeatureSpec, empty_numbers: Sequence[str] = ()) -> Pi
     return Pipeline(stages=[*column_stages(spec, empty_numbers), *vector_stages(spec)])
 
 
-def fit_features(train: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, FeatureSpec]:
-    """Fit on the training rows; also returns the spec with wide columns routed."""
-    profile = profile_features(train, spec)
-    routed = route_features(spec, profile)
-    return feature_pipeline(routed, profile.empty_numbers).fit(train), routed
+def fit_features(train: DataFrame, spec: FeatureSpec) -> PipelineModel:
+    """Fit on the training rows."""
+    first = PipelineModel(stages=learnt_stages(spec, profile_features(train, spec)))
+    second = Pipeline(stages=vector_stages(spec)).fit(first.transform(train))
+    return PipelineModel(stages=[*first.stages, *second.stages])
 
 
 def fit_and_store(
     rows: DataFrame, spec: FeatureSpec, split: str, train: str, path: str
-) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
+) -> tuple[PipelineModel, DataFrame]:
     """Fit on the ``train`` rows of a stored table and prepare all rows, reading the text only once.
 
     A plain fit splits every text for the IDF, for the scaler and again for the result. Here the
     word counts are stored with the other inputs of the vector, and the last stages use those.
-    Returns the whole model, the routed spec, and ``key, features, target, split`` of all rows.
+    Returns the whole model, and ``key, features, target, split`` of all rows.
     """
-    train_rows = rows.where(F.col(split) == train)
-    profile = profile_features(train_rows, spec)
-    routed = route_features(spec, profile)
-    first = Pipeline(stages=column_stages(routed, profile.empty_numbers)).fit(train_rows)
-    text = f"tf_{routed.text}"
-    inputs = [WORD_COUNTS if c == text else c for c in routed.vector_inputs]
-    prepared = first.transform(rows).select(*map(quoted, [*routed.key, *inputs, routed.target, split]))
+    profile = profile_features(rows.where(F.col(split) == train), spec)
+    first = PipelineModel(stages=learnt_stages(spec, profile))
+    text = f"tf_{spec.text}"
+    inputs = [WORD_COUNTS if c == text else c for c in spec.vector_inputs]
+    prepared = first.transform(rows).select(*map(quoted, [*spec.key, *inputs, spec.target, split]))
     replace(prepared, path, [split])
     stored = read_table(rows.sparkSession, path)
-    second = Pipeline(stages=vector_stages(routed)).fit(stored.where(F.col(split) == train))
-    vectors = second.transform(stored).select(*map(quoted, [*routed.key, routed.features, routed.target, split]))
-    return PipelineModel(stages=[*first.stages, *second.stages]), routed, vectors
+    second = Pipeline(stages=vector_stages(spec)).fit(stored.where(F.col(split) == train))
+    vectors = second.transform(stored).select(*map(quoted, [*spec.key, spec.features, spec.target, split]))
+    return PipelineModel(stages=[*first.stages, *second.stages]), vectors
 
 
 def stage_report(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """``position, stage, param, value`` of every parameter of a fitted pipeline."""
+    """``position, stage, param, value`` of every parameter of a fitted pipeline.
+
+    Output names that Spark makes up from a stage's random id, and folders of fitted tables, are left
+    out, so two fits on the same rows give the same report.
+    """
     rows = [
         (position, type(stage).__name__, param.name, str(value))
         for position, stage in enumerate(model.stages)
         for param, value in stage.extractParamMap().items()
+        if stage.uid not in str(value) and param.name != "tablePath"
     ]
     return spark.createDataFrame(rows, "position int, stage string, param string, value string")

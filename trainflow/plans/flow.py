@@ -24,7 +24,7 @@ from trainflow.operators.quality import (
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans.evaluation import EvaluationLog, Verdict, evaluate
 from trainflow.plans.features import fit_and_store
-from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_metrics
+from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_counts, split_metrics
 from trainflow.sources.landing import compact, compact_enveloped, read_store, refuse_names
 from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import create, read_table
@@ -88,27 +88,28 @@ def rejected(spark: SparkSession, paths: RunPaths) -> DataFrame:
     return rows.drop(ACCEPTED_COLUMN, SPLIT)
 
 
-def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[PipelineModel, FeatureSpec, DataFrame]:
+def prepare(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[PipelineModel, DataFrame]:
     """Fit features on the train part, store the vector inputs of both parts in one pass."""
     return fit_and_store(df, spec, SPLIT, TRAIN, paths.transformed)
 
 
 def train(
     vectors: DataFrame, spec: FeatureSpec, features: PipelineModel, paths: RunPaths
-) -> tuple[PipelineModel, dict[str, dict[str, float]]]:
+) -> tuple[PipelineModel, dict[str, dict[str, float]], DataFrame]:
     """Fit labels and classifier on the train part, measure both parts, save the joined model.
 
-    The saved model holds all feature stages too, so it is the only copy a run writes.
+    The saved model holds all feature stages too, so it is the only copy a run writes. Metrics are by
+    class name, so a class only the test part has counts too. Also returns the confusion counts.
     """
     train_part = vectors.where(F.col(SPLIT) == TRAIN)
     labels = fit_labels(train_part, spec)
     labels.write().overwrite().save(paths.label_indexer)
     classifier = model_pipeline(spec, labels).fit(labels.transform(train_part))
-    scored = classifier.transform(labels.transform(vectors))
-    metrics = split_metrics(scored, spec, SPLIT)
+    counts = split_counts(classifier.transform(vectors), spec, SPLIT)
+    metrics = split_metrics(counts, labels.labels[0], SPLIT)
     model = scoring_model(features, classifier)
     model.write().overwrite().save(paths.trained_model)
-    return model, metrics
+    return model, metrics, counts
 
 
 def run_training(
@@ -123,14 +124,15 @@ def run_training(
     """All stages on one table. An accepted model becomes the newest version of ``model_key``."""
     spark = df.sparkSession
     rows, dropped = validate(df, spec, paths)
-    features, routed, vectors = prepare(rows, spec, paths)
-    model, metrics = train(vectors, routed, features, paths)
+    features, vectors = prepare(rows, spec, paths)
+    model, metrics, counts = train(vectors, spec, features, paths)
 
     registry = ModelRegistry(spark, paths.registry, paths.saved_models)
     best_path = registry.newest_path(model_key)
     champion = registry.load_newest(model_key) if best_path else None
     held_out = rows.where(F.col(SPLIT) == TEST)
-    verdict = evaluate(held_out, routed, model, champion, min_gain, min_f1)
+    own = counts.where(F.col(SPLIT) == TEST).drop(SPLIT)
+    verdict = evaluate(held_out, spec, model, champion, min_gain, min_f1, own)
     EvaluationLog(spark, paths.evaluations).insert(paths.run_id, verdict, paths.trained_model, best_path)
 
     if verdict.accepted:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trainflow.operators.metrics import confusion_counts, metric_row
+from trainflow.operators.quality import quoted
 from trainflow.spec import FeatureSpec
+from trainflow.workspace import written
 
 # The classifier's size and seed.
 TREES = 20
@@ -18,12 +21,19 @@ SEED = 42
 
 
 def fit_labels(train: DataFrame, spec: FeatureSpec) -> StringIndexerModel:
-    """Index of the target, most frequent class first. Rows with a class unseen here are skipped later."""
-    indexer = StringIndexer(inputCol=spec.target, outputCol=spec.indexed_target, handleInvalid="skip")
-    labels = indexer.fit(train)
-    if len(labels.labels) < 2:
-        raise ValueError(f"training needs at least two classes of {spec.target}, found {list(labels.labels)}")
-    return labels
+    """Index of the target, most frequent class first, ties by name.
+
+    An index keeps its labels on the driver: more than ``spec.max_categories`` classes are an error.
+    """
+    target = quoted(spec.target).cast("string").alias("y")
+    counts = written(train.select(target).where("y IS NOT NULL").groupBy("y").count(), "classes")
+    found = counts.count()
+    if found > spec.max_categories:
+        raise ValueError(f"{spec.target} has {found} classes; at most {spec.max_categories} can be told apart")
+    names = [r["y"] for r in counts.orderBy(F.desc("count"), "y").collect()]
+    if len(names) < 2:
+        raise ValueError(f"training needs at least two classes of {spec.target}, found {names}")
+    return StringIndexerModel.from_labels(names, spec.target, spec.indexed_target, "skip")
 
 
 def model_pipeline(spec: FeatureSpec, labels: StringIndexerModel) -> Pipeline:
@@ -45,8 +55,16 @@ def scoring_model(features: PipelineModel, classifier: PipelineModel) -> Pipelin
     return PipelineModel(stages=[*features.stages, *classifier.stages])
 
 
-def split_metrics(scored: DataFrame, spec: FeatureSpec, split: str = "split") -> dict[str, dict[str, float]]:
-    """All metrics of the train and the test part from one pass over the scored rows."""
-    counts = confusion_counts(scored, spec.indexed_target, "prediction", by=[split])
-    rows = [row.asDict() for row in metric_row(counts, [split]).collect()]
+def split_counts(scored: DataFrame, spec: FeatureSpec, split: str = "split") -> DataFrame:
+    """Confusion counts of both parts by class name, stored: the one pass over the scored rows.
+
+    A class that the training part lacks counts as well: no row of it is predicted right.
+    """
+    named = scored.withColumn(spec.target, quoted(spec.target).cast("string"))
+    return written(confusion_counts(named, spec.target, spec.predicted_target, by=[split]), "confusion")
+
+
+def split_metrics(counts: DataFrame, by_label: str, split: str = "split") -> dict[str, dict[str, float]]:
+    """All metrics of the train and the test part; ``by_label`` is the class of the ``...ByLabel`` ones."""
+    rows = [row.asDict() for row in metric_row(counts, [split], by_label).collect()]
     return {row.pop(split): row for row in rows}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -24,7 +24,8 @@ class FeatureSpec:
     """Column roles of one table.
 
     ``categorical`` columns are mode-imputed, indexed and one-hot encoded; ``frequency`` columns
-    are replaced by how often their value occurs (for columns with too many values to index);
+    are replaced by how often their value occurs (for columns with too many values to index: more than
+    ``max_categories`` in a categorical column are an error);
     each ``(start, end)`` pair of ``date_pairs`` becomes a number of elapsed days; ``numeric``
     columns are mean-imputed; ``text`` becomes hashed TF-IDF.
     """
@@ -102,14 +103,6 @@ class FeatureSpec:
         names = dict.fromkeys([*self.key, *self.required_columns])
         return T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
 
-    def with_frequency(self, columns: list[str]) -> "FeatureSpec":
-        """Move categorical columns to frequency encoding."""
-        return replace(
-            self,
-            categorical=tuple(c for c in self.categorical if c not in columns),
-            frequency=(*self.frequency, *columns),
-        )
-
 
 @dataclass(frozen=True)
 class RunPaths:
