@@ -11,7 +11,6 @@ from trainflow.catalog.prepare import digest
 from trainflow.catalog.tables import CASES, cases, load, per_column
 from trainflow.operators import frequency, text
 from trainflow.operators.stages import FrequencyEncoder
-from trainflow.sources.tables import spread
 from trainflow.spec import TEXT_SLOTS
 from trainflow.workspace import written
 
@@ -19,7 +18,7 @@ CATEGORIES = ["priority", "segment", "channel"]
 
 
 def _documents(spark, folder):
-    return spread(load(spark, folder, "documents").select("doc_id", "text"))
+    return load(spark, folder, "documents").select("doc_id", "text")
 
 
 def category_index(spark, folder):
@@ -39,17 +38,18 @@ def one_hot_long(spark, folder):
 
 
 def string_indexer_stage(spark, folder):
-    df = written(cases(spark, folder).select("case_id", *CATEGORIES).na.drop(), "categories")
+    """Nulls, as values unseen, take the slot behind the last."""
+    df = written(cases(spark, folder).select("case_id", *CATEGORIES), "categories")
     out = [f"si_{c}" for c in CATEGORIES]
     model = StringIndexer(inputCols=CATEGORIES, outputCols=out, handleInvalid="keep").fit(df)
     return model.transform(df).select("case_id", *[F.col(c).cast("long").alias(c) for c in out])
 
 
 def one_hot_stage(spark, folder):
-    """One-hot vectors with dropped last category, as ``key, slot`` pairs."""
-    df = written(cases(spark, folder).select("case_id", "segment").na.drop(), "segments")
+    """One-hot vectors of all cases as ``key, slot`` pairs; a null takes the last slot, which is dropped."""
+    df = written(cases(spark, folder).select("case_id", "segment"), "segments")
     stages = [
-        StringIndexer(inputCol="segment", outputCol="si_segment"),
+        StringIndexer(inputCol="segment", outputCol="si_segment", handleInvalid="keep"),
         OneHotEncoder(inputCols=["si_segment"], outputCols=["tf_segment"]),
     ]
     encoded = Pipeline(stages=stages).fit(df).transform(df)
@@ -127,6 +127,18 @@ def hashed_tfidf_stage(spark, folder):
     return model.transform(documents).select("doc_id", F.size("words").alias("n_words"), weights)
 
 
+def hashed_terms_stage(spark, folder):
+    """Words that the hashed counts of each document add up to."""
+    stages = [
+        Tokenizer(inputCol="text", outputCol="words"),
+        HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=TEXT_SLOTS),
+    ]
+    documents = _documents(spark, folder)
+    counted = Pipeline(stages=stages).fit(documents).transform(documents)
+    total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, b: a + b)
+    return counted.select("doc_id", total.cast("long").alias("n_words"))
+
+
 def tokenizer_stage(spark, folder):
     """Words of the pipeline's tokenizer; unlike ``tokens`` it keeps blanks between two spaces."""
     documents = _documents(spark, folder)
@@ -152,6 +164,7 @@ QUERIES = {
     "hashed_terms_digest": hashed_terms_digest,
     "hashed_tfidf_stage": hashed_tfidf_stage,
     "tokenizer_stage": tokenizer_stage,
+    "hashed_terms_stage": hashed_terms_stage,
 }
 
 _INDEX = per_column(
@@ -159,7 +172,6 @@ _INDEX = per_column(
     "row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS idx FROM cases WHERE {c} IS NOT NULL GROUP BY {c}",
     CATEGORIES,
 )
-_WHOLE = "complete AS (SELECT * FROM cases WHERE priority IS NOT NULL AND segment IS NOT NULL AND channel IS NOT NULL)"
 
 
 def _ranks(column: str, table: str) -> str:
@@ -193,12 +205,14 @@ ORACLES = {
         cells AS ({per_column("SELECT case_id, '{c}' AS col, {c} AS v FROM cases", CATEGORIES)})
         SELECT case_id, idx."column", idx.idx AS slot FROM cells
         JOIN idx ON idx."column" = col AND idx.value = v JOIN last ON last."column" = col WHERE idx.idx < m""",
-    "string_indexer_stage": f"WITH {CASES}, {_WHOLE} SELECT case_id, "
-    + ", ".join(f"{c}_rank.idx AS si_{c}" for c in CATEGORIES)
-    + " FROM complete "
-    + " ".join(f"JOIN {_ranks(c, 'complete')} {c}_rank ON {c}_rank.v = complete.{c}" for c in CATEGORIES),
+    "string_indexer_stage": f"WITH {CASES} SELECT case_id, "
+    + ", ".join(
+        f"coalesce({c}_rank.idx, (SELECT count(DISTINCT {c}) FROM cases)) AS si_{c}" for c in CATEGORIES
+    )
+    + " FROM cases "
+    + " ".join(f"LEFT JOIN {_ranks(c, 'cases')} {c}_rank ON {c}_rank.v = cases.{c}" for c in CATEGORIES),
     "one_hot_stage": f"""WITH {CASES}, r AS (SELECT * FROM {_ranks('segment', 'cases')})
-        SELECT case_id, idx::INT AS slot FROM cases JOIN r ON v = segment WHERE idx < (SELECT max(idx) FROM r)""",
+        SELECT case_id, idx::INT AS slot FROM cases JOIN r ON v = segment""",
     "frequency_encode_left": f"""WITH {CASES}, {_SEGMENTS} SELECT case_id, cases.segment,
         coalesce(segment_count, 0) AS segment_count FROM cases LEFT JOIN freq ON freq.segment = cases.segment""",
     "frequency_encode_inner": f"""WITH {CASES}, {_SEGMENTS} SELECT case_id, cases.segment, segment_count
@@ -206,6 +220,8 @@ ORACLES = {
     "frequency_encode_stage": """SELECT o_orderkey,
         (count(*) OVER (PARTITION BY o_custkey))::DOUBLE AS fe_customer,
         (count(*) OVER (PARTITION BY o_orderpriority))::DOUBLE AS fe_priority FROM orders""",
+    "hashed_terms_stage": r"""SELECT doc_id,
+        len(string_split_regex(regexp_replace(text, '\s+$', ''), '\s'))::BIGINT AS n_words FROM documents""",
     "tokens": f"WITH {_DOCUMENT_WORDS} SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2",
     "document_frequency": f"WITH {_DOCUMENT_WORDS} SELECT term, count(DISTINCT doc_id) AS df FROM words GROUP BY 1",
     "idf_weights": f"""WITH {_DOCUMENT_WORDS} SELECT term, round(ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE)

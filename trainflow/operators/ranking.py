@@ -28,12 +28,17 @@ def numbered(df: DataFrame, group: str, order: Sequence[Column], name: str) -> D
     starts = (
         pieces.groupBy(group, PIECE)
         .agg(F.count(F.lit(1)).alias("__size"))
-        .select(group, PIECE, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"))
+        .select(
+            F.col(group).alias("__group"),
+            F.col(PIECE).alias("__of"),
+            F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"),
+        )
     )
     inside = Window.partitionBy(group, PIECE).orderBy(*order)
     return (
         pieces.withColumn("__place", F.row_number().over(inside) - 1)
-        .join(starts, [group, PIECE])
+        .join(starts, F.col(group).eqNullSafe(F.col("__group")) & (F.col(PIECE) == F.col("__of")))
+        .drop("__group", "__of")
         .withColumn(name, (F.col("__place") + F.col("__start")).cast("long"))
         .drop(PIECE, "__place", "__start")
     )

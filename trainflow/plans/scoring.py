@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.operators.quality import ERROR_COLUMN, quoted
-from trainflow.sources.inventory import check_inputs, split_inputs
+from trainflow.sources.inventory import check_files, missing_by_input
 from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import read_table, replace
 from trainflow.spec import FeatureSpec, RunPaths
+from trainflow.workspace import written
 
 SOURCE_FILE = "source_file"
 
@@ -44,17 +45,30 @@ def score_files(
     inputs: Sequence[str],
     paths: RunPaths,
 ) -> ScoringReport:
-    """Score all inputs that have the needed columns as one table, archive them, set the others aside."""
-    checked = check_inputs(spark, inputs, spec.scoring_columns)
-    valid, invalid = split_inputs(checked)
-    for number, path in enumerate(invalid):
-        reason = f"Missing columns: {checked[path]}"
-        replace(spark.read.parquet(path).withColumn(ERROR_COLUMN, F.lit(reason)), f"{paths.failed}/{number}")
-    if not valid:
-        return ScoringReport([], {p: checked[p] for p in invalid}, None)
-    rows = read_table(spark, *valid, merge=True).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    """Score all files that have the needed columns as one table, archive them, set the others aside.
+
+    Files are judged one by one, also within a folder. Rows of files that lack columns go below the
+    folder of failed ones, in one write for each schema; ``unreadable`` there lists files that are no
+    tables. ``valid`` are inputs with a file that was scored, ``invalid`` those with one that was not.
+    """
+    files = written(check_files(spark, inputs, spec.scoring_columns), "files")
+    kinds = files.where(F.col("reason").isNotNull() & F.col("schema").isNotNull()).groupBy("schema")
+    failing = kinds.agg(F.min("reason").alias("reason"), F.collect_list("path").alias("paths")).orderBy("schema")
+    for number, kind in enumerate(failing.collect()):
+        rows = spark.read.parquet(*kind["paths"]).withColumn(ERROR_COLUMN, F.lit(kind["reason"]))
+        replace(rows, f"{paths.failed}/{number}")
+    broken = files.where("schema IS NULL").select("path", F.col("reason").alias(ERROR_COLUMN))
+    if not broken.isEmpty():
+        replace(broken, f"{paths.failed}/unreadable")
+    absent = missing_by_input(files)
+    good = files.where("reason IS NULL").select("input", "path").collect()
+    scored_inputs = {r["input"] for r in good}
+    report = ([p for p in inputs if p in scored_inputs], {p: absent[p] for p in inputs if absent.get(p)})
+    if not good:
+        return ScoringReport(*report, None)
+    rows = read_table(spark, *[r["path"] for r in good], merge=True).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     keys = [c for c in spec.key if c in rows.columns]
     scored = predictions(registry.load_newest(model_key), rows, spec, [*keys, SOURCE_FILE])
     replace(scored, paths.predictions)
     replace(rows, paths.archive)
-    return ScoringReport(valid, {p: checked[p] for p in invalid}, paths.predictions)
+    return ScoringReport(*report, paths.predictions)

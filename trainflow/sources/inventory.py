@@ -2,28 +2,90 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainflow.operators.quality import missing_required
 
-
-def file_inventory(spark: SparkSession, folder: str, extension: str = "csv") -> DataFrame:
+def file_inventory(spark: SparkSession, folder: str | Sequence[str], extension: str | None = "csv") -> DataFrame:
     """``path, length, modificationTime`` of the files with an extension; contents are not read."""
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{extension}")
+        .option("pathGlobFilter", f"*.{extension}" if extension else "*")
         .option("recursiveFileLookup", "true")
         .load(folder)
         .select("path", "length", "modificationTime")
     )
 
 
+def _footer(path: str) -> tuple[list[str] | None, str | None, str | None]:
+    """Columns, schema as text, and what is wrong with a Parquet file; its data are not read."""
+    try:
+        system, base = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        schema = pq.read_schema(base, filesystem=system)
+        return schema.names, schema.to_string(show_schema_metadata=False, show_field_metadata=False), None
+    except (OSError, pa.ArrowException) as error:
+        return None, None, f"Unreadable: {type(error).__name__}"
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns, schemas, problems = zip(*map(_footer, batch.column(1).to_pylist()), strict=True) if len(batch) else ([],) * 3
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(columns, pa.list_(pa.string())),
+                pa.array(schemas, pa.string()),
+                pa.array(problems, pa.string()),
+            ],
+            names=["input", "path", "columns", "schema", "problem"],
+        )
+
+
+def _plain(path: Column) -> Column:
+    """A path without scheme and host."""
+    return F.regexp_replace(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"), "/+$", "")
+
+
+def check_files(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """``input, path, columns, schema, missing, reason`` of every file of the inputs; no reason: valid.
+
+    One listing and one job that reads all footers, however many files there are. A file that is no
+    Parquet file has a reason and no schema.
+    """
+    listed = file_inventory(spark, list(paths), None).select("path")
+    parts = F.split(_plain(F.col("path")), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    inputs = spark.createDataFrame([(p,) for p in paths], "input string").withColumn("folder", _plain(F.col("input")))
+    # Of nested inputs a file belongs to the inner one.
+    owned = listed.withColumn("folder", F.explode(above)).join(inputs, "folder")
+    owned = owned.groupBy("path").agg(F.max_by("input", F.length("folder")).alias("input")).select("input", "path")
+    schema = "input string, path string, columns array<string>, schema string, problem string"
+    checked = owned.mapInArrow(_footers, schema)
+    missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)).cast("array<string>"), F.col("columns")))
+    absent = F.concat(F.lit("Missing columns: ['"), F.array_join("missing", "', '"), F.lit("']"))
+    return checked.withColumn("missing", missing).withColumn(
+        "reason", F.coalesce("problem", F.when(F.size("missing") > 0, absent))
+    )
+
+
+def missing_by_input(files: DataFrame) -> dict[str, list[str]]:
+    """Columns that some file of each input lacks, and what is wrong with unreadable ones."""
+    wrong = F.coalesce("missing", F.array("problem"))
+    each = files.groupBy("input").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(wrong)))).alias("absent"))
+    return {r["input"]: list(r["absent"]) for r in each.collect()}
+
+
 def check_inputs(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> dict[str, list[str]]:
-    """Missing required columns of each input table, from footers only."""
-    return {path: missing_required(spark.read.parquet(path).columns, required) for path in paths}
+    """Missing required columns of each input table, from the footers of all its files."""
+    found = missing_by_input(check_files(spark, paths, required))
+    return {path: found.get(path, sorted(required)) for path in paths}
 
 
 def split_inputs(checked: dict[str, list[str]]) -> tuple[list[str], list[str]]:

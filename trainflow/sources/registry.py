@@ -59,10 +59,10 @@ class ModelRegistry:
 
     def newest_versions(self) -> DataFrame:
         """Newest version of every key, by number."""
-        return newest(self.all_versions(), ["model_key"], "version")
+        return newest(self.all_versions(), ["model_key"], ["version", "created_ts", "path"])
 
     def newest_path(self, key: str) -> str | None:
-        row = newest(self.versions(key), ["model_key"], "version").select("path").first()
+        row = newest(self.versions(key), ["model_key"], ["version", "created_ts", "path"]).select("path").first()
         return row["path"] if row else None
 
     def available(self, key: str) -> bool:

@@ -23,16 +23,6 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scanned table over all cores, if the scan has fewer splits than there are cores.
-
-    For work that is heavy on each row, such as splitting long texts. A table with splits enough,
-    as any large one, is returned as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _writer(df: DataFrame, partition_by: Sequence[str]):
     return df.write.partitionBy(*partition_by) if partition_by else df.write
 
