@@ -1,6 +1,7 @@
 import math
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -52,11 +53,17 @@ def trained(spark, tmp_path_factory):
 
 
 def test_elapsed_days(spark):
-    rows = [("2023-09-20 10:00:00", "2023-09-20 12:00:00"), ("2023-09-20 13:00:00", "2023-09-20 08:00:00"), ("soon", "2023-09-20")]
+    """Days and a half, an end before its start, a month's end in a leap year, text that is no moment."""
+    rows = [
+        ("2024-03-01 06:00:00", "2024-03-04 18:00:00"),
+        ("2024-05-10 00:00:00", "2024-05-08 12:00:00"),
+        ("2024-02-28 00:00:00", "2024-03-01 00:00:00"),
+        ("soon", "2024-01-01"),
+    ]
     df = spark.createDataFrame(rows, "a string, b string")
     out = ElapsedDays(inputCols=["a", "b"], outputCols=["d"]).transform(df).collect()
-    assert [r.d for r in out] == [pytest.approx(2 / 24), pytest.approx(5 / 24), None]
-    assert out[2].a is None and out[2].b is not None
+    assert [r.d for r in out] == [pytest.approx(3.5), pytest.approx(1.5), pytest.approx(2.0), None]
+    assert out[3].a is None and out[3].b is not None
 
 
 def test_stages_survive_saving(spark, tmp_path):
@@ -165,6 +172,17 @@ def test_a_wide_target_is_an_error_before_it_is_collected(spark):
         fit_labels(df, spec)
 
 
+def test_a_run_leaves_no_tables_in_the_shared_folder(spark, tmp_path, jobs):
+    """Also counts the jobs of the stages that learn features."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "trainflow"
+    before = set(shared.iterdir()) if shared.exists() else set()
+    flow.run_training(cases(spark), SPEC, RunPaths(str(tmp_path), "r"))
+    assert set(shared.iterdir()) == before
+    profile = features.profile_features(cases(spark), SPEC)
+    assert jobs(lambda: features.learnt_stages(SPEC, profile), "learnt") <= 2
+    assert jobs(lambda: features.profile_features(cases(spark), SPEC), "profile") <= 10  # two scans; each shuffle is a job of its own
+
+
 def test_a_class_only_the_test_part_has_counts(spark, tmp_path):
     df = cases(spark)
     marked = with_split(df, SPEC.key, SPEC.test_percent)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from trainflow.operators import gate, metrics
 from trainflow.operators.metrics import METRIC_NAMES
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans import features, flow, scoring
-from trainflow.plans.evaluation import EvaluationLog, evaluate
+from trainflow.plans.evaluation import EvaluationLog
 from trainflow.sources.registry import ModelRegistry
 from trainflow.spec import MIN_F1_GAIN, RunPaths
 from trainflow.streaming import stream_score as start_scoring
@@ -170,18 +172,106 @@ def train_score(spark, folder):
 
 
 def retrain_gate(spark, folder):
-    """The same model put up a second time gains nothing over itself, so it is not accepted again."""
+    """A second model, trained where most held-out rows have a class turned round, does not replace the first.
+
+    Shows both runs' records with the version that each registered and the rows it was judged on.
+    """
     first = _paths(spark)
     _train(spark, folder, first)
+    second = _paths(spark, "second", first.root)
+    turned = F.when(F.col("outcome") == "Yes", "No").when(F.col("outcome") == "No", "Yes").otherwise(F.col("outcome"))
+    marked = with_split(cases(spark, folder), CASE_SPEC.key, CASE_SPEC.test_percent)
+    records = marked.withColumn("outcome", F.when(F.col("split") == TRAIN, turned).otherwise(F.col("outcome")))
+    rows = written(records.drop("split"), "cases")
+    flow.run_training(rows, CASE_SPEC, second, MODEL_KEY, version=2)
     registry = ModelRegistry(spark, first.registry, first.saved_models)
-    model = registry.load_newest(MODEL_KEY)
-    held_out = flow.accepted(spark, first).where(F.col("split") == TEST)
-    verdict = evaluate(held_out, CASE_SPEC, model, model, MIN_F1_GAIN)
-    log = EvaluationLog(spark, first.evaluations)
-    log.insert("second", verdict, first.trained_model, registry.newest_path(MODEL_KEY))
-    records = log.records()
-    listed = registry.versions(MODEL_KEY).select(F.lit("first").alias("run_id"), "version")
-    return records.join(listed, "run_id", "left").select("run_id", "model_accepted", "active", "version")
+    log = EvaluationLog(spark, first.evaluations).records()
+    listed = registry.versions(MODEL_KEY).select("path", "version")
+    judged = flow.accepted(spark, second).where(F.col("split") == TEST).count()
+    joined = log.join(listed, log["trained_model_path"] == listed["path"], "left")
+    return joined.select("run_id", "model_accepted", "active", "version", F.lit(judged).cast("long").alias("judged"))
+
+
+def _case_model(spark, folder):
+    """A trained model of the case records, and the run's folders."""
+    paths = _paths(spark)
+    _train(spark, folder, paths)
+    return ModelRegistry(spark, paths.registry, paths.saved_models).load_newest(MODEL_KEY), paths
+
+
+def score_coverage(spark, folder):
+    """Every case once, with one of the classes that cases have."""
+    model, _ = _case_model(spark, folder)
+    scored = scoring.predictions(model, cases(spark, folder), CASE_SPEC, CASE_SPEC.key)
+    known = F.col(CASE_SPEC.predicted_target).isin("Yes", "No")
+    return scored.groupBy("case_id").agg(F.count(F.lit(1)).alias("times"), F.bool_and(known).alias("known"))
+
+
+def metrics_crosscheck(spark, folder):
+    """Metrics of the held-out cases beside those of Spark's own evaluator, for the class of the first label."""
+    model, paths = _case_model(spark, folder)
+    held_out = flow.accepted(spark, paths).where(F.col("split") == TEST)
+    indexer = StringIndexerModel.load(paths.label_indexer)
+    scored = written(indexer.transform(model.transform(held_out)).select(CASE_SPEC.indexed_target, "prediction"), "scored")
+    counts = metrics.confusion_counts(scored, CASE_SPEC.indexed_target, "prediction")
+    own = metrics.metric_row(counts).first()
+    evaluator = MulticlassClassificationEvaluator(labelCol=CASE_SPEC.indexed_target, metricLabel=0.0)
+    rows = [(m, abs(evaluator.setMetricName(m).evaluate(scored) - own[m]) < 1e-9) for m in METRIC_NAMES]
+    return spark.createDataFrame(rows, "metric string, equal boolean").withColumn("rows", F.lit(scored.count()).cast("long"))
+
+
+def saved_equals_fitted(spark, folder):
+    """A fitted feature pipeline and the same one saved and loaded: is every case's vector equal?"""
+    rows = written(cases(spark, folder), "cases")
+    fitted = features.fit_features(rows, CASE_SPEC)
+    path = new_folder(spark, "model")
+    fitted.write().save(path)
+    vector = vector_to_array(CASE_SPEC.features)
+    first = fitted.transform(rows).select("case_id", vector.alias("a"))
+    second = PipelineModel.load(path).transform(rows).select(F.col("case_id").alias("k"), vector.alias("b"))
+    return first.join(second, F.col("case_id") == F.col("k")).select("case_id", (F.col("a") == F.col("b")).alias("equal"))
+
+
+def stream_equals_batch(spark, folder):
+    """Cases scored as a stream of files and as one table: is every prediction equal?"""
+    model, _ = _case_model(spark, folder)
+    arriving, output, checkpoint = (new_folder(spark, n) for n in ("arriving", "scored", "stream"))
+    cases(spark, folder).write.parquet(arriving)
+    stream = spark.readStream.schema(spark.read.parquet(arriving).schema).parquet(arriving)
+    start_scoring(model, stream, CASE_SPEC, output, checkpoint, CASE_SPEC.key).awaitTermination()
+    name = CASE_SPEC.predicted_target
+    streamed = spark.read.parquet(output).select(F.col("case_id").alias("k"), F.col(name).alias("b"))
+    batch = scoring.predictions(model, spark.read.parquet(arriving), CASE_SPEC, CASE_SPEC.key)
+    joined = batch.join(streamed, F.col("case_id") == F.col("k"), "full")
+    return joined.select(F.coalesce("case_id", "k").alias("case_id"), F.col(name).eqNullSafe(F.col("b")).alias("equal"))
+
+
+def batch_score_inputs(spark, folder):
+    """Three input folders: one good, one with good and old files, one with a file that is no table."""
+    _, paths = _case_model(spark, folder)
+    registry = ModelRegistry(spark, paths.registry, paths.saved_models)
+    rows = written(cases(spark, folder).drop("sparse_note"), "cases")
+    good, mixed, broken = (f"{paths.root}/input/{n}" for n in ("good", "mixed", "broken"))
+    rows.where("outcome = 'Yes'").write.parquet(good)
+    rows.where("outcome = 'No'").write.parquet(mixed)
+    rows.where("outcome = 'N/A'").drop("segment").write.mode("append").parquet(mixed)
+    load(spark, folder, "region").select("r_name").coalesce(1).write.text(broken)
+    report = scoring.score_files(spark, CASE_SPEC, registry, MODEL_KEY, [good, mixed, broken], paths)
+    scored = spark.read.parquet(report.predictions).select(F.regexp_extract("source_file", "/input/([a-z]+)/", 1).alias("place"))
+    failed = spark.read.parquet(f"{paths.failed}/0").select(F.col("error_msg").alias("place"))
+    unread = spark.read.parquet(f"{paths.failed}/unreadable").select(F.regexp_extract("path", "/input/([a-z]+)/", 1).alias("place"))
+    return scored.unionByName(failed).unionByName(unread).groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def unlabelled_documents_scored(spark, folder):
+    """Documents without a label, scored with the model of the labelled ones."""
+    paths = _paths(spark)
+    documents = written(labelled_documents(spark, folder), "documents")
+    flow.run_training(documents, DOCUMENT_SPEC, paths, "documents", version=1)
+    model = ModelRegistry(spark, paths.registry, paths.saved_models).load_newest("documents")
+    others = load(spark, folder, "documents").join(load(spark, folder, "labels"), "doc_id", "left_anti")
+    scored = scoring.score(model, others).select("doc_id", F.col(DOCUMENT_SPEC.predicted_target).isin("0", "1").alias("known"))
+    return scored
 
 
 def document_metrics(spark, folder):
@@ -263,6 +353,12 @@ QUERIES = {
     "batch_score": batch_score,
     "batch_score_archive": batch_score_archive,
     "stream_score": stream_score,
+    "score_coverage": score_coverage,
+    "metrics_crosscheck": metrics_crosscheck,
+    "saved_equals_fitted": saved_equals_fitted,
+    "stream_equals_batch": stream_equals_batch,
+    "batch_score_inputs": batch_score_inputs,
+    "unlabelled_documents_scored": unlabelled_documents_scored,
 }
 
 _QUALITY = "SELECT quality AS label, 1 - toxic AS prediction FROM labels"
@@ -359,8 +455,19 @@ ORACLES = {
         SELECT doc_id, split, round(coalesce(1 / dev, 0), 6) AS lang, round(coalesce(fe, 0) / source_dev, 6) AS source,
                round(n / n_dev, 6) AS length, {DOCUMENT_SPEC.text_slots} AS word_slots
         FROM d LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source), devs""",
-    "retrain_gate": """SELECT 'first' AS run_id, true AS model_accepted, true AS active, 1::BIGINT AS version
-        UNION ALL SELECT 'second', false, false, NULL""",
+    "retrain_gate": f"""WITH {CASES}, judged AS (SELECT count(*) AS judged FROM cases
+            WHERE outcome <> 'N/A' AND {_CASE_SPLIT} = 'test')
+        SELECT 'first' AS run_id, true AS model_accepted, true AS active, 1::BIGINT AS version, judged FROM judged
+        UNION ALL SELECT 'second', false, false, NULL, judged FROM judged""",
+    "score_coverage": "SELECT o_orderkey AS case_id, 1::BIGINT AS times, true AS known FROM orders",
+    "metrics_crosscheck": f"""WITH {CASES}, judged AS (SELECT count(*) AS rows FROM cases
+            WHERE outcome <> 'N/A' AND {_CASE_SPLIT} = 'test')
+        SELECT unnest({list(METRIC_NAMES)!r}) AS metric, true AS equal, rows FROM judged""",
+    "saved_equals_fitted": "SELECT o_orderkey AS case_id, true AS equal FROM orders",
+    "stream_equals_batch": "SELECT o_orderkey AS case_id, true AS equal FROM orders",
+    "batch_score_inputs": f"""WITH {CASES} SELECT CASE outcome WHEN 'Yes' THEN 'good' WHEN 'No' THEN 'mixed'
+            ELSE 'Missing columns: [''segment'']' END AS place, count(*) AS n_rows FROM cases GROUP BY 1 UNION ALL SELECT 'broken', 1""",
+    "unlabelled_documents_scored": "SELECT doc_id, true AS known FROM documents ANTI JOIN labels USING (doc_id)",
     "batch_score_archive": """SELECT 'archive' AS place, o_orderkey AS id FROM orders
         UNION ALL SELECT 'failed', c_custkey FROM customer""",
 }

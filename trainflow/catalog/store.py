@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trainflow.catalog.tables import CASE_SPEC, load
 from trainflow.functions import path_version, to_timestamp
 from trainflow.operators import history
+from trainflow.plans.evaluation import EvaluationLog
 from trainflow.sources import inventory, tables
 from trainflow.workspace import new_folder
 
@@ -63,6 +64,51 @@ def file_inventory(spark, folder):
     return inventory.file_inventory(spark, folder, "parquet")
 
 
+def table_files(spark, folder):
+    """The inventory by table: a table is one file or a folder of them."""
+    name = F.regexp_extract("path", r"/([a-z]+)\.parquet(/[^/]+)?$", 1)
+    found = inventory.file_inventory(spark, folder, "parquet").where("length > 0")
+    return found.select(name.alias("name")).distinct()
+
+
+def _records(spark, folder):
+    """A log of evaluation records made from the events; purchases are accepted models."""
+    path = new_folder(spark, "evaluations")
+    accepted = (F.col("event_type") == "purchase").alias("model_accepted")
+    rows = load(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("run_id"),
+        accepted,
+        F.col("value").cast("double").alias("changed_accuracy"),
+        F.lit("trained").alias("trained_model_path"),
+        F.lit(None).cast("string").alias("best_model_path"),
+        accepted.alias("active"),
+        F.to_timestamp(F.lit("2020-01-01")).alias("created_timestamp"),
+        F.lit(False).alias("deleted"),
+    )
+    tables.append(rows, path)
+    return EvaluationLog(spark, path)
+
+
+def records_update(spark, folder):
+    """All accepted models of little gain are put out of use."""
+    log = _records(spark, folder)
+    log.update(F.col("model_accepted") & (F.col("changed_accuracy") < 50), active=False)
+    return log.records().select("run_id", "active")
+
+
+def records_delete_many(spark, folder):
+    log = _records(spark, folder)
+    log.delete(~F.col("model_accepted"))
+    return log.records().select("run_id", "active")
+
+
+def records_delete_one(spark, folder):
+    """Of the matching records, all of one age, the first by run goes."""
+    log = _records(spark, folder)
+    log.delete_one(F.col("model_accepted"))
+    return log.records().select("run_id", "active")
+
+
 def input_report(spark, folder):
     paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem", "customer")]
     checked = inventory.check_inputs(spark, paths, ["o_orderkey", "o_orderpriority"])
@@ -134,6 +180,10 @@ QUERIES = {
     "schema_merge_read": schema_merge_read,
     "file_inventory": file_inventory,
     "input_report": input_report,
+    "table_files": table_files,
+    "records_update": records_update,
+    "records_delete_many": records_delete_many,
+    "records_delete_one": records_delete_one,
     "evaluation_history": evaluation_history,
     "evaluation_find": evaluation_find,
     "newest_model_version": newest_model_version,
@@ -156,6 +206,13 @@ ORACLES = {
         CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders""",
     "schema_merge_read": """SELECT o_orderkey, o_orderstatus, o_totalprice,
         CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    "table_files": """SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
+        'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) AS name""",
+    "records_update": """SELECT event_id::VARCHAR AS run_id, event_type = 'purchase' AND value >= 50 AS active FROM events""",
+    "records_delete_many": """SELECT event_id::VARCHAR AS run_id, true AS active FROM events
+        WHERE event_type = 'purchase'""",
+    "records_delete_one": """SELECT event_id::VARCHAR AS run_id, event_type = 'purchase' AS active FROM events
+        WHERE event_id::VARCHAR <> (SELECT min(event_id::VARCHAR) FROM events WHERE event_type = 'purchase')""",
     "input_report": """SELECT 'orders.parquet' AS file, true AS valid, count(*) AS n_rows FROM orders
         UNION ALL SELECT 'lineitem.parquet', false, NULL UNION ALL SELECT 'customer.parquet', false, NULL""",
     "evaluation_history": _CURRENT,

@@ -30,6 +30,7 @@ from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import create, read_table
 from trainflow.sources.watermark import LoadSpan, record_load
 from trainflow.spec import MIN_F1_GAIN, UNKNOWN_TARGET_REASON, FeatureSpec, RunPaths
+from trainflow.workspace import released
 
 SPLIT = "split"
 
@@ -121,19 +122,23 @@ def run_training(
     min_f1: float | None = None,
     version: int | None = None,
 ) -> TrainingReport:
-    """All stages on one table. An accepted model becomes the newest version of ``model_key``."""
+    """All stages on one table. An accepted model becomes the newest version of ``model_key``.
+
+    What the run needs later is in its folders; its other tables are deleted when it ends.
+    """
     spark = df.sparkSession
-    rows, dropped = validate(df, spec, paths)
-    features, vectors = prepare(rows, spec, paths)
-    model, metrics, counts = train(vectors, spec, features, paths)
-
-    registry = ModelRegistry(spark, paths.registry, paths.saved_models)
-    best_path = registry.newest_path(model_key)
-    champion = registry.load_newest(model_key) if best_path else None
-    held_out = rows.where(F.col(SPLIT) == TEST)
-    own = counts.where(F.col(SPLIT) == TEST).drop(SPLIT)
-    verdict = evaluate(held_out, spec, model, champion, min_gain, min_f1, own)
-    EvaluationLog(spark, paths.evaluations).insert(paths.run_id, verdict, paths.trained_model, best_path)
+    with released(spark):
+        rows, dropped = validate(df, spec, paths)
+        features, vectors = prepare(rows, spec, paths)
+        model, metrics, counts = train(vectors, spec, features, paths)
+
+        registry = ModelRegistry(spark, paths.registry, paths.saved_models)
+        best_path = registry.newest_path(model_key)
+        champion = registry.load_newest(model_key) if best_path else None
+        held_out = rows.where(F.col(SPLIT) == TEST)
+        own = counts.where(F.col(SPLIT) == TEST).drop(SPLIT)
+        verdict = evaluate(held_out, spec, model, champion, min_gain, min_f1, own)
+        EvaluationLog(spark, paths.evaluations).insert(paths.run_id, verdict, paths.trained_model, best_path)
 
     if verdict.accepted:
         registry.list_saved(paths.trained_model, model_key, verdict.f1_challenger, version)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of a local session that names none: goes with the process.
+_OWN: list[tempfile.TemporaryDirectory] = []
+# Folders made inside the running ``released`` blocks.
+_BLOCKS: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor must reach.
@@ -21,16 +29,36 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = context.getCheckpointDir()
     if current is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="trainflow-"))
+        _OWN.append(tempfile.TemporaryDirectory(prefix="trainflow-", ignore_cleanup_errors=True))
+        context.setCheckpointDir(_OWN[-1].name)
         current = context.getCheckpointDir()
     return current.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path not used before, below the shared folder."""
-    return f"{shared_folder(spark)}/trainflow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/trainflow/{name}-{uuid.uuid4().hex}"
+    if _BLOCKS:
+        _BLOCKS[-1].append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Deletes the shared folders made in the block when it ends, also if it fails.
+
+    For runs that keep their results elsewhere; tables made in the block cannot be read after it.
+    """
+    _BLOCKS.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _BLOCKS.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
