@@ -25,11 +25,9 @@ from trainflow.operators.frequency import cardinality, value_counts
 from trainflow.operators.quality import quoted
 from trainflow.operators.stages import ConstantFiller, ElapsedDays, FrequencyEncoder, ModeImputer, ModeImputerModel
 from trainflow.sources.tables import read_table, replace
-from trainflow.spec import FeatureSpec
+from trainflow.spec import WORD_COUNTS, FeatureSpec
 from trainflow.workspace import written
 
-WORD_COUNTS = "rawFeatures"
-
 
 @dataclass(frozen=True)
 class FeatureProfile:

@@ -17,6 +17,10 @@ MIN_F1_GAIN = 0.002
 UNKNOWN_TARGET = "N/A"
 HIGH_MISSING_REASON = "Contains many missing values"
 UNKNOWN_TARGET_REASON = "Dropped row as target label is unknown"
+# Names of prepared columns, which readers of a run's tables rely on.
+VECTOR = "va_input_features"
+FEATURES = "scaled_input_features"
+WORD_COUNTS = "rawFeatures"
 
 
 @dataclass(frozen=True)
@@ -78,11 +82,11 @@ class FeatureSpec:
 
     @property
     def vector(self) -> str:
-        return "va_input_features"
+        return VECTOR
 
     @property
     def features(self) -> str:
-        return "scaled_input_features"
+        return FEATURES
 
     @property
     def indexed_target(self) -> str:
