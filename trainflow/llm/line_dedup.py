@@ -59,13 +59,14 @@ def _keys(edits: int) -> Column:
     return F.expr(f"array({', '.join(listed + others)})")
 
 
-#: Characters by class: edits change few of them.
-CLASSES = ("eé", "aáà", "tT", "nñ", "os", "ir", "hl", "dcu")
+#: Frequent characters; an edit changes the counts of at most two of them, by one each.
+COUNTED = " eatnoirshdluc"
 
 
-def _bag() -> list[Column]:
-    """How many characters of each class a line ``l`` of ``n`` characters has."""
-    return [(F.col("n") - F.char_length(F.translate("l", c, ""))).alias(f"c{i}") for i, c in enumerate(CLASSES)]
+def _bag() -> dict[str, Column]:
+    """How often a line ``l`` has each counted character."""
+    size = F.octet_length("l")
+    return {f"c{i}": size - F.octet_length(F.replace(F.col("l"), F.lit(c), F.lit(""))) for i, c in enumerate(COUNTED)}
 
 
 def near(a: Column, b: Column, edits: int) -> Column:
@@ -73,7 +74,8 @@ def near(a: Column, b: Column, edits: int) -> Column:
 
     Bit k of a column's vectors stands for the row ``edits`` - k before the diagonal. While the band's
     lowest row is inside the first text, the distance is followed down that edge of the band; then
-    along the first text's last row.
+    along the first text's last row. No place of a column is nearer than that edge less the band's
+    height, so beyond three times the edits a pair is given up.
     """
     width = 2 * edits + 1
     mask = (1 << width) - 1
@@ -90,7 +92,8 @@ def near(a: Column, b: Column, edits: int) -> Column:
             for k in range(width):
                 same = F.coalesce(F.get(rows, i + (k - edits)) == char, F.lit(False))
                 match = match.bitwiseOR(F.when(same, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
-            return F.transform(F.array(F.struct(match.alias("m"), state.alias("s"))), lambda x: _column(x, i, n))[0]
+            after = F.transform(F.array(F.struct(match.alias("m"), state.alias("s"))), lambda x: _column(x, i, n))[0]
+            return F.when(state["d"] > 3 * edits, state).otherwise(after)
 
         def _column(x: Column, i: Column, n: Column) -> Column:
             m, up, down, d = x["m"], x["s"]["up"], x["s"]["down"], x["s"]["d"]
@@ -147,27 +150,30 @@ def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -
     Takes any number of rows ``l, h, g`` for each line.
     """
     long = lines.select("h", "g", "l", F.char_length("l").alias("n")).where(F.col("n") >= least)
-    keyed = _cut(long, edits).select("h", "g", "n", F.posexplode(_keys(edits)).alias("i", "key"))
-    own = F.col("i") <= edits
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max(own).alias("own"))
-    again = written(counts.where("c > 1 AND own").select("key"), "keys")
-    met = sieved(keyed, "key", again, "met").where("met").select("h", "g", "n", "key", own.alias("own"))
-    met = written(met.distinct().join(again, "key", "left_semi"), "segments")
-    # An edit changes the count of at most two classes by one each: lines further apart cannot be near.
-    lines_met = met.select("h", "g").distinct()
-    bags = sieved(long, "h", lines_met.select("h"), "met").where("met").select("h", "g", *_bag()).distinct()
-    named = written(met.join(bags, ["h", "g"]), "segments")
-    renamed = {"h": "h2", "g": "g2", "n": "n2"} | {f"c{i}": f"b{i}" for i in range(len(CLASSES))}
+    keyed = _cut(long, edits).select("h", "g", F.posexplode(_keys(edits)).alias("i", "key"))
+    # One number: how often a key occurs, and above bit 32 how often it is a line's own.
+    weight = F.when(F.col("i") <= edits, F.lit((1 << 32) + 1)).otherwise(F.lit(1).cast("long"))
+    counts = keyed.groupBy("key").agg(F.sum(weight).alias("c"))
+    again = written(counts.where(f"c >= {1 << 32} AND c % {1 << 32} > 1").select("key"), "keys")
+    met = sieved(keyed, "key", again, "met").where("met")
+    met = written(met.select("h", "g", "key", (F.col("i") <= edits).alias("own")).distinct(), "met")
+    # Copies are gone; what is left are keys of different lines.
+    shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own")).where("c > 1 AND own")
+    met = written(met.join(shared.select("key"), "key", "left_semi"), "segments")
+    ends = written(met.select("h", "g").distinct(), "ends")
+    texts = sieved(long, "h", ends.select("h"), "met").where("met").join(ends, ["h", "g"], "left_semi")
+    texts = texts.groupBy("h", "g").agg(F.min("l").alias("l")).withColumn("n", F.char_length("l"))
+    texts = written(texts.withColumns(_bag()), "lines")
+    bag = [f"c{i}" for i in range(len(COUNTED))]
+    named = written(met.join(texts.select("h", "g", "n", *bag), ["h", "g"]), "named")
+    renamed = {"h": "h2", "g": "g2", "n": "n2"} | {c: f"other_{c}" for c in bag}
     listed = named.where("own").drop("own").withColumnsRenamed(renamed)
     # Of two lines of one length the one with the larger hash looks up the other.
     before = "(n2 < n OR (n2 = n AND (h2 < h OR (h2 = h AND g2 < g))))"
-    apart = " + ".join(f"abs(c{i} - b{i})" for i in range(len(CLASSES)))
+    apart = " + ".join(f"abs({c} - other_{c})" for c in bag)
     pairs = named.join(listed, "key").where(f"{before} AND {apart} <= {2 * edits}")
     pairs = written(pairs.select("h", "g", "h2", "g2").distinct(), "pairs")
-    ends = pairs.select("h", "g").unionByName(pairs.select(F.col("h2").alias("h"), F.col("g2").alias("g"))).distinct()
-    ends = written(ends, "ends")
-    texts = sieved(long, "h", ends.select("h"), "met").where("met").join(ends, ["h", "g"], "left_semi")
-    texts = written(texts.groupBy("h", "g").agg(F.min("l").alias("l")), "lines")
+    texts = texts.select("h", "g", "l")
     other = texts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("l").alias("l2"))
     both = pairs.join(texts, ["h", "g"]).join(other, ["h2", "g2"])
     found = both.where(near(F.col("l"), F.col("l2"), edits))
