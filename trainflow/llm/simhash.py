@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from trainflow.llm.components import components
 from trainflow.llm.sieve import sieved
+from trainflow.operators.lookup import lookup
 from trainflow.workspace import written
 
 #: Fixed values of the fingerprint: seed of the shingle hash, bits.
@@ -249,9 +250,9 @@ def near_duplicates(
     groups = classes.join(placed, F.col("f") == F.col("g"), "left")
     least = F.when(F.col("g").isNull(), F.col("first")).otherwise(F.col("least"))
     groups = groups.select(F.col("f").alias("g"), least.alias("c"))
-    return rows.join(groups, F.col("f") == F.col("g")).select(
-        F.col("k").alias(key), F.col("f").alias("fingerprint"), F.col("c").alias("component_id")
-    )
+    # A fingerprint may be that of a third of all rows; the lookup spreads hot ones.
+    found = lookup(rows, F.col("f"), written(groups, "groups"), "g", {"c": "component_id"}, how="inner")
+    return found.select(F.col("k").alias(key), F.col("f").alias("fingerprint"), "component_id")
 
 
 def one_of_each(
