@@ -193,16 +193,6 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert [r.payload for r in landing.read_quarantine(spark, store).collect()] == ["broken"]
 
 
-def test_only_tables_with_few_splits_are_spread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).coalesce(1).write.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    few = tables.spread(spark.read.parquet(path))
-    assert few.rdd.getNumPartitions() == cores and few.count() == 100
-    many = spark.range(0, 100, 1, 3 * cores)
-    assert tables.spread(many) is many
-
-
 def test_good_elements_of_an_array_are_kept_beside_bad_ones(spark, tmp_path):
     lines = '[{"id": 1}, {"id": 2}]\n[{"id": 3}, {"id": "x"}, null, {"id": 4, "name": "d"}, 7]\n[{"id": 5},{"id"\n\n[]\n'
     path, store = land(tmp_path / "in", lines=lines), str(tmp_path / "store")
