@@ -18,8 +18,17 @@ from trainflow.llm.catalog import byte_bpe
 from trainflow.workspace import written
 
 
+#: Whole texts that a Python worker gets at once: they stay small beside an executor's heap.
+ROWS_AT_ONCE = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier gives a score of at least one half."""
+    _small_batches(spark)
     machine = quality.train(docs, load(spark, sf_dir, "labels"))
     return quality.scored(docs, machine, name="__score").where("__score >= 0.5").drop("__score")
 
@@ -34,16 +43,19 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    _small_batches(spark)
     return simhash.one_of_each(docs, shingle=3, max_bits=3)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a contaminating share of benchmark passages."""
+    _small_batches(spark)
     return decontaminate.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 ids."""
+    _small_batches(spark)
     return packing.pack(docs, byte_bpe(), end=2, size=1024)
 
 

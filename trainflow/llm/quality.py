@@ -22,6 +22,8 @@ from trainflow.llm import words
 #: Slots of hashed words, numbers per input, most labelled rows that a fit takes.
 SLOTS, RANK, MOST_ROWS = 1 << 16, 8, 12_000
 EPOCHS, TOGETHER, PACE = 12, 128, 0.05
+#: Texts whose inputs are held at once when scoring.
+FEW = 256
 #: Shrinkage of weights and vectors at each step.
 SHRINK = 1e-4
 #: Statistics are cut off beyond so many standard deviations.
@@ -290,6 +292,9 @@ def scored(
 
     @F.pandas_udf("double")
     def score(texts: pd.Series, stated: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(inputs(list(texts), stated.to_numpy(float, na_value=np.nan))))
+        lengths, scores = stated.to_numpy(float, na_value=np.nan), [np.empty(0)]
+        for k in range(0, len(texts), FEW):
+            scores.append(shared.value.score(inputs(list(texts[k : k + FEW]), lengths[k : k + FEW])))
+        return pd.Series(np.concatenate(scores))
 
     return docs.withColumn(name, score(F.col(text).cast("binary"), F.col(length).cast("double")))

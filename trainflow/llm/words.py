@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 #: Bytes whose powers and sums are held at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Odd multipliers; two of them give two independent hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
