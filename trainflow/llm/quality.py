@@ -278,7 +278,12 @@ def train(
         np.concatenate(([0], np.cumsum(slots.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64),
         statistics.flatten().to_numpy().reshape(-1, len(STATISTICS)),
     )
-    return fit(x, sample["label"].to_numpy())
+    labelled = sample["label"].to_numpy()
+    del sample, slots, weights, statistics
+    machine = fit(x, labelled)
+    del x
+    pa.default_memory_pool().release_unused()  # the driver has other things to hold
+    return machine
 
 
 def scored(
