@@ -90,3 +90,14 @@ def test_odd_rows(spark):
     sizes = sorted((r.doc_id or 0, r.text or "", len(r.licenses)) for r in found.collect())
     assert [n for _, _, n in sizes] == [1, 0, 0, 200, 0]
     assert licenses.with_licenses(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [200, 500])
+def test_large_gaps_without_words_of_their_own_are_aligned(size):
+    rng = random.Random(size)
+    template = rng.choices(range(20), k=size)
+    text = rng.choices(range(20), k=size + 50)
+    pairs = licenses.aligned(text, template)
+    assert len(pairs) == lcs(text, template) > size / 3
+    assert all(text[i] == template[j] for i, j in pairs)
+    assert all(a < c and b < d for (a, b), (c, d) in zip(pairs[:-1], pairs[1:], strict=True))

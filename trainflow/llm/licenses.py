@@ -2,8 +2,8 @@
 
 Places where enough of a template's telling words (all but common ones) stand close together are
 aligned with it: words that occur once on both sides are anchors, the longest run of anchors in the
-same order on both sides is kept, and the gaps between them are aligned in the same way; a small gap
-without anchors is aligned by its longest common subsequence. The coverage is the share of the
+same order on both sides is kept, and the gaps between them are aligned in the same way; a gap without
+anchors is aligned by its longest common subsequence. The coverage is the share of the
 template's words that are aligned within a stretch of at most ``STRETCH`` times its length.
 """
 
@@ -24,8 +24,6 @@ from trainflow.llm.license_texts import COMMON, TEXTS
 
 #: Least coverage of a found licence, longest stretch of text for a template, in template lengths.
 LEAST, STRETCH = 0.8, 1.5
-#: Gaps without anchors are aligned up to so many pairs of words.
-SMALL_GAP = 1 << 14
 
 Pairs = list[tuple[int, int]]
 
@@ -51,21 +49,29 @@ def _increasing(pairs: Pairs) -> Pairs:
 
 
 def _common(text: Sequence, template: Sequence, a: int, b: int) -> Pairs:
-    """A longest common subsequence of two short sequences, with places counted from ``a`` and ``b``."""
+    """A longest common subsequence of two sequences, with places counted from ``a`` and ``b``.
+
+    From the end of the text, a row of bits for each of its words: bit k is 0 where the template's last
+    k + 1 words have one more word in common with the rest of the text than its last k.
+    """
     n, m = len(text), len(template)
-    best = np.zeros((n + 1, m + 1), np.int32)
+    full = (1 << m) - 1
+    spots: dict = {}
+    for j, w in enumerate(template):
+        spots[w] = spots.get(w, 0) | 1 << (m - 1 - j)
+    row, rows = full, [full] * (n + 1)
     for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if text[i] == template[j] else max(best[i + 1, j], best[i, j + 1])
+        met = row & spots.get(text[i], 0)
+        row = rows[i] = (row + met | row - met) & full
     out, i, j = [], 0, 0
     while i < n and j < m:
         if text[i] == template[j]:
             out.append((a + i, b + j))
             i, j = i + 1, j + 1
-        elif best[i + 1, j] >= best[i, j + 1]:
-            i += 1
-        else:
+        elif rows[i] >> (m - 1 - j) & 1:
             j += 1
+        else:
+            i += 1
     return out
 
 
@@ -80,8 +86,7 @@ def aligned(text: Sequence, template: Sequence) -> Pairs:
         left, right = text[a:b], template[c:d]
         once = {w for w, n in Counter(left).items() if n == 1} & {w for w, n in Counter(right).items() if n == 1}
         if not once:
-            if len(left) * len(right) <= SMALL_GAP:
-                out += _common(left, right, a, c)
+            out += _common(left, right, a, c)
             continue
         place = {w: c + j for j, w in enumerate(right) if w in once}
         anchors = _increasing([(a + i, place[w]) for i, w in enumerate(left) if w in once])
