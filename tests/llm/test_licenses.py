@@ -101,3 +101,27 @@ def test_large_gaps_without_words_of_their_own_are_aligned(size):
     assert len(pairs) == lcs(text, template) > size / 3
     assert all(text[i] == template[j] for i, j in pairs)
     assert all(a < c and b < d for (a, b), (c, d) in zip(pairs[:-1], pairs[1:], strict=True))
+
+
+def names(text):
+    return [f[0] for f in licenses.scan([text.encode()])[0]]
+
+
+def test_whole_texts_are_told_apart():
+    """Versions and relatives of a licence are reported as such, and nothing besides, without their notices."""
+    rng = random.Random(3)
+    texts = {(name, text) for name, text in TEXTS if len(text.split()) > 60}
+    assert {n for n, _ in texts} >= {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1"}
+    assert {n for n, _ in texts} >= {"LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense", "ISC"}
+    for name, text in sorted(texts):
+        body = text[: text.index("END OF TERMS")] if "END OF TERMS" in text else text
+        assert names(f"{prose(rng, 300)}\n{body}\n{prose(rng, 300)}") == [name]
+    gpl_2 = "This program is free software; either version 2 of the License, or (at your option) any later version."
+    assert names(gpl_2) == []  # too little of the notice
+
+
+def test_two_licences_in_one_text():
+    rng = random.Random(4)
+    whole = dict(TEXTS[::-1])
+    both = f"{whole['BSD-3-Clause']}\n{prose(rng, 50)}\n{MIT}\n{prose(rng, 50)}\n{whole['BSD-2-Clause']}"
+    assert names(both) == ["BSD-3-Clause", "MIT", "BSD-2-Clause"]

@@ -1,4 +1,15 @@
-"""Texts of public licences and the notices that name them."""
+"""Texts of public licences and the notices that name them.
+
+Long texts are files in ``license_bodies``. That of AGPL-3.0 was put together from GPL-3.0 and the passages
+that differ (preamble, section 13); the others are whole copies.
+"""
+
+import pkgutil
+
+
+def _body(name: str) -> tuple[str, str]:
+    return name, pkgutil.get_data(__package__, f"license_bodies/{name}.txt").decode("utf-8")
+
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -25,7 +36,25 @@ this list of conditions and the following disclaimer. 2. Redistributions in bina
 copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
 provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
 ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
-FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+BSD_3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
+provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
 compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
@@ -33,11 +62,16 @@ Unless required by applicable law or agreed to in writing, software distributed
 on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
 the specific language governing permissions and limitations under the License."""
 
-GPL_3 = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
-Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
-any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
-without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General
-Public License for more details."""
+def _notice(license_name: str, version: str, what: str = "program", published: str = "as published by") -> str:
+    """The notice that the GNU licences ask for, by licence, version and kind of work."""
+    return f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU
+{license_name} {published} the Free Software Foundation, either version {version} of the License, or (at your option)
+any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+{license_name} for more details."""
+
+
+GPL, LGPL, AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
 
 MPL_2 = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
 not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
@@ -49,11 +83,26 @@ TEXTS = (
     ("MIT", "Licensed under the MIT License."),
     ("ISC", ISC),
     ("BSD-2-Clause", BSD_2),
+    ("BSD-3-Clause", BSD_3),
+    _body("Apache-2.0"),
     ("Apache-2.0", APACHE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", GPL_3),
+    _body("GPL-2.0"),
+    ("GPL-2.0", _notice(GPL, "2")),
+    _body("GPL-3.0"),
+    ("GPL-3.0", _notice(GPL, "3")),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    _body("LGPL-2.1"),
+    ("LGPL-2.1", _notice(LGPL, "2.1", "library")),
+    _body("LGPL-3.0"),
+    ("LGPL-3.0", _notice(LGPL, "3", "library")),
+    _body("AGPL-3.0"),
+    ("AGPL-3.0", _notice(AGPL, "3")),
+    _body("MPL-2.0"),
     ("MPL-2.0", MPL_2),
+    _body("CC0-1.0"),
+    _body("CC-BY-SA-4.0"),
+    _body("Unlicense"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )

@@ -13,6 +13,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -107,25 +108,51 @@ def _densest(pairs: Pairs, stretch: int) -> Pairs:
     return pairs[best[0] : best[1]]
 
 
+def _closest(text: np.ndarray, template: Sequence, low: int, high: int, first: int, stretch: int) -> Pairs:
+    """The best aligned stretch from ``low`` to ``high``, aligned again over all the words it may reach.
+
+    Those may lie behind ``high``, but not before ``first``; words around them can mislead anchors.
+    """
+    pairs = [(low + i, j) for i, j in _densest(aligned(text[low:high].tolist(), template), stretch)]
+    if not pairs:
+        return pairs
+    (a, c), (b, d) = pairs[0], pairs[-1]
+    begin = max(first, a - c)
+    again = _densest(_common(text[begin : b + len(template) - d].tolist(), template, begin, 0), stretch)
+    return max(again, pairs, key=len)
+
+
 def _split(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(text.lower(), np.uint8)
     starts, ends = words.spans(data, words.WORD)
     return starts, ends, words.hashes(data, starts, ends)
 
 
+class Find(NamedTuple):
+    """A licence in a text: its name, the share of the template's words, and the numbers of their partners."""
+
+    name: str
+    coverage: float
+    places: list[int]
+
+
 class Templates:
-    """Hashed words of the templates, and which of them are telling."""
+    """Hashed words of the templates, and how often each holds its telling ones."""
 
     def __init__(self, texts: Sequence[tuple[str, str]]) -> None:
         common = set(_split(" ".join(sorted(COMMON)).encode())[2].tolist())
         self.names = [name for name, _ in texts]
         self.words = [_split(text.encode())[2].tolist() for _, text in texts]
-        self.telling = [np.array(sorted(set(w) - common), np.uint64) for w in self.words]
+        telling = [Counter(x for x in w if x not in common) for w in self.words]
         # With this many telling words missing, the coverage cannot be reached.
-        self.needed = [
-            max(1, sum(x not in common for x in w) - int((1 - LEAST) * len(w) + 1e-9)) for w in self.words
-        ]
-        self.all = np.unique(np.concatenate([np.empty(0, np.uint64), *self.telling]))
+        self.needed = np.array(
+            [max(1, t.total() - int((1 - LEAST) * len(w) + 1e-9)) for t, w in zip(telling, self.words, strict=True)],
+            np.int64,
+        )
+        self.all = np.array(sorted(set().union(*telling)), np.uint64)
+        #: A row for each telling word of any template, a column for each template.
+        self.counts = np.array([[t[w] for t in telling] for w in self.all.tolist()], np.int32).reshape(-1, len(texts))
+        self.member = self.counts > 0
 
 
 @cache
@@ -133,25 +160,64 @@ def _templates(texts: tuple[tuple[str, str], ...]) -> Templates:
     return Templates(texts)
 
 
-def _found(hashes: np.ndarray, hits: np.ndarray, own: Templates, k: int) -> list[tuple[float, int, int]]:
-    """Coverage, first and last word of each place where template ``k`` is found."""
-    places = hits[np.isin(hashes[hits], own.telling[k])]
+def _likely(places: np.ndarray, kinds: np.ndarray, most: np.ndarray, stretch: int) -> np.ndarray:
+    """For each place of a word: how many words of the stretch from there a template can match at most.
+
+    Of each kind of word no more than ``most`` count, as the template has no more of it.
+    """
+    n = len(places)
+    order = np.argsort(kinds, kind="stable")
+    earlier = np.arange(n) - most[order]
+    same = (earlier >= 0) & (kinds[order[np.maximum(earlier, 0)]] == kinds[order])
+    # A word counts from behind the one that makes it one too many, and while it is in the stretch.
+    first = np.zeros(n, np.int64)
+    first[order[same]] = order[earlier[same]] + 1
+    first = np.maximum(first, np.searchsorted(places, places - stretch, "right"))
+    change = np.bincount(first, minlength=n + 1) - np.bincount(np.arange(n) + 1, minlength=n + 1)
+    return np.cumsum(change)[:n]
+
+
+def _found(hashes: np.ndarray, hits: np.ndarray, kinds: np.ndarray, own: Templates, k: int) -> list[Find]:
+    """The places where template ``k`` is found."""
+    chosen = own.member[kinds, k]
+    places, kinds = hits[chosen], kinds[chosen]
     size, needed = len(own.words[k]), own.needed[k]
     stretch = int(STRETCH * size)
-    dense = np.searchsorted(places, places + stretch) - np.arange(len(places)) >= needed
-    out, after = [], 0
-    for i in np.flatnonzero(dense):
-        start = int(places[i])
+    starts = places[_likely(places, kinds, own.counts[kinds, k], stretch) >= needed]
+    out, after, i = [], 0, 0
+    while i < len(starts):
+        start = int(starts[i])
         if start < after:
+            i = int(np.searchsorted(starts, after))
             continue
         low = max(after, start - stretch)
-        pairs = _densest(aligned(hashes[low : start + stretch].tolist(), own.words[k]), stretch)
+        pairs = _closest(hashes, own.words[k], low, start + stretch, after, stretch)
         if len(pairs) >= LEAST * size:
-            out.append((len(pairs) / size, low + pairs[0][0], low + pairs[-1][0]))
-            after = low + pairs[-1][0] + 1
+            out.append(Find(own.names[k], len(pairs) / size, [a for a, _ in pairs]))
+            after = out[-1].places[-1] + 1
+        # What begins up to half a stretch later is seen whole from there, too.
+        i = max(i + 1, int(np.searchsorted(starts, start + stretch // 2, "right")) - 1)
     return out
 
 
+def _best(found: list[Find]) -> list[Find]:
+    """Of finds of one licence that overlap the longest stays, of finds that share words the one with most.
+
+    Finds of different licences share words if more than half of the smaller one's are words of the other.
+    """
+    kept: list[Find] = []
+    for x in sorted(found, key=lambda f: (-len(f.places), -f.coverage, f.places[0], f.name)):
+        mine = set(x.places)
+        for y in kept:
+            if x.places[-1] < y.places[0] or y.places[-1] < x.places[0]:
+                continue
+            if x.name == y.name or 2 * len(mine.intersection(y.places)) > len(mine):
+                break
+        else:
+            kept.append(x)
+    return sorted(kept, key=lambda f: (f.places[0], f.places[-1], f.name))
+
+
 def scan(texts: Sequence[bytes | None], templates: tuple[tuple[str, str], ...] = TEXTS) -> list[list[tuple]]:
     """Name, coverage, start and end (code points) of the licences of each text, by place."""
     own = _templates(templates)
@@ -162,26 +228,20 @@ def scan(texts: Sequence[bytes | None], templates: tuple[tuple[str, str], ...] =
         edges = np.searchsorted(starts, at)
         near = np.searchsorted(own.all, hashes)
         hits = np.flatnonzero(own.all[np.minimum(near, len(own.all) - 1)] == hashes) if len(own.all) else near[:0]
+        kinds = near[hits]
         cuts = np.searchsorted(hits, edges)
-        for t in np.flatnonzero(np.diff(cuts)).tolist():
-            mine = hits[cuts[t] : cuts[t + 1]] - edges[t]
+        some = np.flatnonzero(np.diff(cuts) >= own.needed.min(initial=1))
+        for t in some.tolist():
+            mine = slice(cuts[t], cuts[t + 1])
             part = slice(edges[t], edges[t + 1])
-            for k, name in enumerate(own.names):
-                for coverage, a, b in _found(hashes[part], mine, own, k):
-                    text = texts[first + t] or b""
-                    begin, end = (int(x) - int(at[t]) for x in (starts[part][a], ends[part][b]))
-                    begin_at = len(text[:begin].decode())
-                    out[first + t].append((name, coverage, begin_at, begin_at + len(text[begin:end].decode())))
-    return [_best(found) for found in out]
-
-
-def _best(found: list[tuple]) -> list[tuple]:
-    """Of overlapping finds of one licence the longest, then the one covered best, stays."""
-    kept: list[tuple] = []
-    for x in sorted(found, key=lambda f: (f[2] - f[3], -f[1], f[2], f[0])):
-        if all(x[0] != y[0] or x[3] <= y[2] or y[3] <= x[2] for y in kept):
-            kept.append(x)
-    return sorted(kept, key=lambda f: (f[2], f[3], f[0]))
+            enough = np.flatnonzero(own.member[kinds[mine]].sum(axis=0) >= own.needed)
+            found = [f for k in enough.tolist() for f in _found(hashes[part], hits[mine] - edges[t], kinds[mine], own, k)]
+            text = texts[first + t] or b""
+            for f in _best(found):
+                begin, end = int(starts[part][f.places[0]] - at[t]), int(ends[part][f.places[-1]] - at[t])
+                begin_at = len(text[:begin].decode())
+                out[first + t].append((f.name, f.coverage, begin_at, begin_at + len(text[begin:end].decode())))
+    return out
 
 
 def with_licenses(
