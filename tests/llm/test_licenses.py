@@ -125,3 +125,39 @@ def test_two_licences_in_one_text():
     whole = dict(TEXTS[::-1])
     both = f"{whole['BSD-3-Clause']}\n{prose(rng, 50)}\n{MIT}\n{prose(rng, 50)}\n{whole['BSD-2-Clause']}"
     assert names(both) == ["BSD-3-Clause", "MIT", "BSD-2-Clause"]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("Licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+        ("Released under the Apache License", []),
+        ("Licensed under CC BY 4.0", ["CC-BY-4.0"]),
+        ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        ("Released under MIT License", ["MIT"]),
+        ("Licensed under the MIT License or the Apache License, Version 2.0", ["MIT", "Apache-2.0"]),
+        ("The MIT License is mentioned only.", []),
+    ],
+)
+def test_notices_need_the_name_and_version(text, expected):
+    assert names(text) == expected
+
+
+def test_query_gives_nothing_but_the_lines_of_the_table(spark):
+    """The whole string of every document beside plain searches for the lines that the tables hold."""
+    folder = "/root/testdata/sf0.01"
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0",
+        "Released under the MIT License": "MIT",
+        "Licensed under the Apache License, Version 2.0": "Apache-2.0",
+    }
+    pattern = re.compile("|".join(map(re.escape, lines)))
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for r in op6_license_scan(spark, folder).collect():
+        found = [f"{lines[m[0]]}:{m.start()}:{m.end()}" for m in pattern.finditer(docs[r.doc_id])]
+        assert (r.n_licenses, r.licenses) == (len(found), ",".join(found))

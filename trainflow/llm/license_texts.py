@@ -76,22 +76,48 @@ GPL, LGPL, AGPL = "General Public License", "Lesser General Public License", "Af
 MPL_2 = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
 not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
+def _lines() -> list[tuple[str, str]]:
+    """Notices of one line: every way to say it with every name of a licence and version."""
+    names = [
+        ("MIT", "the MIT License"),
+        ("ISC", "the ISC License"),
+        ("Unlicense", "the Unlicense"),
+        ("CC0-1.0", "CC0 1.0"),
+    ]
+    for n in "23":
+        names += [(f"BSD-{n}-Clause", f"the {x}") for x in (f"BSD {n}-Clause License", f"{n}-Clause BSD License")]
+    names += [("Apache-2.0", f"the Apache {x}") for x in ("License, Version 2.0", "License 2.0", "2.0 License")]
+    names += [("MPL-2.0", f"the {x} 2.0") for x in ("Mozilla Public License, version", "Mozilla Public License, v.")]
+    names += [("MPL-2.0", f"the {x} 2.0") for x in ("Mozilla Public License", "MPL")]
+    versions = [(GPL, "GPL", ("2", "3")), (LGPL, "LGPL", ("2.1", "3")), (AGPL, "AGPL", ("3",))]
+    for long, short, numbers in versions:
+        for v in numbers:
+            own = f"{short}-{v if '.' in v else v + '.0'}"
+            for x in (f"GNU {long}", f"GNU {short}", short):
+                names += [(own, f"the {x} {y}") for y in (f"version {v}", f"v{v}")]
+            names += [(own, f"version {v} of the GNU {x}") for x in (long, short)]
+    parts = {"BY": "Attribution", "SA": "ShareAlike", "ND": "NoDerivatives", "NC": "NonCommercial"}
+    for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        long = "-".join(parts[x] for x in kind.split("-"))
+        for v, scope in (("4.0", "International"), ("3.0", "Unported")):
+            whole = f"a Creative Commons {long} {v}"
+            names += [(f"CC-{kind}-{v}", x) for x in (f"CC {kind} {v}", f"{whole} {scope} License", f"{whole} License")]
+    says = ("Released under", "Licensed under", "Distributed under the terms of", "This work is licensed under")
+    return [(name, f"{say} {x}.") for name, x in names for say in says]
+
+
 #: Name and text; several texts may stand for one licence.
 TEXTS = (
     ("MIT", MIT),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
     ("ISC", ISC),
     ("BSD-2-Clause", BSD_2),
     ("BSD-3-Clause", BSD_3),
     _body("Apache-2.0"),
     ("Apache-2.0", APACHE),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     _body("GPL-2.0"),
     ("GPL-2.0", _notice(GPL, "2")),
     _body("GPL-3.0"),
     ("GPL-3.0", _notice(GPL, "3")),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     _body("LGPL-2.1"),
     ("LGPL-2.1", _notice(LGPL, "2.1", "library")),
     _body("LGPL-3.0"),
@@ -103,8 +129,7 @@ TEXTS = (
     _body("CC0-1.0"),
     _body("CC-BY-SA-4.0"),
     _body("Unlicense"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    *_lines(),
 )
 
 #: Words that any text may hold.
@@ -112,3 +137,6 @@ COMMON = frozenset(
     """a an and any are as at be but by can for from if in is it its may not of on or other that the this to under
     use will with you your""".split()
 )
+
+#: Words of notices that do not name a licence.
+FRAME = frozenset("a an the this is are work software program project code file under terms of released licensed distributed".split())

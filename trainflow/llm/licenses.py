@@ -5,6 +5,7 @@ aligned with it: words that occur once on both sides are anchors, the longest ru
 same order on both sides is kept, and the gaps between them are aligned in the same way; a gap without
 anchors is aligned by its longest common subsequence. The coverage is the share of the
 template's words that are aligned within a stretch of at most ``STRETCH`` times its length.
+Notices of few words are found by the licence's name and version, which have to be there whole.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.llm import words
-from trainflow.llm.license_texts import COMMON, TEXTS
+from trainflow.llm.license_texts import COMMON, FRAME, TEXTS
 
 #: Least coverage of a found licence, longest stretch of text for a template, in template lengths.
 LEAST, STRETCH = 0.8, 1.5
+#: Templates of fewer words are notices: what names the licence and version has to stand there word by word.
+SHORT = 20
 
 Pairs = list[tuple[int, int]]
 
@@ -135,6 +138,10 @@ class Find(NamedTuple):
     coverage: float
     places: list[int]
 
+    def between(self) -> int:
+        """Words from the first to the last place that are no partners."""
+        return self.places[-1] + 1 - self.places[0] - len(self.places)
+
 
 class Templates:
     """Hashed words of the templates, and how often each holds its telling ones."""
@@ -149,6 +156,17 @@ class Templates:
             [max(1, t.total() - int((1 - LEAST) * len(w) + 1e-9)) for t, w in zip(telling, self.words, strict=True)],
             np.int64,
         )
+        frame = set(_split(" ".join(sorted(FRAME)).encode())[2].tolist())
+        #: First and last word, and one more, of what names the licence in a notice; the notices of each name.
+        self.named: dict[int, tuple[int, int]] = {}
+        self.notices: dict[tuple, list[int]] = {}
+        for k, w in enumerate(self.words):
+            if 0 < len(w) < SHORT:
+                naming = [j for j, x in enumerate(w) if x not in frame] or range(len(w))
+                low, high = self.named[k] = naming[0], naming[-1] + 1
+                self.notices.setdefault(tuple(w[low:high]), []).append(k)
+                telling[k] = Counter()
+                self.needed[k] = np.iinfo(np.int64).max
         self.all = np.array(sorted(set().union(*telling)), np.uint64)
         #: A row for each telling word of any template, a column for each template.
         self.counts = np.array([[t[w] for t in telling] for w in self.all.tolist()], np.int32).reshape(-1, len(texts))
@@ -200,6 +218,28 @@ def _found(hashes: np.ndarray, hits: np.ndarray, kinds: np.ndarray, own: Templat
     return out
 
 
+def _named(hashes: np.ndarray, name: tuple) -> np.ndarray:
+    """Where the words of a name stand one after the other."""
+    at = np.flatnonzero(hashes == np.uint64(name[0]))
+    for j, w in enumerate(name[1:], 1):
+        at = at[at + j < len(hashes)]
+        at = at[hashes[at + j] == np.uint64(w)]
+    return at
+
+
+def _noticed(text: np.ndarray, at: int, own: Templates, k: int) -> Find | None:
+    """Template ``k``, a notice whose name stands at ``at``, if enough of the words around the name are there."""
+    wanted, (low, high) = own.words[k], own.named[k]
+    reach = int(STRETCH * len(wanted)) - (high - low)
+    # Backwards from the name, so that the nearest words count.
+    before = _common(text[max(0, at - reach) : at][::-1].tolist(), wanted[:low][::-1], 0, 0)
+    first = at - 1 - before[-1][0] if before else at
+    end = at + high - low
+    after = _common(text[end : end + reach - (at - first)].tolist(), wanted[high:], end, high)
+    places = [at - 1 - i for i, _ in before[::-1]] + list(range(at, end)) + [i for i, _ in after]
+    return Find(own.names[k], len(places) / len(wanted), places) if len(places) >= LEAST * len(wanted) else None
+
+
 def _best(found: list[Find]) -> list[Find]:
     """Of finds of one licence that overlap the longest stays, of finds that share words the one with most.
 
@@ -230,12 +270,23 @@ def scan(texts: Sequence[bytes | None], templates: tuple[tuple[str, str], ...] =
         hits = np.flatnonzero(own.all[np.minimum(near, len(own.all) - 1)] == hashes) if len(own.all) else near[:0]
         kinds = near[hits]
         cuts = np.searchsorted(hits, edges)
-        some = np.flatnonzero(np.diff(cuts) >= own.needed.min(initial=1))
-        for t in some.tolist():
+        finds: dict[int, list[Find]] = {}
+        for name, notices in own.notices.items():
+            for spot in _named(hashes, name).tolist():
+                t = int(np.searchsorted(edges, spot, "right")) - 1
+                if spot + len(name) <= edges[t + 1]:
+                    stated = [_noticed(hashes[edges[t] : edges[t + 1]], spot - edges[t], own, k) for k in notices]
+                    # Of the ways to say it the best covered one, then the one with the fewest words between.
+                    tight = sorted((f for f in stated if f), key=lambda f: (f.coverage, -f.between(), len(f.places)))
+                    finds.setdefault(t, []).extend({f.name: f for f in tight}.values())
+        for t in np.flatnonzero(np.diff(cuts) >= own.needed.min(initial=1 << 62)).tolist():
             mine = slice(cuts[t], cuts[t + 1])
             part = slice(edges[t], edges[t + 1])
-            enough = np.flatnonzero(own.member[kinds[mine]].sum(axis=0) >= own.needed)
-            found = [f for k in enough.tolist() for f in _found(hashes[part], hits[mine] - edges[t], kinds[mine], own, k)]
+            for k in np.flatnonzero(own.member[kinds[mine]].sum(axis=0) >= own.needed).tolist():
+                more = _found(hashes[part], hits[mine] - edges[t], kinds[mine], own, k)
+                finds.setdefault(t, []).extend(more)
+        for t, found in finds.items():
+            part = slice(edges[t], edges[t + 1])
             text = texts[first + t] or b""
             for f in _best(found):
                 begin, end = int(starts[part][f.places[0]] - at[t]), int(ends[part][f.places[-1]] - at[t])
