@@ -56,7 +56,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 ids."""
     _small_batches(spark)
-    return packing.pack(docs, byte_bpe(), end=2, size=1024)
+    return packing.pack(docs, byte_bpe(), end=2, size=1024, as_text=False)
 
 
 STAGES = [

@@ -141,3 +141,24 @@ def test_plans_hold_the_histogram(seed):
             held[v] += many
     assert held == histogram
     assert sum(plan.values()) <= 1.01 * sum(packing.best_fit(histogram, size).values()) + 1
+
+
+def test_queries_give_what_an_unchanged_tokenizer_gives(spark, tmp_path):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", " ", "x", "é", "\n", "y z", "<|", "|>", "endoftext"]
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|> c d", *ODD]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(300)]
+    expected = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [87, 220, 50256, 331]
+    assert [x.tolist() for x in tokens.Encoder(byte_bpe(), as_text=False).encode(texts)] == expected
+    rows = list(enumerate(texts))
+    folder = tmp_path / "data"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{folder}/documents.parquet")
+    found, start = [], 0
+    for k, ids in plain(own, rows, 0):
+        found.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, op5_token_records(spark, str(folder)).collect())) == found
+    check_packing(op7_best_fit_packing(spark, str(folder)).collect(), plain(own, rows, 2), 1024)

@@ -80,7 +80,7 @@ def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
-    return records.round_trip(spark, load(spark, folder, "documents"), byte_bpe(), end=0)
+    return records.round_trip(spark, load(spark, folder, "documents"), byte_bpe(), end=0, as_text=False)
 
 
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +99,7 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(load(spark, folder, "documents"), byte_bpe(), end=2, size=1024)
+    return packing.pack(load(spark, folder, "documents"), byte_bpe(), end=2, size=1024, as_text=False)
 
 
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

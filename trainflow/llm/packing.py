@@ -157,16 +157,18 @@ def pieces(
     text: str = "text",
     size: int = 1024,
     ids: bool = False,
+    as_text: bool = True,
 ) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` of every document, with ``ids`` if asked for.
 
     A document is the ids of its text and the end id. One longer than ``size`` is cut so that all
     pieces but the first have ``size`` ids. A null or empty text is the end id alone.
+    Special tokens in a text are text with ``as_text``, else what the library makes of them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(shared.value)
+        own = encoder(shared.value, as_text)
         for batch in batches:
             rows, counts, values = [], [], []
             for got in own.encode(batch.column(1).to_pylist()):
@@ -236,10 +238,11 @@ def pack(
     text: str = "text",
     size: int = 1024,
     ids: bool = False,
+    as_text: bool = True,
 ) -> DataFrame:
     """The pieces of all documents with their places; see ``pieces`` and ``packed``.
 
     Null keys and repeated rows are packed like any other; other columns are not carried; an empty
     table gives no rows.
     """
-    return packed(pieces(docs, definition, end, key, text, size, ids), key, size)
+    return packed(pieces(docs, definition, end, key, text, size, ids, as_text), key, size)

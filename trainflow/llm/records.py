@@ -69,18 +69,24 @@ def _opened(path: str):
 
 
 def write(
-    docs: DataFrame, definition: str, end: int, key: str = "doc_id", text: str = "text", folder: str | None = None
+    docs: DataFrame,
+    definition: str,
+    end: int,
+    key: str = "doc_id",
+    text: str = "text",
+    folder: str | None = None,
+    as_text: bool = True,
 ) -> DataFrame:
     """Writes the ids of every text in ascending order of the key; returns the table of files.
 
     ``definition`` is a tokenizer of the tokenizers library as JSON, ``end`` the id appended to each
-    document. Null and empty texts have the end id alone. Null keys come first; rows with the same
+    document. Special tokens in a text are text with ``as_text``, else what the library makes of them. Null and empty texts have the end id alone. Null keys come first; rows with the same
     key are ordered by a digest of their text. Other columns are not written. An empty table gives no files.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "records")
     shared = spark.sparkContext.broadcast(definition)
-    wide = max(encoder(definition).library.get_vocab_size(), end + 1) > 1 << 16
+    wide = max(encoder(definition, as_text).library.get_vocab_size(), end + 1) > 1 << 16
     kind = "<u4" if wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +94,7 @@ def write(
         stem = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         system, base = _opened(folder)
         system.create_dir(base, recursive=True)
-        own, offset, tokens, records = encoder(shared.value), 0, 0, 0
+        own, offset, tokens, records = encoder(shared.value, as_text), 0, 0, 0
         with (
             system.open_output_stream(f"{base}/{stem}.rec", buffer_size=BUFFER) as data,
             system.open_output_stream(f"{base}/{stem}.idx", buffer_size=BUFFER) as index,
@@ -221,6 +227,6 @@ def summary(files: DataFrame) -> DataFrame:
     return _spread(files).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, definition: str, end: int) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, definition: str, end: int, as_text: bool = True) -> DataFrame:
     """Writes the documents' ids and returns the summary read back from the files."""
-    return summary(write(docs, definition, end)).withColumnRenamed("key", "doc_id")
+    return summary(write(docs, definition, end, as_text=as_text)).withColumnRenamed("key", "doc_id")

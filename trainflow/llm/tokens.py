@@ -34,10 +34,11 @@ class Encoder:
     The library cuts a text before each blank that stands between two other characters, and no
     token reaches over a cut. So the ids of a text are those of its first word and of each later
     word with its blank; new words are given to the library many at a time. Texts with more white
-    space beside a blank go to the library whole. Special tokens written in a text are text.
+    space beside a blank go to the library whole, and so do texts that hold an added token. Special
+    tokens written in a text are text with ``as_text``, else the library gives their ids, as by default.
     """
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, as_text: bool = True) -> None:
         self.library, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.opens = np.zeros(size, bool)
@@ -47,8 +48,12 @@ class Encoder:
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([blanks, letters])
         for t in (self.library, self.plain):
-            t.encode_special_tokens = True
+            t.encode_special_tokens = as_text
             t.model._resize_cache(0)
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (as_text and t.special)]
+        # Words that are learned together must not make a token that none of them holds.
+        self.together = 1 if any(" " in t for t in self.added) else TOGETHER
         self._forget()
 
     def _forget(self) -> None:
@@ -68,7 +73,8 @@ class Encoder:
         for library, chosen in ((self.plain, simple), (self.library, ~simple & ~bad)):
             places = np.flatnonzero(chosen)
             some = [words[i] for i in places.tolist()]
-            texts = [" " + " ".join(some[k : k + TOGETHER]) for k in range(0, len(some), TOGETHER)]
+            step = self.together
+            texts = [" " + " ".join(some[k : k + step]) for k in range(0, len(some), step)]
             got = np.fromiter(chain.from_iterable(self._encoded(library, texts)), np.uint32)
             at = np.flatnonzero(self.opens[got])
             if len(at) != len(some):  # a vocabulary whose tokens don't show their blank
@@ -102,6 +108,8 @@ class Encoder:
         bounds = np.concatenate(([0], np.cumsum(sizes)))[text]
         bad = np.diff(np.concatenate(([0], np.cumsum(self.bad[codes])))[text]) > 0
         bad |= np.array([w[0][-1:].isspace() or (not w[0] and len(w) > 1) for w in split], bool)
+        if self.added:
+            bad |= np.array([any(a in t for a in self.added) for t in texts], bool)
         whole = iter(self._encoded(self.library, [t for t, b in zip(texts, bad.tolist(), strict=True) if b]))
         parts = zip(heads, bounds[:-1].tolist(), bounds[1:].tolist(), bad.tolist(), strict=True)
         return [
@@ -128,13 +136,13 @@ def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
 
-def encoder(definition: str) -> Encoder:
+def encoder(definition: str, as_text: bool = True) -> Encoder:
     """The encoder of a definition, kept as long as the worker process lives."""
-    key = hash(definition)
+    key = hash(definition), as_text
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
+        _ENCODERS[key] = Encoder(definition, as_text)
     return _ENCODERS[key]
