@@ -2,7 +2,8 @@
 
 The k-mers of a text are runs of ``K`` words; repeated ones are told apart by their occurrence number.
 Every numbered k-mer has a hash; its top bits choose one of ``SLOTS`` slots. A slot keeps its
-``TUPLE`` smallest hashes, puts them back into text order and hashes that tuple. Moving, changing or
+two smallest hashes, puts them back into text order and hashes that tuple; a slot with one k-mer hashes
+that alone, so texts of up to a few hundred words show less of their order (README). Moving, changing or
 reordering words changes the tuples that hold them, so the share of equal slots follows the edit
 distance, not only the words in common.
 """
