@@ -316,3 +316,25 @@ def test_weight_of_words_matches_the_formula(spark):
 def test_declared_schema():
     kinds = {f.name: f.dataType.simpleString() for f in SPEC.schema().fields}
     assert kinds["sent"] == "timestamp" and kinds["n"] == "double" and kinds["t"] == "string" and kinds["y"] == "string"
+
+
+def test_saved_equals_fitted_sees_a_forest_that_changed(spark, monkeypatch):
+    from pyspark.ml.feature import IndexToString
+
+    from trainflow.catalog import model as catalog
+    from trainflow.sources.registry import ModelRegistry
+
+    folder = "/root/testdata/sf0.001"
+    good = catalog.saved_equals_fitted(spark, folder)
+    assert good.count() == catalog.cases(spark, folder).count() and good.where("NOT equal").isEmpty()
+    load = ModelRegistry.load_newest
+
+    def changed(self, key):
+        found = load(self, key)
+        names = found.stages[-1]
+        assert isinstance(names, IndexToString)
+        names.setLabels(names.getLabels()[::-1])
+        return found
+
+    monkeypatch.setattr(ModelRegistry, "load_newest", changed)
+    assert not catalog.saved_equals_fitted(spark, folder).where("NOT equal").isEmpty()

@@ -20,7 +20,7 @@ from trainflow.catalog.tables import (
 from trainflow.operators import gate, metrics
 from trainflow.operators.metrics import METRIC_NAMES
 from trainflow.operators.splits import TEST, TRAIN, with_split
-from trainflow.plans import features, flow, scoring
+from trainflow.plans import features, flow, scoring, training
 from trainflow.plans.evaluation import EvaluationLog
 from trainflow.sources.registry import ModelRegistry
 from trainflow.spec import MIN_F1_GAIN, RunPaths
@@ -221,15 +221,35 @@ def metrics_crosscheck(spark, folder):
 
 
 def saved_equals_fitted(spark, folder):
-    """A fitted feature pipeline and the same one saved and loaded: is every case's vector equal?"""
+    """A fitted scoring model and the same one listed, saved and loaded: are every case's vector and prediction equal?"""
     rows = written(cases(spark, folder), "cases")
     fitted = features.fit_features(rows, CASE_SPEC)
-    path = new_folder(spark, "model")
-    fitted.write().save(path)
-    vector = vector_to_array(CASE_SPEC.features)
-    first = fitted.transform(rows).select("case_id", vector.alias("a"))
-    second = PipelineModel.load(path).transform(rows).select(F.col("case_id").alias("k"), vector.alias("b"))
-    return first.join(second, F.col("case_id") == F.col("k")).select("case_id", (F.col("a") == F.col("b")).alias("equal"))
+    prepared = written(fitted.transform(rows), "prepared")
+    labels = training.fit_labels(prepared, CASE_SPEC)
+    classifier = training.model_pipeline(CASE_SPEC, labels).fit(labels.transform(prepared))
+    model = training.scoring_model(fitted, classifier)
+    root = new_folder(spark, "model")
+    labels.write().save(f"{root}/labels")
+    same = StringIndexerModel.load(f"{root}/labels").labels == labels.labels
+    registry = ModelRegistry(spark, f"{root}/registry", f"{root}/models")
+    registry.register(model, MODEL_KEY)
+    found = _same_scores(model, registry.load_newest(MODEL_KEY), rows)
+    return found.withColumn("equal", F.col("equal") & F.lit(same))
+
+
+def _same_scores(fitted, loaded, rows):
+    """For each case, whether two scoring models give the same vector, probabilities, prediction and class."""
+    names = [CASE_SPEC.features, "probability", "prediction", CASE_SPEC.predicted_target]
+
+    def scored(model):
+        found = model.transform(rows)
+        vectors = {n: vector_to_array(n) for n in names[:2]}
+        return found.withColumns(vectors).select("case_id", F.struct(*names).alias("all"))
+
+    first = scored(fitted)
+    second = scored(loaded).select(F.col("case_id").alias("k"), F.col("all").alias("other"))
+    joined = first.join(second, F.col("case_id") == F.col("k"))
+    return joined.select("case_id", F.col("all").eqNullSafe(F.col("other")).alias("equal"))
 
 
 def stream_equals_batch(spark, folder):
