@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trainflow.catalog.tables import load
 from trainflow.llm import (
     decontaminate,
+    divergence,
     licenses,
     line_dedup,
     order_minhash,
@@ -184,6 +185,53 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(load(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), cells AS (
+    SELECT doc, lang, source, term, count(*) AS n
+    FROM (SELECT doc, lang, source, unnest(w) AS term FROM d) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n) AS n_lang FROM cells GROUP BY lang, term HAVING count(*) >= 30
+), groups AS (
+    SELECT DISTINCT lang, source FROM d
+), counts AS (
+    SELECT lang, source, term, sum(n) AS n FROM cells GROUP BY ALL
+), dense AS (
+    SELECT g.lang, g.source, k.term, k.n_lang, coalesce(c.n, 0)::HUGEINT AS n
+    FROM groups g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+    SELECT lang, source, term, n,
+           1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER s + 5 * count(*) OVER s) AS p,
+           1 + (1000000000::HUGEINT * (n_lang + 5)) // (sum(n_lang) OVER s + 5 * count(*) OVER s) AS q
+    FROM dense WINDOW s AS (PARTITION BY lang, source)
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    UNION ALL
+    SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    WHERE a.lang NOT IN (SELECT lang FROM kept)
+), items AS (
+    SELECT * FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+    SELECT lang, source, part, item, value::BIGINT AS value,
+           (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM items
+) WHERE part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
@@ -195,9 +243,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
