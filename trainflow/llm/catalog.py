@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
 from trainflow.llm import (
+    conversations,
     decontaminate,
     divergence,
     licenses,
@@ -185,6 +186,21 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = load(spark, folder, "conversations")
+    edits = conversations.edits(conversations.damaged(turns), "conv", "turn", "role", "text")
+    found = conversations.digests(edits)
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(F.col("report")[c], F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(load(spark, folder, "documents"))
 
@@ -243,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_source_divergence": op13_source_divergence,
 }
 
