@@ -16,6 +16,7 @@ from trainflow.llm import (
     divergence,
     licenses,
     line_dedup,
+    multi_index,
     order_minhash,
     packing,
     quality,
@@ -201,6 +202,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.nearest(load(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(load(spark, folder, "documents"))
 
@@ -260,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_nearest_vectors": op12_nearest_vectors,
     "op13_source_divergence": op13_source_divergence,
 }
 
