@@ -11,7 +11,8 @@ from trainflow.catalog.tables import load
 from trainflow.functions import largest_number, row_as_json
 from trainflow.operators import intervals
 from trainflow.plans import flow
-from trainflow.sources import landing, watermark
+from trainflow.sources import files, landing, watermark
+from trainflow.sources.ledger import Loads
 from trainflow.sources.watermark import LoadSpan
 from trainflow.spec import RunPaths
 from trainflow.streaming import stream_ingest as start_ingest
@@ -226,7 +227,44 @@ def stream_ingest_enveloped(spark, folder):
     return landing.read_store(spark, store)
 
 
+def restarted_stream(spark, folder):
+    """A stream whose checkpoint was lost: old files are not taken again, old rows stay, new files come."""
+    path, store, checkpoint = (new_folder(spark, n) for n in ("landing", "store", "stream"))
+    events = load(spark, folder, "events")
+    for part in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        events.where(part).select(_payload(F.lit(False))).write.mode("append").text(path)
+        start_ingest(spark, path, EVENT, store, checkpoint).awaitTermination()
+        files.delete(spark, checkpoint)
+    return landing.read_store(spark, store)
+
+
+def emptied_load(spark, folder):
+    """Two loads, of which one is repeated on a landing folder that holds nothing any more."""
+    paths, store = [new_folder(spark, "landing") for _ in range(2)], new_folder(spark, "store")
+    events = load(spark, folder, "events")
+    for name, part, path in zip("ab", (F.col("event_type") == "click", F.col("event_type") != "click"), paths, strict=True):
+        events.where(part).select(_payload(F.lit(False))).write.text(path)
+        landing.compact(spark, path, EVENT, store, name)
+    files.delete(spark, paths[0])
+    landing.compact(spark, paths[0], EVENT, store, "a")
+    return landing.read_store(spark, store)
+
+
+def load_ledger(spark, folder):
+    """What the ledger of a store says: one load a type of event, the errors cut off, one load repeated."""
+    store = new_folder(spark, "store")
+    events = load(spark, folder, "events")
+    for kind in ("click", "error", "purchase", "click"):
+        path = new_folder(spark, "landing")
+        events.where(F.col("event_type") == kind).select(_payload(F.col("event_type") == "error")).write.text(path)
+        landing.compact(spark, path, EVENT, store, kind)
+    return Loads(spark, store).report().select("name", "rows", "good")
+
+
 QUERIES = {
+    "restarted_stream": restarted_stream,
+    "emptied_load": emptied_load,
+    "load_ledger": load_ledger,
     "interval_spine_weeks": interval_spine_weeks,
     "interval_spine_years": interval_spine_years,
     "rows_per_week": rows_per_week,
@@ -315,4 +353,8 @@ ORACLES = {
         'Payload does not fit the record' AS error_msg FROM events WHERE event_type = 'error'""",
     "repeated_load": f"{_EVENTS} WHERE event_type <> 'error'",
     "mixed_store": _EVENTS,
+    "restarted_stream": _EVENTS,
+    "emptied_load": f"{_EVENTS} WHERE event_type <> 'click'",
+    "load_ledger": """SELECT event_type AS name, count(*) AS rows, count(*) FILTER (event_type <> 'error') AS good
+        FROM events WHERE event_type IN ('click', 'error', 'purchase') GROUP BY 1""",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trainflow.operators.quality import ERROR_COLUMN
-from trainflow.sources.tables import read_if_present, read_table, replace
+from trainflow.sources.ledger import Load, Loads
 
 CORRUPT = "_corrupt_record"
 PAYLOAD_OK = "payload_ok"
@@ -114,11 +113,19 @@ def bad_payloads(df: DataFrame) -> DataFrame:
     return df.where(~parsed()).select(F.col(CORRUPT).alias("payload"), ERROR_COLUMN)
 
 
-def stored(lines: DataFrame, record: T.StructType, store: str, load: str | None = None, enveloped: bool = False) -> None:
+def stored(
+    lines: DataFrame,
+    record: T.StructType,
+    store: str,
+    load: str | None = None,
+    enveloped: bool = False,
+    **source,
+) -> Load:
     """Write the elements of landing lines to a store, as one load.
 
-    A load with a name replaces what an earlier attempt of it left, so repeating it adds nothing.
-    ``enveloped`` elements hold the record in ``_source``; those without it are left out.
+    A load with a name replaces what an earlier attempt of it left, also if it now has no rows.
+    ``enveloped`` elements hold the record in ``_source``; those without it are left out. ``source`` is
+    what the store's ledger keeps of a stream's batch: ``stream``, ``batch`` and ``taken``.
     """
     refuse_names(record.fieldNames(), RESERVED)
     if enveloped:
@@ -127,8 +134,7 @@ def stored(lines: DataFrame, record: T.StructType, store: str, load: str | None
         flat = flat.select(*[F.col(ENVELOPE)[f.name].alias(f.name) for f in record.fields], CORRUPT, ERROR_COLUMN)
     else:
         flat = _flat(elements(lines), record)
-    named = flat.withColumns({PAYLOAD_OK: parsed(), LOAD: F.lit(load or uuid.uuid4().hex)})
-    replace(named, store, [LOAD])
+    return Loads(lines.sparkSession, store).write(flat.withColumn(PAYLOAD_OK, parsed()), PAYLOAD_OK, load, **source)
 
 
 def compact(spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None) -> None:
@@ -147,19 +153,26 @@ def compact_enveloped(
 
 
 def read_store(spark: SparkSession, store: str, record: T.StructType | None = None) -> DataFrame:
-    """Good records of a store; files of earlier runs may lack columns added since.
+    """Good records of a store's loads; files of earlier loads may lack columns added since.
 
     With the declared record no file is opened to learn the columns, and a store not yet written is empty.
     """
     if record is None:
-        rows = read_table(spark, store, merge=True)
-        return rows.where(PAYLOAD_OK).drop(*RESERVED)
-    if read_if_present(spark, store) is None:
-        return spark.createDataFrame([], record)
+        return _rows(spark, store).where(PAYLOAD_OK).drop(*RESERVED)
     schema = T.StructType([*record.fields, T.StructField(PAYLOAD_OK, T.BooleanType())])
-    return spark.read.schema(schema).parquet(store).where(PAYLOAD_OK).select(*record.fieldNames())
+    rows = Loads(spark, store).read(schema)
+    if rows is None:
+        return spark.createDataFrame([], record)
+    return rows.where(PAYLOAD_OK).select(*record.fieldNames())
+
+
+def _rows(spark: SparkSession, store: str) -> DataFrame:
+    rows = Loads(spark, store).read()
+    if rows is None:
+        raise LookupError(f"nothing was loaded into {store}")
+    return rows
 
 
 def read_quarantine(spark: SparkSession, store: str) -> DataFrame:
     """Payloads of a store that did not parse or fit, with the reason."""
-    return bad_payloads(read_table(spark, store, merge=True))
+    return bad_payloads(_rows(spark, store))
