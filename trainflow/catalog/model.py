@@ -283,6 +283,42 @@ def batch_score_inputs(spark, folder):
     return scored.unionByName(failed).unionByName(unread).groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def batch_score_types(spark, folder):
+    """Files of one input that hold keys, dates and texts in other types, and one whose types do not fit.
+
+    Every case with the kind of its file, and whether its prediction is that of the cases as one table.
+    """
+    model, paths = _case_model(spark, folder)
+    registry = ModelRegistry(spark, paths.registry, paths.saved_models)
+    rows, place = written(cases(spark, folder).drop("sparse_note"), "cases"), f"{paths.root}/input"
+    texts = {c: F.col(c).cast("string") for c in ("case_id", "opened_at")} | {"sent_at": F.col("sent_at").cast("timestamp")}
+    rows.where("outcome = 'Yes'").write.parquet(f"{place}/plain")
+    rows.where("outcome = 'No'").withColumns(texts).write.parquet(f"{place}/texts")
+    rows.where("outcome = 'N/A'").withColumn("channel", F.array("channel")).write.parquet(f"{place}/unfit")
+    report = scoring.score_files(spark, CASE_SPEC, registry, MODEL_KEY, [place], paths)
+    name = CASE_SPEC.predicted_target
+    kind = F.regexp_extract("source_file", "/input/([a-z]+)/", 1).alias("place")
+    found = spark.read.parquet(report.predictions).select(F.col("case_id").cast("long").alias("k"), kind, F.col(name).alias("other"))
+    one = scoring.predictions(model, rows, CASE_SPEC, CASE_SPEC.key)
+    scored = one.join(found, F.col("case_id") == F.col("k")).select("case_id", "place", F.col(name).eqNullSafe(F.col("other")).alias("equal"))
+    failed = spark.read.parquet(f"{paths.failed}/0").select("case_id", F.col("error_msg").alias("place"), F.lit(None).cast("boolean").alias("equal"))
+    return scored.unionByName(failed)
+
+
+def batch_score_absent_input(spark, folder):
+    """One input that is there and one that is not: what the report says, and how many rows were scored."""
+    _, paths = _case_model(spark, folder)
+    registry = ModelRegistry(spark, paths.registry, paths.saved_models)
+    here, gone = (f"{paths.root}/input/{n}" for n in ("here", "gone"))
+    cases(spark, folder).write.parquet(here)
+    report = scoring.score_files(spark, CASE_SPEC, registry, MODEL_KEY, [gone, here], paths)
+    rows = [(p.rpartition("/")[2], p in report.valid, len(report.invalid.get(p, []))) for p in (here, gone)]
+    judged = spark.createDataFrame(rows, "input string, valid boolean, n_missing int")
+    source = F.regexp_extract("source_file", "/input/([a-z]+)/", 1).alias("input")
+    counts = spark.read.parquet(report.predictions).groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"))
+    return judged.join(counts, "input", "left").select("input", "valid", "n_missing", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 def unlabelled_documents_scored(spark, folder):
     """Documents without a label, scored with the model of the labelled ones."""
     paths = _paths(spark)
@@ -378,6 +414,8 @@ QUERIES = {
     "saved_equals_fitted": saved_equals_fitted,
     "stream_equals_batch": stream_equals_batch,
     "batch_score_inputs": batch_score_inputs,
+    "batch_score_types": batch_score_types,
+    "batch_score_absent_input": batch_score_absent_input,
     "unlabelled_documents_scored": unlabelled_documents_scored,
 }
 
@@ -487,6 +525,10 @@ ORACLES = {
     "stream_equals_batch": "SELECT o_orderkey AS case_id, true AS equal FROM orders",
     "batch_score_inputs": f"""WITH {CASES} SELECT CASE outcome WHEN 'Yes' THEN 'good' WHEN 'No' THEN 'mixed'
             ELSE 'Missing columns: [''segment'']' END AS place, count(*) AS n_rows FROM cases GROUP BY 1 UNION ALL SELECT 'broken', 1""",
+    "batch_score_types": f"""WITH {CASES} SELECT case_id, CASE outcome WHEN 'Yes' THEN 'plain' WHEN 'No' THEN 'texts'
+            ELSE 'Unfit types: [''channel array<string>'']' END AS place, CASE WHEN outcome <> 'N/A' THEN true END AS equal FROM cases""",
+    "batch_score_absent_input": f"""WITH {CASES} SELECT 'here' AS input, true AS valid, 0 AS n_missing, count(*) AS n_rows FROM cases
+        UNION ALL SELECT 'gone', false, {len(CASE_SPEC.scoring_columns)}, 0""",
     "unlabelled_documents_scored": "SELECT doc_id, true AS known FROM documents ANTI JOIN labels USING (doc_id)",
     "batch_score_archive": """SELECT 'archive' AS place, o_orderkey AS id FROM orders
         UNION ALL SELECT 'failed', c_custkey FROM customer""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from pathlib import Path
 from urllib.parse import unquote, urlparse
@@ -38,6 +39,17 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(x.getPath().getName() for x in system.listStatus(at)) if system.exists(at) else []
 
 
+def literal(path: str) -> str:
+    """A path as Spark's readers take it that is not meant to hold wildcards."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def matches(spark: SparkSession, path: str) -> list[str]:
+    """Full paths that a path, which may hold wildcards, stands for; none if nothing is there."""
+    system, at = _system(spark, path)
+    return sorted(x.getPath().toString() for x in system.globStatus(at) or [])
+
+
 def files_below(spark: SparkSession, folder: str) -> list[str]:
     """Full paths of the files below a folder, sorted, but for hidden ones; none if it is absent."""
     system, at = _system(spark, folder)
@@ -75,10 +87,8 @@ def _write(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Renames a file or folder, with folders above the target made first; a target that is there is an error."""
+def _rename(spark: SparkSession, source: str, target: str) -> None:
     system, at = _system(spark, target)
-    system.mkdirs(at.getParent())
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         system.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
     )
@@ -86,6 +96,23 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     context.rename(spark._jvm.org.apache.hadoop.fs.Path(source), at, options)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file, with folders above the target made first; a target that is there is an error.
+
+    From one file system to another the file is copied under a hidden name, which then is renamed.
+    """
+    (here, file), (there, at) = _system(spark, source), _system(spark, target)
+    there.mkdirs(at.getParent())
+    if here.getUri().equals(there.getUri()):
+        _rename(spark, source, target)
+        return
+    draft = f"{target.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(here, file, there, _system(spark, draft)[1], False, conf)
+    _rename(spark, draft, target)
+    here.delete(file, False)
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a file that was not there, whole; False if somebody else did so first.
 
@@ -112,7 +139,7 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
         return False
     _write(spark, draft, text)
     try:
-        move(spark, draft, path)
+        _rename(spark, draft, path)
     except Py4JJavaError as error:
         delete(spark, draft)
         if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":

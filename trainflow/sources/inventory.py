@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-import pyarrow as pa
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from trainflow.sources import files
+
+#: Footers that the driver reads at once.
+FOOTERS = 32
+# Where Spark keeps its schema in a file, and what Parquet's reader says of broken files.
+SPARK_SCHEMA = "org.apache.spark.sql.parquet.row.metadata"
+BROKEN = ("is not a Parquet file", "can not read class org.apache.parquet", "corrupted file")
 
 
 def file_inventory(spark: SparkSession, folder: str | Sequence[str], extension: str | None = "csv") -> DataFrame:
@@ -23,62 +32,116 @@ def file_inventory(spark: SparkSession, folder: str | Sequence[str], extension:
     )
 
 
-def _footer(path: str) -> tuple[list[str] | None, str | None, str | None]:
-    """Columns, schema as text, and what is wrong with a Parquet file; its data are not read."""
+@dataclass(frozen=True)
+class Footer:
+    """What a Parquet file says of itself: its schema as text and, if Spark wrote it, as Spark's JSON; or
+    what is wrong with it."""
+
+    message: str | None
+    written: str | None
+    problem: str | None
+
+
+def _footer(spark: SparkSession, path: str) -> Footer:
+    """Reads a footer by the file system that Spark reads the file with.
+
+    Only a file that is no Parquet file, or whose footer is broken, is judged. A storage that does not
+    answer raises, as the file may be good.
+    """
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     try:
-        system, base = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-        schema = pq.read_schema(base, filesystem=system)
-        return schema.names, schema.to_string(show_schema_metadata=False, show_field_metadata=False), None
-    except (OSError, pa.ArrowException) as error:
-        return None, None, f"Unreadable: {type(error).__name__}"
-
-
-def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns, schemas, problems = zip(*map(_footer, batch.column(1).to_pylist()), strict=True) if len(batch) else ([],) * 3
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(columns, pa.list_(pa.string())),
-                pa.array(schemas, pa.string()),
-                pa.array(problems, pa.string()),
-            ],
-            names=["input", "path", "columns", "schema", "problem"],
-        )
-
-
-def _plain(path: Column) -> Column:
-    """A path without scheme and host."""
-    return F.regexp_replace(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"), "/+$", "")
-
-
-def check_files(spark: SparkSession, paths: Sequence[str], required: Sequence[str]) -> DataFrame:
+        file = parquet.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(path), conf)
+        reader = parquet.ParquetFileReader.open(file)
+        try:
+            found = reader.getFooter().getFileMetaData()
+            return Footer(found.getSchema().toString(), found.getKeyValueMetaData().get(SPARK_SCHEMA), None)
+        finally:
+            reader.close()
+    except Py4JJavaError as error:
+        said = str(error.java_exception.getMessage())
+        if not any(mark in said for mark in BROKEN):
+            raise
+        return Footer(None, None, f"Unreadable: {said.partition(': ')[0] if 'can not read' in said else 'no Parquet file'}")
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    """A type without what a file says of nulls and comments."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
+
+
+def _schemas(spark: SparkSession, footers: dict[str, Footer]) -> dict[str, T.StructType]:
+    """Spark's schema of each file. Files that Spark did not write are asked once for each kind of schema."""
+    found, known = {}, {}
+    for path, footer in footers.items():
+        if footer.problem is None:
+            kind = footer.written or footer.message
+            if kind not in known:
+                one = files.literal(path)
+                read = T.StructType.fromJson(json.loads(footer.written)) if footer.written else spark.read.parquet(one).schema
+                known[kind] = _nullable(read)
+            found[path] = known[kind]
+    return found
+
+
+def _inputs(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files of each input; of nested inputs a file belongs to the inner one."""
+    roots = {p: files.matches(spark, p) for p in dict.fromkeys(paths)}
+    owner: dict[str, tuple[int, str]] = {}
+    for given, found in roots.items():
+        for root in found:
+            for file in files.files_below(spark, root):
+                owner[file] = max(owner.get(file, (-1, given)), (len(root), given), key=lambda x: x[0])
+    owned: dict[str, list[str]] = {p: [] for p in roots}
+    for file, (_, given) in owner.items():
+        owned[given].append(file)
+    return owned
+
+
+def check_files(
+    spark: SparkSession, paths: Sequence[str], required: Sequence[str], types: Callable[[T.StructType], list[str]] | None = None
+) -> DataFrame:
     """``input, path, columns, schema, missing, reason`` of every file of the inputs; no reason: valid.
 
-    One listing and one job that reads all footers, however many files there are. A file that is no
-    Parquet file has a reason and no schema.
+    Footers are read on any path that Spark reads, ``FOOTERS`` at a time; data are not. ``schema`` is that
+    of Spark as JSON; ``types`` may name columns of it whose type will not do. A file that is no Parquet
+    file has a reason and no schema. An input that is absent, or a folder without files, has one row:
+    all columns are missing.
     """
-    listed = file_inventory(spark, list(paths), None).select("path")
-    parts = F.split(_plain(F.col("path")), "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    inputs = spark.createDataFrame([(p,) for p in paths], "input string").withColumn("folder", _plain(F.col("input")))
-    # Of nested inputs a file belongs to the inner one.
-    owned = listed.withColumn("folder", F.explode(above)).join(inputs, "folder")
-    owned = owned.groupBy("path").agg(F.max_by("input", F.length("folder")).alias("input")).select("input", "path")
-    schema = "input string, path string, columns array<string>, schema string, problem string"
-    checked = owned.mapInArrow(_footers, schema)
-    missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)).cast("array<string>"), F.col("columns")))
-    absent = F.concat(F.lit("Missing columns: ['"), F.array_join("missing", "', '"), F.lit("']"))
-    return checked.withColumn("missing", missing).withColumn(
-        "reason", F.coalesce("problem", F.when(F.size("missing") > 0, absent))
+    owned = _inputs(spark, paths)
+    every = [file for found in owned.values() for file in found]
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        footers = dict(zip(every, pool.map(lambda file: _footer(spark, file), every), strict=True))
+    schemas, rows = _schemas(spark, footers), []
+    for given, found in owned.items():
+        if not found:
+            reason = "No files" if files.matches(spark, given) else "Path does not exist"
+            rows.append((given, given, None, None, sorted(required), reason))
+        for file in found:
+            schema = schemas.get(file)
+            if schema is None:
+                rows.append((given, file, None, None, None, footers[file].problem))
+                continue
+            missing = sorted(set(required) - set(schema.names))
+            unfit = [] if missing or types is None else types(schema)
+            reason = f"Missing columns: {missing}" if missing else f"Unfit types: {unfit}" if unfit else None
+            rows.append((given, file, schema.names, schema.json(), missing, reason))
+    return spark.createDataFrame(
+        rows, "input string, path string, columns array<string>, schema string, missing array<string>, reason string"
     )
 
 
-def missing_by_input(files: DataFrame) -> dict[str, list[str]]:
-    """Columns that some file of each input lacks, and what is wrong with unreadable ones."""
-    wrong = F.coalesce("missing", F.array("problem"))
-    each = files.groupBy("input").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(wrong)))).alias("absent"))
+def missing_by_input(checked: DataFrame) -> dict[str, list[str]]:
+    """Columns that some file of each input lacks, and what is wrong with files that are no tables or do not fit."""
+    wrong = F.when(F.size("missing") > 0, F.col("missing")).when(F.col("reason").isNotNull(), F.array("reason"))
+    wrong = F.coalesce(wrong, F.array().cast("array<string>"))
+    each = checked.groupBy("input").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(wrong)))).alias("absent"))
     return {r["input"]: list(r["absent"]) for r in each.collect()}
 
 
