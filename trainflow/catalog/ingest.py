@@ -12,6 +12,7 @@ from trainflow.functions import largest_number, row_as_json
 from trainflow.operators import intervals
 from trainflow.plans import flow
 from trainflow.sources import files, landing, watermark
+from trainflow.sources.arrays import read_payloads
 from trainflow.sources.ledger import Loads
 from trainflow.sources.watermark import LoadSpan
 from trainflow.spec import RunPaths
@@ -198,6 +199,40 @@ def json_array_quarantine(spark, folder):
     return landing.read_quarantine(spark, store)
 
 
+def json_large_array(spark, folder):
+    """All events as one array in one line of one file, read in splits as files are that are larger than one task's share."""
+    path, store = new_folder(spark, "landing"), new_folder(spark, "store")
+    events = load(spark, folder, "events")
+    first = events.agg(F.min("event_id")).first()[0]
+    text = F.concat(F.when(F.col("event_id") == first, "[").otherwise(""), row_as_json("event_id", "event_type", "value"))
+    # Test data in one file: every record ends with a comma instead of a line feed, so the array is cut off.
+    events.coalesce(1).sortWithinPartitions("event_id").select(text).write.option("lineSep", ",").text(path)
+    landing.stored(read_payloads(spark, path, whole=0), EVENT, store)
+    return landing.read_store(spark, store, EVENT)
+
+
+def _cut_arrays(spark, folder):
+    """Lines that hold arrays of four events and end before the last one does."""
+    path = new_folder(spark, "landing")
+    events = load(spark, folder, "events").withColumn("text", row_as_json("event_id", "event_type", "value"))
+    line = events.groupBy(F.floor(F.col("event_id") / 4)).agg(F.sort_array(F.collect_list("text")).alias("t"))
+    line = line.select(F.concat(F.lit("["), F.concat_ws(" , ", "t")).alias("line"))
+    line.select(F.expr("left(line, length(line) - 2)")).write.text(path)
+    return path
+
+
+def json_cut_array(spark, folder):
+    """Elements before the end of cut-off arrays."""
+    store = new_folder(spark, "store")
+    landing.compact(spark, _cut_arrays(spark, folder), EVENT, store)
+    return landing.read_store(spark, store, EVENT)
+
+
+def json_cut_array_quarantine(spark, folder):
+    """What is left of the last elements of cut-off arrays, as it is written."""
+    return landing.bad_payloads(landing.scan_json(spark, _cut_arrays(spark, folder), EVENT))
+
+
 def repeated_load(spark, folder):
     """A load whose watermark was lost is repeated later, up to a later day, with more files."""
     paths = RunPaths(new_folder(spark, "workflow"), "run")
@@ -287,6 +322,9 @@ QUERIES = {
     "stream_ingest_enveloped": stream_ingest_enveloped,
     "json_array_salvage": json_array_salvage,
     "json_array_quarantine": json_array_quarantine,
+    "json_large_array": json_large_array,
+    "json_cut_array": json_cut_array,
+    "json_cut_array_quarantine": json_cut_array_quarantine,
     "repeated_load": repeated_load,
     "mixed_store": mixed_store,
 }
@@ -319,7 +357,15 @@ _EVENTS = "SELECT event_id, event_type, value FROM events"
 _BROKEN = """SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '","value":' || value
     AS payload, 'Payload is not valid JSON' AS error_msg FROM events WHERE event_type = 'error'"""
 
+_TEXTS = """texts AS (SELECT event_id, event_type, value, event_id // 4 AS line, '{"event_id":' || event_id ||
+    ',"event_type":"' || event_type || '","value":' || value || '}' AS text FROM events)"""
+
 ORACLES = {
+    "json_large_array": _EVENTS,
+    "json_cut_array": f"""WITH {_TEXTS} SELECT event_id, event_type, value FROM texts
+        WHERE text <> (SELECT max(text) FROM texts t WHERE t.line = texts.line)""",
+    "json_cut_array_quarantine": f"""WITH {_TEXTS} SELECT left(max(text), length(max(text)) - 2) AS payload,
+        'Payload is not valid JSON' AS error_msg FROM texts GROUP BY line""",
     "interval_spine_weeks": f"WITH {_WEEKS} SELECT * FROM spine",
     "interval_spine_years": f"WITH {_YEARS} SELECT * FROM spine",
     "rows_per_week": _per_window(_WEEKS, "events", "ts"),

@@ -50,15 +50,21 @@ def matches(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().toString() for x in system.globStatus(at) or [])
 
 
-def files_below(spark: SparkSession, folder: str) -> list[str]:
-    """Full paths of the files below a folder, sorted, but for hidden ones; none if it is absent."""
+def sizes_below(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Full paths and bytes of the files below a folder but for hidden ones; none if it is absent."""
     system, at = _system(spark, folder)
-    found, root = [], system.makeQualified(at).toString()
+    found, root = {}, system.makeQualified(at).toString()
     if system.exists(at):
         listed = system.listFiles(at, True)
         while listed.hasNext():
-            found.append(listed.next().getPath().toString())
-    return sorted(f for f in found if not any(part.startswith(("_", ".")) for part in f[len(root) :].split("/")))
+            file = listed.next()
+            found[file.getPath().toString()] = file.getLen()
+    return {f: n for f, n in found.items() if not any(part.startswith(("_", ".")) for part in f[len(root) :].split("/"))}
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    """Full paths of the files below a folder, sorted, but for hidden ones; none if it is absent."""
+    return sorted(sizes_below(spark, folder))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trainflow.operators.quality import ERROR_COLUMN
+from trainflow.sources.arrays import read_payloads
 from trainflow.sources.ledger import Load, Loads
 
 CORRUPT = "_corrupt_record"
@@ -34,28 +34,6 @@ def payload_schema(record: T.StructType) -> T.StructType:
     return T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of the files below a path, as ``value``; none if nothing is there."""
-    try:
-        return spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "value string")
-
-
-def elements(lines: DataFrame, text: str = "value") -> DataFrame:
-    """``payload``: the elements of every line. A line holds one object or an array of objects.
-
-    A line that is no valid array is one payload; blank lines and empty arrays have none.
-    """
-    trimmed = F.expr(f"trim(BOTH ' \t\r\n' FROM `{text}`)")
-    parts = F.from_json(trimmed, "array<string>")
-    array = trimmed.startswith("[") & F.try_parse_json(trimmed).isNotNull()
-    payloads = F.when(array, F.transform(parts, lambda x: F.coalesce(x, F.lit("null")))).otherwise(F.array(F.col(text)))
-    return lines.where(trimmed != "").select(F.explode(payloads).alias("payload"))
-
-
 def parse_json(df: DataFrame, text: str, record: T.StructType, output: str = "record") -> DataFrame:
     """JSON objects held in a column: adds a struct with the fields and ``_corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -68,7 +46,7 @@ def parsed(corrupt: Column | None = None) -> Column:
 
 def scan_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """Landing files element by element: the text as ``payload`` and what it parses to as ``record``."""
-    return parse_json(elements(read_lines(spark, path)), "payload", record)
+    return parse_json(read_payloads(spark, path), "payload", record)
 
 
 def _reason() -> Column:
@@ -96,7 +74,7 @@ def scan_json(spark: SparkSession, path: str, record: T.StructType | None = None
     """
     if record is None:
         return spark.read.json(path)
-    return _flat(elements(read_lines(spark, path)), record)
+    return _flat(read_payloads(spark, path), record)
 
 
 def unwrap(df: DataFrame, envelope: str = ENVELOPE) -> DataFrame:
@@ -114,14 +92,14 @@ def bad_payloads(df: DataFrame) -> DataFrame:
 
 
 def stored(
-    lines: DataFrame,
+    payloads: DataFrame,
     record: T.StructType,
     store: str,
     load: str | None = None,
     enveloped: bool = False,
     **source,
 ) -> Load:
-    """Write the elements of landing lines to a store, as one load.
+    """Write JSON payloads to a store, as one load.
 
     A load with a name replaces what an earlier attempt of it left, also if it now has no rows.
     ``enveloped`` elements hold the record in ``_source``; those without it are left out. ``source`` is
@@ -130,11 +108,11 @@ def stored(
     refuse_names(record.fieldNames(), RESERVED)
     if enveloped:
         envelope = T.StructType([T.StructField(ENVELOPE, record)])
-        flat = _flat(elements(lines), envelope).where(F.col(ENVELOPE).isNotNull() | ~parsed())
+        flat = _flat(payloads, envelope).where(F.col(ENVELOPE).isNotNull() | ~parsed())
         flat = flat.select(*[F.col(ENVELOPE)[f.name].alias(f.name) for f in record.fields], CORRUPT, ERROR_COLUMN)
     else:
-        flat = _flat(elements(lines), record)
-    return Loads(lines.sparkSession, store).write(flat.withColumn(PAYLOAD_OK, parsed()), PAYLOAD_OK, load, **source)
+        flat = _flat(payloads, record)
+    return Loads(payloads.sparkSession, store).write(flat.withColumn(PAYLOAD_OK, parsed()), PAYLOAD_OK, load, **source)
 
 
 def compact(spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None) -> None:
@@ -142,14 +120,14 @@ def compact(spark: SparkSession, landing: str, record: T.StructType, store: str,
 
     An absent or empty landing folder adds nothing.
     """
-    stored(read_lines(spark, landing), record, store, load)
+    stored(read_payloads(spark, landing), record, store, load)
 
 
 def compact_enveloped(
     spark: SparkSession, landing: str, record: T.StructType, store: str, load: str | None = None
 ) -> None:
     """Like :func:`compact` for ``{"_source": {..}}`` elements; elements without it are left out."""
-    stored(read_lines(spark, landing), record, store, load, enveloped=True)
+    stored(read_payloads(spark, landing), record, store, load, enveloped=True)
 
 
 def read_store(spark: SparkSession, store: str, record: T.StructType | None = None) -> DataFrame:
