@@ -20,6 +20,7 @@ from trainflow.catalog.tables import (
 from trainflow.operators import gate, metrics
 from trainflow.operators.metrics import METRIC_NAMES
 from trainflow.operators.splits import TEST, TRAIN, with_split
+from trainflow.operators.stages import FrequencyEncoderModel
 from trainflow.plans import features, flow, scoring, training
 from trainflow.plans.evaluation import EvaluationLog
 from trainflow.sources.registry import ModelRegistry
@@ -283,6 +284,62 @@ def batch_score_inputs(spark, folder):
     return scored.unionByName(failed).unionByName(unread).groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _document_model(spark, folder):
+    """A model of the labelled documents, whose counts of sources are taken as too many to broadcast."""
+    paths = _paths(spark)
+    flow.run_training(written(labelled_documents(spark, folder), "documents"), DOCUMENT_SPEC, paths, "documents", version=1)
+    model = ModelRegistry(spark, paths.registry, paths.saved_models).load_newest("documents")
+    for stage in model.stages:
+        if isinstance(stage, FrequencyEncoderModel):
+            stage.setSizes([[1 << 40, 1 << 40] for _ in stage.getInputCols()])
+    return model
+
+
+def stream_score_wide_frequency(spark, folder):
+    """Documents scored as a stream with a shuffled lookup of frequencies, beside one table: are they equal?"""
+    model = _document_model(spark, folder)
+    arriving, output, checkpoint = (new_folder(spark, n) for n in ("arriving", "scored", "stream"))
+    load(spark, folder, "documents").write.parquet(arriving)
+    stream = spark.readStream.schema(spark.read.parquet(arriving).schema).parquet(arriving)
+    start_scoring(model, stream, DOCUMENT_SPEC, output, checkpoint, ["doc_id"]).awaitTermination()
+    name = DOCUMENT_SPEC.predicted_target
+    streamed = scoring.read_scores(spark, output).select(F.col("doc_id").alias("k"), F.col(name).alias("b"))
+    batch = scoring.predictions(model, spark.read.parquet(arriving), DOCUMENT_SPEC, ["doc_id"])
+    joined = batch.join(streamed, F.col("doc_id") == F.col("k"), "full")
+    return joined.select(F.coalesce("doc_id", "k").alias("doc_id"), F.col(name).eqNullSafe(F.col("b")).alias("equal"))
+
+
+def scores_in_one_store(spark, folder):
+    """Old cases scored by a batch job that is repeated, new ones by a stream, into one store."""
+    model, _ = _case_model(spark, folder)
+    output, arriving, checkpoint = (new_folder(spark, n) for n in ("scored", "arriving", "stream"))
+    rows = written(cases(spark, folder), "cases")
+    for _ in range(2):
+        scoring.score_into(model, rows.where("outcome <> 'No'"), CASE_SPEC, output, "old", CASE_SPEC.key)
+    rows.where("outcome = 'No'").write.parquet(arriving)
+    stream = spark.readStream.schema(rows.schema).parquet(arriving)
+    start_scoring(model, stream, CASE_SPEC, output, checkpoint, CASE_SPEC.key).awaitTermination()
+    return scoring.read_scores(spark, output).groupBy("case_id").agg(F.count(F.lit(1)).alias("times"))
+
+
+def resumed_run(spark, folder):
+    """A run that broke off after its features were prepared, started again, beside one that went through:
+    is every case's prediction equal?"""
+    rows = written(cases(spark, folder), "cases")
+    whole, broken = _paths(spark), _paths(spark)
+    flow.run_training(rows, CASE_SPEC, whole, MODEL_KEY, version=1)
+    flow.TrainingRun(rows, CASE_SPEC, broken, MODEL_KEY, version=1).prepare()
+    flow.run_training(rows, CASE_SPEC, broken, MODEL_KEY, version=1)
+    name = CASE_SPEC.predicted_target
+
+    def scored(paths, column):
+        model = ModelRegistry(spark, paths.registry, paths.saved_models).load_newest(MODEL_KEY)
+        return scoring.predictions(model, rows, CASE_SPEC, CASE_SPEC.key).select(F.col("case_id").alias(column), F.col(name).alias(f"{column}_class"))
+
+    both = scored(whole, "case_id").join(scored(broken, "other"), F.col("case_id") == F.col("other"))
+    return both.select("case_id", F.col("case_id_class").eqNullSafe(F.col("other_class")).alias("equal"))
+
+
 def batch_score_types(spark, folder):
     """Files of one input that hold keys, dates and texts in other types, and one whose types do not fit.
 
@@ -414,6 +471,9 @@ QUERIES = {
     "saved_equals_fitted": saved_equals_fitted,
     "stream_equals_batch": stream_equals_batch,
     "batch_score_inputs": batch_score_inputs,
+    "stream_score_wide_frequency": stream_score_wide_frequency,
+    "scores_in_one_store": scores_in_one_store,
+    "resumed_run": resumed_run,
     "batch_score_types": batch_score_types,
     "batch_score_absent_input": batch_score_absent_input,
     "unlabelled_documents_scored": unlabelled_documents_scored,
@@ -525,6 +585,9 @@ ORACLES = {
     "stream_equals_batch": "SELECT o_orderkey AS case_id, true AS equal FROM orders",
     "batch_score_inputs": f"""WITH {CASES} SELECT CASE outcome WHEN 'Yes' THEN 'good' WHEN 'No' THEN 'mixed'
             ELSE 'Missing columns: [''segment'']' END AS place, count(*) AS n_rows FROM cases GROUP BY 1 UNION ALL SELECT 'broken', 1""",
+    "stream_score_wide_frequency": "SELECT doc_id, true AS equal FROM documents",
+    "scores_in_one_store": "SELECT o_orderkey AS case_id, 1::BIGINT AS times FROM orders",
+    "resumed_run": "SELECT o_orderkey AS case_id, true AS equal FROM orders",
     "batch_score_types": f"""WITH {CASES} SELECT case_id, CASE outcome WHEN 'Yes' THEN 'plain' WHEN 'No' THEN 'texts'
             ELSE 'Unfit types: [''channel array<string>'']' END AS place, CASE WHEN outcome <> 'N/A' THEN true END AS equal FROM cases""",
     "batch_score_absent_input": f"""WITH {CASES} SELECT 'here' AS input, true AS valid, 0 AS n_missing, count(*) AS n_rows FROM cases

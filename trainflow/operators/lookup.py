@@ -38,7 +38,8 @@ def table_size(table: DataFrame, *columns: str) -> TableSize:
     return TableSize(row["rows"], row["bytes"])
 
 
-def _hashable(df: DataFrame) -> list[Column]:
+def hashable(df: DataFrame) -> list[Column]:
+    """Columns that Spark can hash."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return [quoted(name) for name, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
 
@@ -76,7 +77,7 @@ def lookup(
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = F.broadcast(counts.where(F.col("n") * HOT_PARTS > F.lit(total)).select("__lk_hot"))
     # A salt is never a literal: the optimizer would fold that into a filter and shuffle by key alone.
-    spread = F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows), F.spark_partition_id()), F.lit(SALTS)).cast("int")
+    spread = F.lit(1) + F.pmod(F.xxhash64(*hashable(rows), F.spark_partition_id()), F.lit(SALTS)).cast("int")
     marked = keyed.join(hot, F.xxhash64("__lk_row") == F.col("__lk_hot"), "left")
     salt = F.when(F.col("__lk_hot").isNotNull() | F.col("__lk_row").isNull(), spread).otherwise(F.lit(0))
     salts = F.when(F.col("__lk_hot").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(SALTS)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -12,12 +13,14 @@ from trainflow.operators import history
 from trainflow.operators.gate import CHALLENGER, CHAMPION, decide, two_model_counts
 from trainflow.operators.metrics import confusion_counts
 from trainflow.operators.quality import quoted
+from trainflow.sources.files import NumberedLog
 from trainflow.sources.tables import append, read_if_present
 from trainflow.spec import FeatureSpec
 
 RECORD_KEY = ["run_id"]
 RECORD_VERSION = "created_timestamp"
 RECORD_DELETED = "deleted"
+RECORD_CHANGE = "change"
 
 
 @dataclass(frozen=True)
@@ -67,12 +70,15 @@ def evaluate(
 class EvaluationLog:
     """Evaluation records: insert, find, update and delete on an append-only table.
 
-    Nothing is rewritten; the newest version of a record counts, and a delete is a version too.
+    Nothing is rewritten; the newest version of a record counts, and a delete is a version too. An update
+    or delete counts once it is entered in the log of changes. Of two that were worked out from the
+    same state at a time one is refused, with :class:`Conflict`, and leaves nothing behind.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
+        self.changes = NumberedLog(spark, f"{self.path}/_changes")
 
     def insert(
         self,
@@ -82,7 +88,7 @@ class EvaluationLog:
         best_model_path: str | None = None,
         active: bool | None = None,
     ) -> None:
-        self._append(
+        row = (
             self.spark.range(1).select(
                 F.lit(run_id).alias("run_id"),
                 F.lit(verdict.accepted).alias("model_accepted"),
@@ -90,23 +96,37 @@ class EvaluationLog:
                 F.lit(trained_model_path).alias("trained_model_path"),
                 F.lit(best_model_path).cast("string").alias("best_model_path"),
                 F.lit(verdict.accepted if active is None else active).alias("active"),
-            ),
-            deleted=False,
+            )
         )
+        append(self._stamped(row, False), self.path)
 
-    def _append(self, records: DataFrame, deleted: bool) -> None:
-        stamped = records.withColumns({RECORD_VERSION: F.current_timestamp(), RECORD_DELETED: F.lit(deleted)})
-        append(stamped, self.path)
+    def _stamped(self, records: DataFrame, deleted: bool) -> DataFrame:
+        return records.withColumns({RECORD_VERSION: F.current_timestamp(), RECORD_DELETED: F.lit(deleted)})
+
+    def _change(self, records: DataFrame, deleted: bool, seen: int) -> None:
+        """Writes new versions of records that were read after the change ``seen``, and enters them."""
+        rows = uuid.uuid4().hex
+        self._stamped(records, deleted).write.parquet(f"{self.path}/_rows/{rows}")
+        self.changes.append({"rows": rows}, after=seen)
 
     def log(self) -> DataFrame | None:
-        return read_if_present(self.spark, self.path)
+        """All versions of all records, each with the number of the change that made it, or 0."""
+        log = read_if_present(self.spark, self.path)
+        if log is None:
+            return None
+        log = log.withColumn(RECORD_CHANGE, F.lit(0).cast("long"))
+        for entry in self.changes.entries():
+            rows = self.spark.read.schema(log.drop(RECORD_CHANGE).schema).parquet(f"{self.path}/_rows/{entry['rows']}")
+            log = log.unionByName(rows.withColumn(RECORD_CHANGE, F.lit(entry["number"]).cast("long")))
+        return log
 
     def records(self, query=None) -> DataFrame:
         """Current records, all or those that meet a condition."""
         log = self.log()
         if log is None:
             raise LookupError(f"no evaluation records at {self.path}")
-        return history.find(log, RECORD_KEY, RECORD_VERSION, RECORD_DELETED, F.lit(True) if query is None else query)
+        order = [RECORD_VERSION, RECORD_CHANGE]
+        return history.find(log, RECORD_KEY, order, RECORD_DELETED, F.lit(True) if query is None else query).drop(RECORD_CHANGE)
 
     def first(self, query=None):
         """One matching record, the oldest, or None."""
@@ -114,13 +134,15 @@ class EvaluationLog:
 
     def update(self, query, **changes) -> None:
         """Append a new version of each matching record with the changed fields."""
+        seen = self.changes.last()
         records = self.records(query).drop(RECORD_VERSION)
         kinds = {f.name: f.dataType for f in records.schema.fields}
-        self._append(records.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in changes.items()}), deleted=False)
+        self._change(records.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in changes.items()}), False, seen)
 
     def delete(self, query) -> None:
         """Append a delete mark for every matching record."""
-        self._append(self.records(query).drop(RECORD_VERSION), deleted=True)
+        seen = self.changes.last()
+        self._change(self.records(query).drop(RECORD_VERSION), True, seen)
 
     def delete_one(self, query) -> None:
         """Append a delete mark for the oldest matching record."""

@@ -168,12 +168,27 @@ def fit_and_store(
     Returns the whole model, and ``key, features, target, split`` of all rows.
     """
     profile = profile_features(rows.where(F.col(split) == train), spec)
+    store_inputs(rows, spec, profile, split, path)
+    return fit_stored(rows.sparkSession, spec, profile, split, train, path)
+
+
+def _stored_inputs(spec: FeatureSpec) -> list[str]:
+    return [WORD_COUNTS if c == f"tf_{spec.text}" else c for c in spec.vector_inputs]
+
+
+def store_inputs(rows: DataFrame, spec: FeatureSpec, profile: FeatureProfile, split: str, path: str) -> None:
+    """Stores the inputs of the vector of all rows."""
     first = PipelineModel(stages=learnt_stages(spec, profile))
-    text = f"tf_{spec.text}"
-    inputs = [WORD_COUNTS if c == text else c for c in spec.vector_inputs]
-    prepared = first.transform(rows).select(*map(quoted, [*spec.key, *inputs, spec.target, split]))
+    prepared = first.transform(rows).select(*map(quoted, [*spec.key, *_stored_inputs(spec), spec.target, split]))
     replace(prepared, path, [split])
-    stored = read_table(rows.sparkSession, path)
+
+
+def fit_stored(
+    spark: SparkSession, spec: FeatureSpec, profile: FeatureProfile, split: str, train: str, path: str
+) -> tuple[PipelineModel, DataFrame]:
+    """The whole model, from the profile and the stored inputs of the vector; raw rows are not read again."""
+    first = PipelineModel(stages=learnt_stages(spec, profile))
+    stored = read_table(spark, path)
     second = Pipeline(stages=vector_stages(spec)).fit(stored.where(F.col(split) == train))
     vectors = second.transform(stored).select(*map(quoted, [*spec.key, spec.features, spec.target, split]))
     return PipelineModel(stages=[*first.stages, *second.stages]), vectors

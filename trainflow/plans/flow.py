@@ -5,13 +5,15 @@ ingest -> validate -> prepare -> train -> evaluate -> register if accepted
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trainflow.operators.lookup import hashable
 from trainflow.operators.quality import (
     ACCEPTED_COLUMN,
     ERROR_COLUMN,
@@ -23,11 +25,12 @@ from trainflow.operators.quality import (
 )
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans.evaluation import EvaluationLog, Verdict, evaluate
-from trainflow.plans.features import fit_and_store
+from trainflow.plans.features import FeatureProfile, fit_and_store, fit_stored, profile_features, store_inputs
 from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_counts, split_metrics
+from trainflow.sources.files import NumberedLog, delete, exists
 from trainflow.sources.landing import compact, compact_enveloped, read_store, refuse_names
 from trainflow.sources.registry import ModelRegistry
-from trainflow.sources.tables import create, read_table
+from trainflow.sources.tables import create, read_table, replace
 from trainflow.sources.watermark import LoadSpan, record_load
 from trainflow.spec import MIN_F1_GAIN, UNKNOWN_TARGET_REASON, FeatureSpec, RunPaths
 from trainflow.workspace import released
@@ -63,17 +66,24 @@ def ingest(
     return read_store(spark, paths.feature_store, record)
 
 
-def validate(df: DataFrame, spec: FeatureSpec, paths: RunPaths) -> tuple[DataFrame, list[str]]:
+def validate(df: DataFrame, spec: FeatureSpec, paths: RunPaths, again: bool = False) -> tuple[DataFrame, list[str]]:
     """Drop poor columns, reject rows without target, mark the split: one pass for the counts, one to
-    write all rows, and one over the rejected columns alone."""
+    write all rows, and one over the rejected columns alone.
+
+    Tables that are there already are an error, unless they are to be written ``again``.
+    """
+    write = replace if again else create
     refuse_names(df.columns, (SPLIT, ACCEPTED_COLUMN, ERROR_COLUMN))
     unwanted = unwanted_columns(df, spec.max_missing_percent, spec.always_drop, keep=spec.key)
     kept, rejected = split_columns(df, unwanted, spec.key)
     check_required(kept, spec.required_columns)
     judged = with_verdict(kept, known_target(spec.target, spec.unknown_target), UNKNOWN_TARGET_REASON)
-    create(with_split(judged, spec.key, spec.test_percent, SPLIT), paths.validated, [ACCEPTED_COLUMN, SPLIT])
+    if again:
+        # Partitions of the attempt that broke off go too.
+        delete(df.sparkSession, paths.validated)
+    write(with_split(judged, spec.key, spec.test_percent, SPLIT), paths.validated, [ACCEPTED_COLUMN, SPLIT])
     if unwanted:
-        create(rejected, paths.rejected_columns)
+        write(rejected, paths.rejected_columns)
     return accepted(df.sparkSession, paths), unwanted
 
 
@@ -113,6 +123,119 @@ def train(
     return model, metrics, counts
 
 
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a table's columns and rows, in any order: one aggregation over it."""
+    row = F.xxhash64(*(F.coalesce(F.hash(c), F.lit(0)) for c in hashable(df)), *hashable(df))
+    found = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()
+    return hashlib.sha256(repr((df.schema.simpleString(), *found)).encode()).hexdigest()
+
+
+class TrainingRun:
+    """A training run, stage by stage. What a stage has found is entered in the run's log of stages when its
+    tables are complete, so a run that broke off is started again with the same id and does only the rest.
+
+    The log begins with a digest of the input and the settings; a run id belongs to one of them.
+    ``input_digest`` may name the input's version, if the caller knows it, to save a pass over the rows.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        spec: FeatureSpec,
+        paths: RunPaths,
+        model_key: str = "classifier",
+        min_gain: float = MIN_F1_GAIN,
+        min_f1: float | None = None,
+        version: int | None = None,
+        input_digest: str | None = None,
+    ):
+        self.spark, self.df, self.spec, self.paths = df.sparkSession, df, spec, paths
+        self.model_key, self.min_gain, self.min_f1, self.version = model_key, min_gain, min_f1, version
+        self.registry = ModelRegistry(self.spark, paths.registry, paths.saved_models)
+        self.log = NumberedLog(self.spark, paths.stages)
+        settings = repr((spec, model_key, min_gain, min_f1, version))
+        begun = {"stage": "begin", "digest": input_digest or fingerprint(df), "settings": settings}
+        entries = self.log.entries()
+        self.resumed = bool(entries)
+        if not entries:
+            # A folder of a run without a log is somebody else's.
+            if exists(self.spark, paths.validated):
+                raise FileExistsError(f"PATH_ALREADY_EXISTS: {paths.validated}")
+            self.log.append(begun, after=0)
+        elif {k: v for k, v in entries[0].items() if k != "number"} != begun:
+            raise ValueError(f"run {paths.run_id} was begun with another input, spec or setting")
+        self.done = {e["stage"]: e for e in entries}
+        self.last = entries[-1]["number"] if entries else 1
+
+    def _enter(self, stage: str, **found) -> dict:
+        self.last = self.log.append({"stage": stage, **found}, after=self.last)
+        self.done[stage] = found
+        return found
+
+    def validate(self) -> DataFrame:
+        """The accepted rows."""
+        if "validate" not in self.done:
+            rows, dropped = validate(self.df, self.spec, self.paths, again=self.resumed)
+            self._enter("validate", dropped=dropped)
+            return rows
+        return accepted(self.spark, self.paths)
+
+    def _profile(self) -> FeatureProfile:
+        found = self.done["prepare"]
+        counts = read_table(self.spark, self.paths.category_counts)
+        return FeatureProfile(counts, found["labels"], found["means"])
+
+    def prepare(self) -> tuple[PipelineModel, DataFrame]:
+        """The fitted features and the vectors of all rows."""
+        if "prepare" not in self.done:
+            rows = self.validate()
+            profile = profile_features(rows.where(F.col(SPLIT) == TRAIN), self.spec)
+            replace(profile.counts, self.paths.category_counts)
+            store_inputs(rows, self.spec, profile, SPLIT, self.paths.transformed)
+            self._enter("prepare", labels=profile.labels, means=profile.means)
+        return fit_stored(self.spark, self.spec, self._profile(), SPLIT, TRAIN, self.paths.transformed)
+
+    def train(self) -> tuple[PipelineModel, DataFrame]:
+        """The model and its confusion counts."""
+        if "train" not in self.done:
+            features, vectors = self.prepare()
+            model, metrics, counts = train(vectors, self.spec, features, self.paths)
+            replace(counts, self.paths.confusion)
+            self._enter("train", metrics=metrics)
+            return model, read_table(self.spark, self.paths.confusion)
+        return PipelineModel.load(self.paths.trained_model), read_table(self.spark, self.paths.confusion)
+
+    def evaluate(self) -> Verdict:
+        """The verdict on the model beside the newest one."""
+        if "evaluate" not in self.done:
+            model, counts = self.train()
+            best_path = self.registry.newest_path(self.model_key)
+            champion = self.registry.load_newest(self.model_key) if best_path else None
+            held_out = self.validate().where(F.col(SPLIT) == TEST)
+            own = counts.where(F.col(SPLIT) == TEST).drop(SPLIT)
+            verdict = evaluate(held_out, self.spec, model, champion, self.min_gain, self.min_f1, own)
+            EvaluationLog(self.spark, self.paths.evaluations).insert(self.paths.run_id, verdict, self.paths.trained_model, best_path)
+            self._enter("evaluate", verdict=asdict(verdict))
+        return Verdict(**self.done["evaluate"]["verdict"])
+
+    def register(self) -> None:
+        """Lists an accepted model, once."""
+        verdict = self.evaluate()
+        if "register" not in self.done:
+            listed = self.registry.versions(self.model_key).where(F.col("path") == self.paths.trained_model)
+            if verdict.accepted and listed.isEmpty():
+                self.registry.list_saved(self.paths.trained_model, self.model_key, verdict.f1_challenger, self.version)
+            self._enter("register")
+
+    def report(self) -> TrainingReport:
+        """All stages that are not done yet, and what the run did."""
+        with released(self.spark):
+            self.register()
+        verdict = self.evaluate()
+        path = self.paths.trained_model if verdict.accepted else None
+        return TrainingReport(self.paths.run_id, self.done["validate"]["dropped"], self.done["train"]["metrics"], verdict, path)
+
+
 def run_training(
     df: DataFrame,
     spec: FeatureSpec,
@@ -121,25 +244,11 @@ def run_training(
     min_gain: float = MIN_F1_GAIN,
     min_f1: float | None = None,
     version: int | None = None,
+    input_digest: str | None = None,
 ) -> TrainingReport:
     """All stages on one table. An accepted model becomes the newest version of ``model_key``.
 
-    What the run needs later is in its folders; its other tables are deleted when it ends.
+    What the run needs later is in its folders; its other tables are deleted when it ends. A run that broke
+    off goes on where it was, if it is started again with the same id, input and settings.
     """
-    spark = df.sparkSession
-    with released(spark):
-        rows, dropped = validate(df, spec, paths)
-        features, vectors = prepare(rows, spec, paths)
-        model, metrics, counts = train(vectors, spec, features, paths)
-
-        registry = ModelRegistry(spark, paths.registry, paths.saved_models)
-        best_path = registry.newest_path(model_key)
-        champion = registry.load_newest(model_key) if best_path else None
-        held_out = rows.where(F.col(SPLIT) == TEST)
-        own = counts.where(F.col(SPLIT) == TEST).drop(SPLIT)
-        verdict = evaluate(held_out, spec, model, champion, min_gain, min_f1, own)
-        EvaluationLog(spark, paths.evaluations).insert(paths.run_id, verdict, paths.trained_model, best_path)
-
-    if verdict.accepted:
-        registry.list_saved(paths.trained_model, model_key, verdict.f1_challenger, version)
-    return TrainingReport(paths.run_id, dropped, metrics, verdict, paths.trained_model if verdict.accepted else None)
+    return TrainingRun(df, spec, paths, model_key, min_gain, min_f1, version, input_digest).report()

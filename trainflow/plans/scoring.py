@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 from trainflow.operators.quality import ERROR_COLUMN, quoted
 from trainflow.sources.files import NumberedLog, exists, literal, matches, move
 from trainflow.sources.inventory import FOOTERS, check_files, missing_by_input
+from trainflow.sources.ledger import Load, Loads
 from trainflow.sources.registry import ModelRegistry
 from trainflow.sources.tables import replace
 from trainflow.spec import FeatureSpec, RunPaths
-from trainflow.workspace import written
+from trainflow.workspace import released, written
 
 SOURCE_FILE = "source_file"
 
@@ -35,6 +36,23 @@ def predictions(model: PipelineModel, df: DataFrame, spec: FeatureSpec, extra: S
     return score(model, df).select(*map(quoted, columns))
 
 
+def score_into(
+    model: PipelineModel, df: DataFrame, spec: FeatureSpec, output: str, name: str | None = None, extra: Sequence[str] = (), **source
+) -> Load:
+    """Adds predictions to a store of them, as one load. A load with a name replaces what an earlier attempt
+    of it left. Batch jobs and batches of streams may add to one store."""
+    with released(df.sparkSession):
+        return Loads(df.sparkSession, output).write(predictions(model, df, spec, extra), None, name, **source)
+
+
+def read_scores(spark: SparkSession, output: str) -> DataFrame:
+    """The predictions of all loads of a store."""
+    rows = Loads(spark, output).read()
+    if rows is None:
+        raise LookupError(f"nothing was scored into {output}")
+    return rows
+
+
 @dataclass(frozen=True)
 class ScoringReport:
     valid: list[str]

@@ -49,9 +49,10 @@ class Loads:
         fields = Load.__dataclass_fields__
         return {e["name"]: Load(**{k: v for k, v in e.items() if k in fields}) for e in self.log.entries()}
 
-    def write(self, rows: DataFrame, good: str, name: str | None = None, stream: str | None = None, batch: int | None = None,
+    def write(self, rows: DataFrame, good: str | None = None, name: str | None = None, stream: str | None = None, batch: int | None = None,
               taken: DataFrame | None = None) -> Load:
-        """Writes the rows as an attempt of a load and enters it; ``good`` is the column that marks good rows.
+        """Writes the rows as an attempt of a load and enters it; ``good`` is the column that marks good rows,
+        without which all are.
 
         ``taken`` are the files of a stream's batch: ``path, length, modified``.
         """
@@ -60,7 +61,7 @@ class Loads:
         folder = f"load={quote(name, safe='')}/attempt={attempt}"
         rows.write.parquet(f"{self.store}/{folder}")
         found = self.spark.read.schema(rows.schema).parquet(f"{self.store}/{folder}")
-        counts = found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(good)).alias("good")).first()
+        counts = found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(good) if good else F.lit(True)).alias("good")).first()
         files = None
         if taken is not None:
             taken.coalesce(1).write.parquet(f"{self.store}/_taken/{attempt}")

@@ -1,14 +1,15 @@
-"""Where the last load ended: a table with one row per run."""
+"""Where the last load ended: a log with one entry per run."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import dataclass, field
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from trainflow.sources.tables import append, read_if_present
+from trainflow.sources.files import NumberedLog
+
+COLUMNS = "from_date date, to_date date, data_file_path string, recorded_at timestamp"
 
 # Fixed value: no load starts before this day.
 EARLIEST = date(2023, 7, 10)
@@ -16,10 +17,11 @@ EARLIEST = date(2023, 7, 10)
 
 @dataclass(frozen=True)
 class LoadSpan:
-    """Half-open span ``start <= day < end`` of the next load."""
+    """Half-open span ``start <= day < end`` of the next load, and the last entry that it was planned after."""
 
     start: date
     end: date
+    after: int | None = field(default=None, compare=False)
 
     @property
     def empty(self) -> bool:
@@ -27,24 +29,26 @@ class LoadSpan:
 
 
 def record_load(spark: SparkSession, path: str, span: LoadSpan, data_path: str) -> None:
-    """Remember a finished load."""
-    row = spark.range(1).select(
-        F.lit(span.start).alias("from_date"),
-        F.lit(span.end).alias("to_date"),
-        F.lit(data_path).alias("data_file_path"),
-        F.current_timestamp().alias("recorded_at"),
-    )
-    append(row.coalesce(1), path)
+    """Remember a finished load. Raises :class:`Conflict` if another run recorded one since the span was planned."""
+    entry = {"from_date": str(span.start), "to_date": str(span.end), "data_file_path": data_path}
+    NumberedLog(spark, path).append(entry | {"recorded_at": datetime.now(timezone.utc).isoformat()}, span.after)
+
+
+def _ends(log: NumberedLog) -> tuple[date | None, int]:
+    entries = log.entries()
+    return max((date.fromisoformat(e["to_date"]) for e in entries), default=None), entries[-1]["number"] if entries else 0
 
 
 def loads(spark: SparkSession, path: str) -> DataFrame | None:
     """All recorded loads, or None before the first."""
-    return read_if_present(spark, path)
+    entries = NumberedLog(spark, path).entries()
+    days = ("from_date", "to_date")
+    rows = [(*(date.fromisoformat(e[d]) for d in days), e["data_file_path"], datetime.fromisoformat(e["recorded_at"])) for e in entries]
+    return spark.createDataFrame(rows, COLUMNS) if rows else None
 
 
 def last_end(spark: SparkSession, path: str) -> date | None:
-    table = loads(spark, path)
-    return table.agg(F.max("to_date")).first()[0] if table is not None else None
+    return _ends(NumberedLog(spark, path))[0]
 
 
 def next_span(
@@ -56,5 +60,5 @@ def next_span(
 ) -> LoadSpan:
     """Span of the next load: from the last end if there is one, else from ``start``, at the earliest
     ``earliest``; up to ``end``, today by default. An empty span means nothing to do."""
-    begin = last_end(spark, path) or max(start or earliest, earliest)
-    return LoadSpan(begin, end or date.today())
+    ended, number = _ends(NumberedLog(spark, path))
+    return LoadSpan(ended or max(start or earliest, earliest), end or date.today(), number)

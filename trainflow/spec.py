@@ -159,6 +159,18 @@ class RunPaths:
     def transformed(self) -> str:
         return self._in_run("transformed")
 
+    @property
+    def stages(self) -> str:
+        return self._in_run("stages")
+
+    @property
+    def category_counts(self) -> str:
+        return self._in_run("category_counts")
+
+    @property
+    def confusion(self) -> str:
+        return self._in_run("confusion")
+
     @property
     def label_indexer(self) -> str:
         return self._in_run("label_indexer")

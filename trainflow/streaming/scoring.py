@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from trainflow.plans.scoring import predictions
+from trainflow.plans.scoring import score_into
 from trainflow.spec import FeatureSpec
+from trainflow.streaming.ingest import stream_identity
 
 
 def stream_score(
@@ -20,15 +21,16 @@ def stream_score(
     checkpoint: str,
     extra: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Write predictions for the rows of a stream not scored before, then stop.
+    """Add predictions for the rows of a stream not scored before to a store of them, then stop.
 
-    All fitted stages work row by row, so nothing is kept between batches.
+    Each batch is scored as a table of its own, so every stage may do what it does for tables: counts
+    beyond the broadcast limit are joined by a shuffle that parts hot values. A batch is a load named by
+    the stream and its number, so a repeated batch replaces itself; ``read_scores`` gives each row once.
     """
-    return (
-        predictions(model, stream, spec, extra)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(output)
-    )
+
+    def add(rows: DataFrame, batch: int) -> None:
+        identity = stream_identity(rows.sparkSession, checkpoint)
+        score_into(model, rows, spec, output, f"stream-{identity}-{batch}", extra, stream=identity, batch=batch)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
