@@ -128,3 +128,32 @@ def test_frequent_segments_link_through_others(spark):
     line = "x" * 10 + "".join(chr(97 + i % 26) for i in range(200))
     rows = [(i, line[:i] + "#" + line[i + 1 :]) for i in range(200)]
     assert [r for r in result(spark, rows) if r[1]] == [(0, rows[0][1], 1, 0)]
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_keys_of_many_lines_are_parted(spark, monkeypatch, hot):
+    """Lines that share their beginning, end or middle, and near copies of some, with nearly every key hot."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rng = random.Random(hot)
+    word = lambda n: "".join(rng.choices("abc", k=n))
+    lines = []
+    for _ in range(60):
+        same, free = "2024-01-01 INFO request handler ", word(rng.choice([4, 12, 30, 70]))
+        lines += [rng.choice([same + free, free + same, free[:5] + same + free[5:], "a" * rng.randint(24, 60)])]
+    for line in rng.sample(lines, 40):
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(line))
+            line = rng.choice([line[:at] + "x" + line[at:], line[:at] + line[at + 1 :], line[:at] + "y" + line[at + 1 :]])
+        lines.append(line)
+    rows = [(i, line) for i, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r) for r in line_dedup.deduplicated(df).collect()), key=repr)
+    assert found == sorted(brute(rows), key=repr)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    names = ["__d", "__x", "__met", "__lost", "__lines", "__word", "__bit", "__bits", "__D_"]
+    df = spark.createDataFrame([(1, "a\nb", *["v"] * 8), (2, "a\nc", *["w"] * 8)], ["doc_id", "text", *names[:8]])
+    found = sorted(line_dedup.deduplicated(df).collect())
+    assert [r["text"] for r in found] == ["a\nb", "c"]
+    assert all(r[n] == ("v" if r["doc_id"] == 1 else "w") for r in found for n in names[:8])

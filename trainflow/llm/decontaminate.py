@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from trainflow.functions.names import free
 from trainflow.llm import words
 from trainflow.workspace import written
 
@@ -180,6 +181,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> D
     digest = F.sha2(F.col(text), 256)
     own = docs.select(digest.alias("h"), F.col(text).alias("t"))
     bad = contamination(own, items, "h", "t", **options).where("contaminated")
-    bad = bad.select(F.col("h").alias("__contaminated")).distinct()
-    marked = docs.withColumn("__digest", digest)
-    return marked.join(bad, F.col("__digest") == F.col("__contaminated"), "left_anti").drop("__digest")
+    own_digest, other = free(docs.columns, "__digest", "__contaminated")
+    bad = bad.select(F.col("h").alias(other)).distinct()
+    marked = docs.withColumn(own_digest, digest)
+    return marked.join(bad, F.col(own_digest) == F.col(other), "left_anti").drop(own_digest)

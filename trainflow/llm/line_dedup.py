@@ -4,15 +4,20 @@ Two lines within ``EDITS`` edits share, untouched, one of the ``EDITS`` + 1 segm
 one is cut into. So each line is listed under its segments, and looked up under those of its substrings
 that can be such a segment of a line of its own or a slightly smaller length, at the few starts that
 the edits before and after allow. Most keys occur once in all: keys are counted first, and only lines
-with a key that occurs again are joined. Pairs are verified with a banded bit-parallel edit distance,
-and lines linked by it, directly or through others, are one class. Copies are one line throughout.
+with a key that occurs again are joined. A key that very many lines share, as the beginning of log lines
+is, is parted by segments of what stands beside it, which near lines share as well. Pairs are verified
+with a banded bit-parallel edit distance, and lines linked by it, directly or through others, are one
+class. Copies are one line throughout.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trainflow.functions.names import free
 from trainflow.llm.components import components
 from trainflow.llm.sieve import sieved
 from trainflow.workspace import written
@@ -21,6 +26,8 @@ from trainflow.workspace import written
 #: shorter lines have to be equal.
 EDITS, LEAST_CHARS = 2, 24
 LAST_KEY = (1 << 63) - 1
+#: A key that more lines have is parted by what stands beside the segment, at most so many times.
+HOT, PARTINGS = 1_000, 4
 
 
 def _edge(number: int, less: int, segments: int) -> str:
@@ -44,19 +51,63 @@ def _cut(lines: DataFrame, edits: int) -> DataFrame:
     return lines.withColumns(ends).withColumns(first).withColumns(windows)
 
 
-def _keys(edits: int) -> Column:
-    """The keys a line is looked up under; it is listed under the first ``edits`` + 1 as well."""
-    segments = edits + 1
-    listed, others = [], []
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """Segment number, how much smaller the line that has it is, and the shift, of every key of a line; the
+    first ``edits`` + 1 are the line's own segments."""
+    segments, listed, others = edits + 1, [], []
     for less in range(segments):
         for i in range(1, segments + 1):
-            start, end = _edge(i - 1, less, segments), _edge(i, less, segments)
             left, right = i - 1, segments - i
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
-                part = f"substring(w{i}, {start} - s{i} + {shift + 2}, {end} - {start})"
-                key = f"xxhash64({i}, n - {less}, {part})"
-                (listed if less == shift == 0 else others).append(key)
-    return F.expr(f"array({', '.join(listed + others)})")
+                (listed if less == shift == 0 else others).append((i, less, shift))
+    return listed + others
+
+
+def _keys(edits: int) -> Column:
+    """The keys a line is looked up under; it is listed under the first ``edits`` + 1 as well."""
+    keys = []
+    for i, less, shift in _places(edits):
+        start, end = _edge(i - 1, less, edits + 1), _edge(i, less, edits + 1)
+        keys.append(f"xxhash64({i}, n - {less}, substring(w{i}, {start} - s{i} + {shift + 2}, {end} - {start}))")
+    return F.expr(f"array({', '.join(keys)})")
+
+
+def _rests(edits: int) -> Column:
+    """For each key, what of the line is to the right of the segment, for the last segment what is to its left."""
+    rests = []
+    for i, less, shift in _places(edits):
+        start, end = _edge(i - 1, less, edits + 1), _edge(i, less, edits + 1)
+        rests.append(f"substring(l, 1, {start} + {shift})" if i == edits + 1 else f"substring(l, {end} + {shift + 1})")
+    return F.expr(f"array({', '.join(rests)})")
+
+
+def _parted(texts: DataFrame, hot: DataFrame, edits: int, least: int) -> DataFrame:
+    """``h, g, key, own`` in place of the hot keys: lines within the edits that share a segment differ by no more
+    in what stands beside it, so they also share a segment of that. It is taken for the key, with the hot one,
+    as often as keys stay hot and enough of the line is left.
+    """
+    place = F.explode(F.arrays_zip(_keys(edits).alias("key"), _rests(edits).alias("l"))).alias("e")
+    rows = _cut(texts, edits).select("h", "g", place).select("h", "g", "e.key", "e.l")
+    rows = rows.join(hot, "key", "left_semi").withColumn("n", F.char_length("l"))
+    done = []
+    for _ in range(PARTINGS):
+        # Rests of two lines are of nearly equal length: a short one also meets those a little longer.
+        short = rows.where(F.col("n") < least + edits).select("h", "g", F.xxhash64(F.lit(0), "key").alias("key"), F.lit(True).alias("own"))
+        done.append(short)
+        entries = F.posexplode(F.arrays_zip(_keys(edits).alias("k"), _rests(edits).alias("r"))).alias("i", "e")
+        rows = _cut(rows.where(F.col("n") >= least), edits).select("h", "g", "key", entries)
+        rows = rows.select("h", "g", F.xxhash64("key", "e.k").alias("key"), (F.col("i") <= edits).alias("own"), F.col("e.r").alias("l"))
+        rows = written(rows.distinct(), "parted")
+        counts = rows.groupBy("key").agg(F.count_distinct("h", "g").alias("c"), F.max("own").alias("own")).where("c > 1 AND own")
+        counts = written(counts.select("key", "c"), "parted-keys")
+        done.append(rows.join(counts.where(F.col("c") <= HOT).select("key"), "key", "left_semi").select("h", "g", "key", "own"))
+        still = counts.where(F.col("c") > HOT).select("key")
+        if still.isEmpty():
+            break
+        rows = rows.join(still, "key", "left_semi").withColumn("n", F.char_length("l"))
+    else:
+        done.append(rows.select("h", "g", "key", "own"))
+    return reduce(DataFrame.unionByName, done)
 
 
 #: Frequent characters; an edit changes the counts of at most two of them, by one each.
@@ -159,19 +210,31 @@ def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -
     met = written(met.select("h", "g", "key", (F.col("i") <= edits).alias("own")).distinct(), "met")
     # Copies are gone; what is left are keys of different lines.
     shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own")).where("c > 1 AND own")
+    shared = written(shared, "shared")
     met = written(met.join(shared.select("key"), "key", "left_semi"), "segments")
     ends = written(met.select("h", "g").distinct(), "ends")
     texts = sieved(long, "h", ends.select("h"), "met").where("met").join(ends, ["h", "g"], "left_semi")
     texts = texts.groupBy("h", "g").agg(F.min("l").alias("l")).withColumn("n", F.char_length("l"))
     texts = written(texts.withColumns(_bag()), "lines")
     bag = [f"c{i}" for i in range(len(COUNTED))]
+    hot = written(shared.where(F.col("c") > HOT).select("key"), "hot")
+    parted = not hot.isEmpty()
+    if parted:
+        others = _parted(texts, hot, edits, least).groupBy("h", "g", "key").agg(F.max("own").alias("own"))
+        met = met.join(hot, "key", "left_anti").withColumn("any", F.lit(False)).unionByName(others.withColumn("any", F.lit(True)))
+    else:
+        met = met.withColumn("any", F.lit(False))
     named = written(met.join(texts.select("h", "g", "n", *bag), ["h", "g"]), "named")
     renamed = {"h": "h2", "g": "g2", "n": "n2"} | {c: f"other_{c}" for c in bag}
-    listed = named.where("own").drop("own").withColumnsRenamed(renamed)
-    # Of two lines of one length the one with the larger hash looks up the other.
+    listed = named.where("own").drop("own", "any").withColumnsRenamed(renamed)
+    # Of two lines of one length the one with the larger hash looks up the other; rests meet either way.
     before = "(n2 < n OR (n2 = n AND (h2 < h OR (h2 = h AND g2 < g))))"
     apart = " + ".join(f"abs({c} - other_{c})" for c in bag)
-    pairs = named.join(listed, "key").where(f"{before} AND {apart} <= {2 * edits}")
+    pairs = named.join(listed, "key").where(f"(any AND (h2 <> h OR g2 <> g) OR {before}) AND {apart} <= {2 * edits}")
+    if parted:
+        one, two = F.struct("h", "g"), F.struct(F.col("h2").alias("h"), F.col("g2").alias("g"))
+        pairs = pairs.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b")).distinct()
+        pairs = pairs.select("a.h", "a.g", F.col("b.h").alias("h2"), F.col("b.g").alias("g2"))
     pairs = written(pairs.select("h", "g", "h2", "g2").distinct(), "pairs")
     texts = texts.select("h", "g", "l")
     other = texts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("l").alias("l2"))
@@ -216,20 +279,21 @@ def deduplicated(
     Other columns stay as they are; columns with the names of ``counts`` are replaced. An empty table gives no rows.
     """
     lost = _losses(_identified(docs, key, text), edits, least)
+    own, hashed, met, gone, parts = free([*docs.columns, *counts], "__d", "__x", "__met", "__lost", "__lines")
     d = F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY))
     x = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.withColumns({"__d": d, "__x": x})
-    rows = sieved(rows, "__x", lost.select(F.col("x").alias("__x")), "__met")
-    lost = lost.select(F.col("d").alias("__d"), F.col("x").alias("__x"), F.col("lost").alias("__lost"))
-    some = rows.where("__met").join(lost, ["__d", "__x"], "left")
-    none = rows.where("NOT __met").withColumn("__lost", F.lit(None).cast("array<int>"))
-    every = some.unionByName(none).withColumn("__lines", F.split(text, "\n"))
-    places = F.sequence(F.lit(0), F.size("__lines") - 1)
-    kept = F.transform(F.array_except(places, F.col("__lost")), lambda i: F.get(F.col("__lines"), i))
+    rows = docs.withColumns({own: d, hashed: x})
+    rows = sieved(rows, hashed, lost.select(F.col("x").alias(hashed)), met)
+    lost = lost.select(F.col("d").alias(own), F.col("x").alias(hashed), F.col("lost").alias(gone))
+    some = rows.where(F.col(met)).join(lost, [own, hashed], "left")
+    none = rows.where(~F.col(met)).withColumn(gone, F.lit(None).cast("array<int>"))
+    every = some.unionByName(none).withColumn(parts, F.split(text, "\n"))
+    places = F.sequence(F.lit(0), F.size(parts) - 1)
+    kept = F.transform(F.array_except(places, F.col(gone)), lambda i: F.get(F.col(parts), i))
     return every.withColumns(
         {
-            text: F.when(F.col("__lost").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
-            counts[0]: F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
-            counts[1]: F.coalesce(F.size("__lost"), F.lit(0)).cast("long"),
+            text: F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
+            counts[0]: F.coalesce(F.size(parts), F.lit(0)).cast("long"),
+            counts[1]: F.coalesce(F.size(gone), F.lit(0)).cast("long"),
         }
     ).select(*[c for c in docs.columns if c not in counts], *counts)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trainflow.functions.names import free
+
 #: Bits for each key, and most bits: at most 2**20 words of 64 bits are ever broadcast.
 BITS_PER_KEY, MOST_BITS = 16, 1 << 26
 
@@ -20,17 +22,19 @@ def sieved(rows: DataFrame, column: str, keys: DataFrame, mark: str) -> DataFram
     while bits < min(wanted, MOST_BITS):
         bits *= 2
 
+    word, bit, bits_of = free([*rows.columns, *keys.columns, mark], "__word", "__bit", "__bits")
+
     def place() -> Column:
         return F.pmod(F.col(column), F.lit(bits))
 
-    bit = F.expr(f"cast(pmod({column}, 64) as int)")
+    at = F.expr(f"cast(pmod({column}, 64) as int)")
     words = (
-        keys.withColumn("__word", F.shiftright(place(), 6))
-        .withColumn("__bit", bit)
-        .groupBy("__word")
-        .agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__bits"))
+        keys.withColumn(word, F.shiftright(place(), 6))
+        .withColumn(bit, at)
+        .groupBy(word)
+        .agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias(bits_of))
     )
-    held = rows.withColumn("__word", F.shiftright(place(), 6)).withColumn("__bit", bit)
-    held = held.join(F.broadcast(words), "__word", "left")
-    there = F.coalesce(F.expr("(shiftright(__bits, __bit) & 1) = 1"), F.lit(False))
-    return held.withColumn(mark, there).drop("__word", "__bit", "__bits")
+    held = rows.withColumn(word, F.shiftright(place(), 6)).withColumn(bit, at)
+    held = held.join(F.broadcast(words), word, "left")
+    there = F.coalesce(F.expr(f"(shiftright({bits_of}, {bit}) & 1) = 1"), F.lit(False))
+    return held.withColumn(mark, there).drop(word, bit, bits_of)

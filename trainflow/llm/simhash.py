@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trainflow.functions.names import free
 from trainflow.llm.components import components
 from trainflow.llm.sieve import sieved
 from trainflow.operators.lookup import lookup
@@ -269,10 +270,11 @@ def one_of_each(
     counted = found.groupBy("k").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
     doubtful = counted.where((F.col("k") != F.col("c")) | (F.col("n") > 1))
     doubtful = written(doubtful.select("k.d", "k.x", (F.col("k") == F.col("c")).alias("stays")), "doubtful")
-    rows = docs.withColumns({"__d": d, "__x": x})
-    rows = sieved(rows, "__x", doubtful.select(F.col("x").alias("__x")), "__met")
-    gone = doubtful.where("NOT stays").select(F.col("d").alias("__d"), F.col("x").alias("__x"))
-    kept = rows.where("__met").join(gone, ["__d", "__x"], "left_anti")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    kept = kept.groupBy("__d", "__x").agg(F.first(row).alias("row")).select("row.*")
-    return rows.where("NOT __met").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(kept)
+    own, hashed, met, row = free(docs.columns, "__d", "__x", "__met", "__row")
+    rows = docs.withColumns({own: d, hashed: x})
+    rows = sieved(rows, hashed, doubtful.select(F.col("x").alias(hashed)), met)
+    gone = doubtful.where("NOT stays").select(F.col("d").alias(own), F.col("x").alias(hashed))
+    kept = rows.where(F.col(met)).join(gone, [own, hashed], "left_anti")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = kept.groupBy(own, hashed).agg(F.first(whole).alias(row)).select(f"{row}.*")
+    return rows.where(~F.col(met)).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(kept)
