@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainflow.catalog.tables import load
+from trainflow.functions.names import free
 from trainflow.llm import decontaminate, line_dedup, packing, quality, simhash
 from trainflow.llm.catalog import byte_bpe
 from trainflow.workspace import written
 
-
 #: Whole texts that a Python worker gets at once: they stay small beside an executor's heap.
 ROWS_AT_ONCE = 1_000
 
@@ -30,14 +30,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier gives a score of at least one half."""
     _small_batches(spark)
     machine = quality.train(docs, load(spark, sf_dir, "labels"))
-    return quality.scored(docs, machine, name="__score").where("__score >= 0.5").drop("__score")
+    (score,) = free(docs.columns, "__score")
+    return quality.scored(docs, machine, name=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document, or place, has as well or nearly so."""
-    kept = line_dedup.deduplicated(docs, counts=("__n_lines", "__n_removed"))
+    lines, removed = free(docs.columns, "__n_lines", "__n_removed")
+    kept = line_dedup.deduplicated(docs, counts=(lines, removed))
     size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    n_chars = F.when(F.col("__n_removed") > 0, size).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col(removed) > 0, size).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", n_chars).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
