@@ -14,8 +14,9 @@ from __spark_entry__ import SMALLEST, entry, oracle_sql, queries  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(SMALLEST).exists(), reason="test tables not present")
 
-# Whole training runs are tested on small frames in test_workflow.py.
-LONG = {"retrain_gate", "batch_score_archive"}
+# Whole training runs are tested on small frames in test_workflow.py, test_resume.py and test_inputs.py.
+LONG = {"retrain_gate", "batch_score_archive", "batch_score_types", "batch_score_absent_input", "resumed_run"}
+LONG |= {"scores_in_one_store", "stream_score_wide_frequency"}
 
 
 @pytest.fixture(scope="module")
