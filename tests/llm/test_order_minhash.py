@@ -38,13 +38,17 @@ def brute(text):
         digest -= (1 << 40) if digest >> 39 else 0
         occurrence = seen.get(digest, 0)
         seen[digest] = occurrence + 1
-        found.append((spark_hash((8, digest), (4, occurrence)) >> 24, i))
+        found.append((digest, occurrence, i))
     slots = {}
-    for h, i in sorted(found):
-        slots.setdefault(h >> 34, []).append((i, h))
+    for turn in range(-(-omh.THROWS // len(found))):
+        for digest, occurrence, i in found:
+            h = spark_hash((8, digest), (4, occurrence), (4, turn))
+            slots.setdefault(h >> 58, []).append((turn, h >> 34 & 0xFFFFFF, i))
     out = [None] * omh.SLOTS
-    for slot, members in slots.items():
-        pair = [(8, h) for _, h in sorted(members[:2])]
+    for slot, thrown in slots.items():
+        thrown.sort()
+        kept = thrown[:1] + [t for t in thrown if t[2] != thrown[0][2]][:1]
+        pair = [(8, slot << 34 | turn << 24 | rank) for turn, rank, _ in sorted(kept, key=lambda t: t[2])]
         out[slot + omh.SLOTS // 2] = (spark_hash(*pair) & 0xFFFF) - 0x8000
     return out
 
@@ -72,6 +76,20 @@ def test_likeness_follows_order_and_edits(spark):
     assert near[3] < 0.75  # the same words in another order
 
 
+@pytest.mark.parametrize("words", [20, 40, 65, 100, 130, 300, 1000])
+def test_order_shows_at_any_length(spark, words):
+    """Texts of different words with their halves swapped: pairs keep their order half of the time."""
+    rng = random.Random(words)
+    texts = [[f"w{x}" for x in rng.sample(range(100_000), words)] for _ in range(50)]
+    rows = [(" ".join(t), " ".join(t[words // 2 :] + t[: words // 2]), " ".join(t[:-1])) for t in texts]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    df = omh.signed(omh.signed(omh.signed(df, "a", "x"), "b", "y"), "c", "z")
+    near = df.select(omh.likeness(F.col("x"), F.col("y")).alias("s"), omh.likeness(F.col("x"), F.col("z")).alias("e"))
+    swapped, shorter = near.agg(F.avg("s"), F.avg("e")).first()
+    assert 0.35 < swapped < 0.6
+    assert shorter > 0.85
+
+
 def expected(rows):
     texts = {}
     for k, t in rows:

@@ -1,11 +1,13 @@
 """Document fingerprints that feel the order of words: Order MinHash, in DataFrame functions alone.
 
 The k-mers of a text are runs of ``K`` words; repeated ones are told apart by their occurrence number.
-Every numbered k-mer has a hash; its top bits choose one of ``SLOTS`` slots. A slot keeps its
-two smallest hashes, puts them back into text order and hashes that tuple; a slot with one k-mer hashes
-that alone, so texts of up to a few hundred words show less of their order (README). Moving, changing or
-reordering words changes the tuples that hold them, so the share of equal slots follows the edit
-distance, not only the words in common.
+Numbered k-mers are thrown into ``SLOTS`` slots in rounds, each with a hash of its own that gives a
+k-mer's slot and rank. A slot keeps the two k-mers that are first by round, then rank, puts them back into text order
+and hashes that tuple. Long texts fill all slots in the first round. Shorter ones are thrown until there are
+``THROWS`` throws; as an earlier round goes before, further rounds would change nothing in a slot that has its two, and
+texts of different lengths agree. Moving, changing or reordering words changes the tuples that hold them, so the share
+of equal slots follows the edit distance, not only the words in common, at any length. A text of one
+k-mer has no order: each slot hashes that alone.
 """
 
 from __future__ import annotations
@@ -19,9 +21,14 @@ from trainflow.workspace import written
 #: Words of a k-mer, and slots as bits of the hash; a slot's tuple has two k-mers.
 K, SLOT_BITS = 2, 6
 SLOTS = 1 << SLOT_BITS
-#: Lowest bits of a number that hold a place in the text; places are taken modulo their range.
-PLACE_BITS = 24
+#: Least number of throws: a slot is left without two of them once in 12 000 slots.
+THROWS = 768
+#: A throw is one number: slot, round (10 bits), rank, and in the lowest bits the place in the text,
+#: taken modulo their range.
+PLACE_BITS, RANK_BITS = 24, 24
 PLACES = (1 << PLACE_BITS) - 1
+RANKS = ((1 << RANK_BITS) - 1) << PLACE_BITS
+SLOT_MASK = -1 << (64 - SLOT_BITS)
 FIRST_KEY = -(1 << 63)
 
 
@@ -40,12 +47,12 @@ def _starts(array: str, bits: int) -> Column:
 
 
 def signed(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds ``SLOTS`` small numbers, null where a slot has no k-mer; equal texts have equal ones.
+    """Adds ``SLOTS`` small numbers, null where a slot has no k-mer, which is rare; equal texts have equal ones.
 
     A text of fewer than ``K`` words is one k-mer; null and empty texts are one empty k-mer.
     Each step is a column that the next one reads more than once, so that it is computed once.
     """
-    w, s, r, e, b, m = (_marked(x) for x in "wsrebm")
+    w, s, r, o, e, b, m = (_marked(x) for x in "wsroebm")
     trimmed = F.expr(f"trim(BOTH ' \t\n\r\f\x0b' FROM coalesce(`{text}`, ''))")
     df = df.withColumn(w, F.split(trimmed, "[ \t\n\r\f\x0b]+"))
 
@@ -59,33 +66,50 @@ def signed(df: DataFrame, text: str, name: str) -> DataFrame:
     def run(first: Column, j: Column) -> Column:
         return F.sequence(F.lit(0), F.coalesce(F.get(F.col(r), j + 1), F.size(s)) - first - 1)
 
-    def ranked(x: Column, occurrence: Column) -> Column:
-        digest = F.xxhash64(F.shiftright(x, PLACE_BITS), occurrence)
-        return F.coalesce(digest.bitwiseAND(~PLACES).bitwiseOR(x.bitwiseAND(PLACES)), F.lit(0).cast("long"))
+    def throws(round_: Column) -> Column:
+        def one(x: Column, occurrence: Column) -> Column:
+            digest = F.xxhash64(F.shiftright(x, PLACE_BITS), occurrence, round_)
+            rank = F.shiftright(digest, 64 - SLOT_BITS - RANK_BITS - PLACE_BITS).bitwiseAND(RANKS)
+            number = F.shiftleft(round_.cast("long"), PLACE_BITS + RANK_BITS)
+            mixed = digest.bitwiseAND(SLOT_MASK).bitwiseOR(number).bitwiseOR(rank)
+            return F.coalesce(mixed.bitwiseOR(x.bitwiseAND(PLACES)), F.lit(0).cast("long"))
 
-    occurrences = F.flatten(F.transform(F.col(r), run))
-    df = df.withColumn(e, F.sort_array(F.zip_with(s, occurrences, ranked)))
+        return F.zip_with(F.col(s), F.col(o), one)
+
+    df = df.withColumn(o, F.flatten(F.transform(F.col(r), run)))
+    last = F.floor((F.lit(THROWS - 1)) / F.size(s)).cast("int")
+    several = F.flatten(F.transform(F.sequence(F.lit(0), last), throws))
+    df = df.withColumn(e, F.sort_array(F.when(last == 0, throws(F.lit(0))).otherwise(several)))
     slot_shift = 64 - SLOT_BITS
     df = df.withColumn(b, _starts(e, slot_shift))
 
-    def slot(first: Column) -> Column:
-        one, two = F.get(F.col(e), first), F.get(F.col(e), first + 1)
-        same = F.shiftright(one, slot_shift).eqNullSafe(F.shiftright(two, slot_shift))
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(PLACES)
+
+    def slot(first: Column, j: Column) -> Column:
+        one, next_ = F.get(F.col(e), first), F.get(F.col(e), first + 1)
+        end = F.coalesce(F.get(F.col(b), j + 1), F.size(e))
+        # Only a later round can throw the same k-mer into the slot again.
+        other = F.filter(F.slice(F.col(e), first + 1, end - first), lambda x: place(x) != place(one))
+        two = F.when((first + 1 < end) & (place(next_) != place(one)), next_).otherwise(F.get(other, F.lit(0)))
+        return F.struct(one.alias("one"), two.alias("two"))
+
+    def entry(kept: Column) -> Column:
+        one, two = kept["one"], kept["two"]
         high = lambda x: F.shiftright(x, PLACE_BITS)
-        turned = two.bitwiseAND(PLACES) < one.bitwiseAND(PLACES)
         digest = (
-            F.when(~same, F.xxhash64(high(one)))
-            .when(turned, F.xxhash64(high(two), high(one)))
+            F.when(two.isNull(), F.xxhash64(high(one)))
+            .when(place(two) < place(one), F.xxhash64(high(two), high(one)))
             .otherwise(F.xxhash64(high(one), high(two)))
         )
         number = (digest.bitwiseAND(0xFFFF) - 0x8000).cast("smallint")
         return F.struct(F.shiftright(one, slot_shift).cast("int"), number)
 
-    df = df.withColumn(m, F.map_from_entries(F.transform(F.col(b), slot)))
+    df = df.withColumn(m, F.map_from_entries(F.transform(F.transform(F.col(b), slot), entry)))
     half = SLOTS // 2
     slots = F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), lambda c: F.try_element_at(F.col(m), c))
     df = df.withColumn(name, F.when(F.size(m) > 0, slots))
-    return df.drop(w, s, r, e, b, m)
+    return df.drop(w, s, r, o, e, b, m)
 
 
 def likeness(a: Column, b: Column) -> Column:
