@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trainflow.catalog.tables import CASE_SPEC, load
+from trainflow.catalog.tables import CASE_COLUMNS, CASE_SPEC, CASES, cases, load, per_column
 from trainflow.functions import path_version, to_timestamp
 from trainflow.operators import history
 from trainflow.plans.evaluation import EvaluationLog
 from trainflow.sources import inventory, tables
-from trainflow.workspace import new_folder
+from trainflow.sources.ledger import Loads
+from trainflow.sources.statistics import SKETCH, LoadStatistics
+from trainflow.workspace import new_folder, written
 
 ORDER = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 
@@ -172,6 +174,33 @@ def declared_schema(spark, folder):
     )
 
 
+def _case_loads(spark, folder):
+    """Case records in one load per outcome, one of which is loaded wrongly at first and then again."""
+    rows = written(cases(spark, folder), "cases")
+    store = new_folder(spark, "loads")
+    loads, kept = Loads(spark, store), LoadStatistics(spark, store)
+    for name, outcome in (("a", "Yes"), ("b", "No"), ("b", "N/A"), ("c", "No")):
+        loads.write(rows.where(F.col("outcome") == outcome), name=name)
+        kept.update()
+    return kept
+
+
+def profile_of_loads(spark, folder):
+    """The profile put together from the states of the loads; distinct values where they are counted exactly."""
+    return _case_loads(spark, folder).profile().select(
+        "column",
+        F.when(F.col("exact"), F.col("n_unique")).alias("n_unique"),
+        "n_missing",
+        F.round("missing_percentage", 6).alias("missing_percentage"),
+        "exact",
+    )
+
+
+def numbers_of_loads(spark, folder):
+    found = _case_loads(spark, folder).numbers()
+    return found.select("column", "n", *[F.round(c, 4).alias(c) for c in ("mean", "deviation")])
+
+
 QUERIES = {
     "parquet_append": parquet_append,
     "parquet_create": parquet_create,
@@ -189,6 +218,8 @@ QUERIES = {
     "newest_model_version": newest_model_version,
     "model_versions": model_versions,
     "declared_schema": declared_schema,
+    "profile_of_loads": profile_of_loads,
+    "numbers_of_loads": numbers_of_loads,
 }
 
 _ORDERS = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
@@ -226,4 +257,18 @@ ORACLES = {
         FROM events GROUP BY 1""",
     "declared_schema": """SELECT o_orderkey AS case_id, o_orderstatus AS outcome,
         floor(epoch(o_orderdate))::BIGINT AS opened_second FROM orders""",
+    "profile_of_loads": f"""WITH {CASES} SELECT "column", CASE WHEN n < {(1 << SKETCH) * 7 // 8} THEN n + (n_missing > 0)::INT END
+            AS n_unique, n_missing, missing_percentage, n < {(1 << SKETCH) * 7 // 8} AS exact FROM ("""
+    + per_column(
+        "SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n, count(*) - count({c}) AS n_missing, "
+        "round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 6) AS missing_percentage FROM cases",
+        CASE_COLUMNS,
+    )
+    + ")",
+    "numbers_of_loads": f"WITH {CASES} "
+    + per_column(
+        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}::DOUBLE), 4) AS mean, "
+        "round(stddev_samp({c}::DOUBLE), 4) AS deviation FROM cases",
+        ["case_id", "amount"],
+    ),
 }
