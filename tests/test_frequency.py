@@ -141,3 +141,49 @@ def test_names_of_the_table_do_not_clash(spark, monkeypatch):
         found = model.transform(df)
         assert found.columns == ["a.b", "value", "__text", "fe", "cnt"]
         assert sorted((r["value"], r.fe, r.cnt) for r in found.collect()) == [(5, 1.0, 1.0), (6, 1.0, 1.0), (7, 0.0, 1.0)]
+
+
+def _plain_modes(spark, df, columns):
+    return sorted(map(tuple, frequency.modes(df, columns).collect()))
+
+
+def _candidate_modes(df, columns):
+    return sorted(map(tuple, frequency.modes_by_candidates(df, columns).collect()))
+
+
+def test_modes_by_candidates_equal_modes(spark):
+    """Clear modes, ties, nearly unique and unique columns, nulls, long values and odd names."""
+    df = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'often' ELSE concat('v', id) END AS clear",
+        "CASE WHEN id IN (7, 9000) THEN 'twice' ELSE concat('v', id) END AS rare",
+        "CASE WHEN id IN (7, 9000) THEN 'b' WHEN id IN (8, 9001) THEN 'a' ELSE concat('v', id) END AS tie",
+        "id AS unique_id",
+        "CASE WHEN id % 2 = 0 THEN repeat(cast(id % 5 AS string), 5000) END AS `lo.ng`",
+        "cast(NULL AS string) AS nothing",
+        "id % 20 AS even_spread",
+    )
+    assert _candidate_modes(df, df.columns) == _plain_modes(spark, df, df.columns)
+    assert _candidate_modes(df.limit(0), df.columns) == [] == _candidate_modes(df, [])
+
+
+def test_candidates_are_only_a_hint(spark, monkeypatch):
+    """With a sketch far too small for the values the result is the same."""
+    monkeypatch.setattr(frequency, "CANDIDATES", 1)
+    monkeypatch.setattr(frequency, "TRACKED", 1)
+    monkeypatch.setattr(frequency, "GROUPS", 3)
+    df = spark.range(3_000).selectExpr("pmod(hash(id), 700) AS a", "least(id % 100, 97) AS b")
+    assert _candidate_modes(df, ["a", "b"]) == _plain_modes(spark, df, ["a", "b"])
+
+
+def test_a_clear_mode_counts_no_other_value(spark, monkeypatch):
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = df.collect()
+        return df
+
+    monkeypatch.setattr(frequency, "written", kept)
+    df = spark.range(50_000).selectExpr("CASE WHEN id % 4 = 0 THEN 'often' ELSE concat('v', id) END AS x")
+    assert _candidate_modes(df, ["x"]) == [("x", "often", 12_500)]
+    assert tables["mode-groups"] == []
+    assert len(tables["mode-candidates"]) <= frequency.GROUPS + frequency.CANDIDATES

@@ -12,6 +12,7 @@ from trainflow.workspace import written
 
 CATEGORIES = list(CASE_SPEC.categorical)
 REQUIRED = [*CASE_SPEC.required_columns, "narrative"]
+MODE_COLUMNS = ["priority", "segment", "channel", "sparse_note", "subject", "outcome", "case_id"]
 
 
 def _known():
@@ -59,6 +60,11 @@ def category_modes(spark, folder):
     return frequency.modes(cases(spark, folder), CATEGORIES)
 
 
+def modes_by_candidates(spark, folder):
+    """Modes of columns with few values and of some that are nearly unique."""
+    return frequency.modes_by_candidates(written(cases(spark, folder), "cases"), MODE_COLUMNS)
+
+
 def distinct_values(spark, folder):
     return frequency.distinct_values(cases(spark, folder), "segment")
 
@@ -111,6 +117,7 @@ QUERIES = {
     "category_frequency": category_frequency,
     "category_cardinality": category_cardinality,
     "category_modes": category_modes,
+    "modes_by_candidates": modes_by_candidates,
     "distinct_values": distinct_values,
     "class_distribution": class_distribution,
     "event_type_distribution": event_type_distribution,
@@ -150,6 +157,13 @@ ORACLES = {
     "category_modes": f"""WITH {CASES} SELECT "column", value, cnt FROM (
         SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY cnt DESC, value) AS place
         FROM ({_COUNTS}) WHERE value IS NOT NULL) WHERE place = 1""",
+    "modes_by_candidates": f"""WITH {CASES} SELECT "column", value, cnt FROM (
+        SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY cnt DESC, value) AS place FROM ("""
+    + per_column(
+        "SELECT '{c}' AS \"column\", {c}::VARCHAR AS value, count(*) AS cnt FROM cases WHERE {c} IS NOT NULL GROUP BY {c}",
+        MODE_COLUMNS,
+    )
+    + ")) WHERE place = 1",
     "distinct_values": f"WITH {CASES} SELECT DISTINCT segment FROM cases",
     "class_distribution": f"WITH {CASES} SELECT outcome, count(*) AS cnt FROM cases GROUP BY 1 ORDER BY 2 DESC, 1",
     "event_type_distribution": "SELECT event_type, count(*) AS cnt FROM events GROUP BY 1 ORDER BY 2 DESC, 1",

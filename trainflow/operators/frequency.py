@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from trainflow.operators.lookup import lookup
 from trainflow.operators.quality import quoted, value_rows
 from trainflow.operators.ranking import numbered
+from trainflow.workspace import written
+
+#: Frequent values that are named beforehand per column, items of the sketch that names them, and groups of the others.
+CANDIDATES, TRACKED, GROUPS = 16, 1024, 4096
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,6 +51,40 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def modes_by_candidates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The result of :func:`modes` without a shuffle of all values where a mode is clear.
+
+    A sketch names candidates by their hash. One more pass counts them exactly, and all other values only
+    in ``GROUPS`` groups of hashes: a value is not more frequent than its group. Values are counted one by one only in
+    groups that reach the best candidate, so the result is exact whatever the sketch names. A column without a clear
+    mode has all its groups counted, as in :func:`modes`. Reads ``df`` up to three times; write it first
+    if it is costly. Nulls do not count, a tie goes to the smaller value, a column without values has no row.
+    """
+    names = list(columns)
+    cells = value_rows(df, names).where(F.col("value").isNotNull()).withColumn("h", F.xxhash64("value"))
+    sketch = F.expr(f"approx_top_k(h, {CANDIDATES}, {TRACKED})")
+    # At most CANDIDATES numbers per column, whatever the number and the length of the values.
+    named = {r["column"]: [x["item"] for x in r["top"]] for r in cells.groupBy("column").agg(sketch.alias("top")).collect()}
+    if not named:
+        return cells.select("column", "value", F.lit(0).cast("long").alias("cnt"))
+    lists = F.create_map(*[x for c, top in named.items() for x in (F.lit(c), F.array(*map(F.lit, top)).cast("array<bigint>"))])
+    # A column without candidates is absent from the map only if it has no values.
+    is_candidate = F.array_contains(F.element_at(lists, F.col("column")), F.col("h"))
+    group = F.pmod("h", F.lit(GROUPS)).cast("int")
+    keyed = cells.select("column", F.when(is_candidate, F.col("value")).alias("value"), F.when(~is_candidate, group).alias("g"))
+    counts = written(keyed.groupBy("column", "value", "g").agg(F.count(F.lit(1)).alias("cnt")), "mode-candidates")
+    certain = counts.where(F.col("g").isNull()).select("column", "value", "cnt")
+    best = certain.groupBy("column").agg(F.max("cnt").alias("best"))
+    open_ = counts.where(F.col("g").isNotNull()).join(best, "column", "left")
+    open_ = written(open_.where(F.col("cnt") >= F.coalesce("best", F.lit(0))).select("column", "g"), "mode-groups")
+    if not open_.isEmpty():
+        others = cells.where(~is_candidate).withColumn("g", group).join(open_, ["column", "g"], "left_semi")
+        certain = certain.unionByName(others.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    first = F.min(F.struct((-F.col("cnt")).alias("less"), F.col("value").alias("value")))
+    found = certain.groupBy("column").agg(first.alias("first"))
+    return found.select("column", "first.value", (-F.col("first.less")).alias("cnt"))
+
+
 def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Modes as a dict; None for a column without any value."""
     found = {row["column"]: row["value"] for row in modes(df, columns).collect()}
