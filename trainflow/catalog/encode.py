@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, OneHotEncoder, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trainflow.catalog.prepare import digest
 from trainflow.catalog.tables import CASES, cases, load, per_column
 from trainflow.operators import frequency, text
-from trainflow.operators.stages import FrequencyEncoder
+from trainflow.operators.stages import FrequencyEncoder, WideIndexer
 from trainflow.spec import TEXT_SLOTS
 from trainflow.workspace import written
 
@@ -57,6 +57,16 @@ def one_hot_stage(spark, folder):
     return cells.where(F.col("bit") != 0).select("case_id", "slot")
 
 
+def wide_one_hot_stage(spark, folder):
+    """Subjects and case ids, as many as there are rows, indexed and as sparse vectors in Spark's own notation."""
+    df = written(cases(spark, folder).select("case_id", "subject"), "subjects")
+    index = WideIndexer(inputCols=["subject", "case_id"], outputCols=["si_subject", "si_case"]).fit(df)
+    model = PipelineModel(stages=[index, index.one_hot(spark, ["tf_subject", "tf_case"])])
+    found = model.transform(df)
+    indexes = [F.col(c).cast("long").alias(c) for c in ("si_subject", "si_case")]
+    return found.select("case_id", *indexes, *[F.col(c).cast("string").alias(c) for c in ("tf_subject", "tf_case")])
+
+
 def _frequency_encode(spark, folder, how):
     df = written(cases(spark, folder).select("case_id", "segment"), "segments")
     table = written(frequency.frequency_table(df, "segment", "segment_count"), "frequencies")
@@ -153,6 +163,7 @@ QUERIES = {
     "one_hot_long": one_hot_long,
     "string_indexer_stage": string_indexer_stage,
     "one_hot_stage": one_hot_stage,
+    "wide_one_hot_stage": wide_one_hot_stage,
     "frequency_encode_left": frequency_encode_left,
     "frequency_encode_inner": frequency_encode_inner,
     "frequency_encode_stage": frequency_encode_stage,
@@ -213,6 +224,15 @@ ORACLES = {
     + " ".join(f"LEFT JOIN {_ranks(c, 'cases')} {c}_rank ON {c}_rank.v = cases.{c}" for c in CATEGORIES),
     "one_hot_stage": f"""WITH {CASES}, r AS (SELECT * FROM {_ranks('segment', 'cases')})
         SELECT case_id, idx::INT AS slot FROM cases JOIN r ON v = segment""",
+    "wide_one_hot_stage": f"""WITH {CASES},
+        s AS (SELECT subject AS v, row_number() OVER (ORDER BY count(*) DESC, subject) - 1 AS i
+              FROM cases WHERE subject IS NOT NULL GROUP BY 1),
+        k AS (SELECT case_id AS v, row_number() OVER (ORDER BY count(*) DESC, case_id::VARCHAR) - 1 AS i FROM cases GROUP BY 1),
+        sizes AS (SELECT (SELECT count(*) FROM s) AS ns, (SELECT count(*) FROM k) AS nk)
+        SELECT case_id, coalesce(s.i, ns) AS si_subject, k.i AS si_case,
+            '(' || ns || ',[' || coalesce(s.i::VARCHAR, '') || '],[' || CASE WHEN s.i IS NULL THEN '' ELSE '1.0' END || '])' AS tf_subject,
+            '(' || nk || ',[' || k.i || '],[1.0])' AS tf_case
+        FROM cases CROSS JOIN sizes LEFT JOIN s ON s.v = subject JOIN k ON k.v = case_id""",
     "frequency_encode_left": f"""WITH {CASES}, {_SEGMENTS} SELECT case_id, cases.segment,
         coalesce(segment_count, 0) AS segment_count FROM cases LEFT JOIN freq ON freq.segment = cases.segment""",
     "frequency_encode_inner": f"""WITH {CASES}, {_SEGMENTS} SELECT case_id, cases.segment, segment_count

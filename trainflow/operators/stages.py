@@ -1,4 +1,4 @@
-"""Pipeline stages Spark ML does not have: elapsed days, mode imputation, frequency encoding."""
+"""Pipeline stages Spark ML does not have: elapsed days, mode imputation, frequency encoding, wide indexes."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainflow.functions import elapsed_days, to_timestamp
-from trainflow.operators.frequency import mode_values, value_counts
+from trainflow.operators.frequency import category_index, mode_values, value_counts
 from trainflow.operators.lookup import TableSize, lookup
 from trainflow.operators.quality import quoted
 from trainflow.workspace import new_folder
@@ -256,3 +257,50 @@ class _FrequencyWriter(DefaultParamsWriter):
 class _FrequencyReader(DefaultParamsReader):
     def load(self, path: str) -> FrequencyEncoderModel:
         return super().load(path).setTablePath(path + "/data")
+
+
+class WideIndexer(FrequencyEncoder):
+    """Index categories of any number: by count, then value, as Spark's ``StringIndexer`` does by default.
+
+    The labels are a table in the shared folder, numbered without sorting a column in one task; the driver
+    holds only their number. Null is no label. Values are compared as text.
+    """
+
+    def fit_counts(self, counts: DataFrame) -> "WideIndexerModel":
+        """Learn from value counts, ``column, value, cnt``, made before; other columns' are left out."""
+        own = counts.where(F.col("column").isin(self.getInputCols()))
+        ranked = category_index(own).select("column", "value", F.col("idx").alias("cnt"))
+        fitted = super().fit_counts(ranked)
+        model = WideIndexerModel(inputCols=self.getInputCols(), outputCols=self.getOutputCols())
+        return model.setTablePath(fitted.getTablePath()).setSizes(fitted.getSizes())
+
+
+class WideIndexerModel(FrequencyEncoderModel):
+    """Add the index of each value as a double; null and unseen values have the number of labels.
+
+    Rows find their index by :func:`trainflow.operators.lookup.lookup`: small tables are broadcast, beyond
+    that both sides are shuffled with hot keys salted. No row is lost.
+    """
+
+    def categories(self) -> dict[str, int]:
+        """Number of labels of each input column."""
+        return {c: size[0] for c, size in zip(self.getInputCols(), self.getSizes())}
+
+    def labels(self, spark) -> DataFrame:
+        """``column, value, idx``."""
+        return self.tables(spark).select("column", "value", F.col("cnt").alias("idx"))
+
+    def one_hot(self, spark, outputCols: Sequence[str]) -> OneHotEncoderModel:
+        """The stage that makes sparse vectors of the indexes, one slot per label; null and unseen
+        values have none. It is fitted on one row that holds the numbers of labels: no pass over the rows."""
+        kinds = ", ".join(f"`{c}` double" for c in self.getOutputCols())
+        row = spark.createDataFrame([tuple(float(n) for n in self.categories().values())], kinds)
+        return OneHotEncoder(inputCols=self.getOutputCols(), outputCols=list(outputCols), dropLast=True).fit(row)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        result = dataset
+        for c, out, size in zip(self.getInputCols(), self.getOutputCols(), self.getSizes()):
+            table = self.table(dataset.sparkSession, c)
+            joined = lookup(result, quoted(c).cast("string"), table, "value", {"cnt": out}, "left", TableSize(*size))
+            result = joined.withColumn(out, F.coalesce(quoted(out), F.lit(size[0])).cast("double"))
+        return result
