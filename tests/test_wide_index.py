@@ -73,3 +73,28 @@ def test_a_million_categories(spark):
         F.count_if(F.col("v").cast("string") == F.concat(F.lit("(1000000,["), F.col("i").cast("int"), F.lit("],[1.0])"))).alias("v"),
     ).first()
     assert (row.n, row.d, row["last"], row.hot, row.v) == (1_200_000, 1_000_000, 999_999.0, 200_001, 1_200_000)
+
+
+def test_the_driver_holds_no_name_of_a_slot(spark, tmp_path):
+    from trainflow.operators.stages import WideOneHot
+
+    df = frame(spark).withColumnRenamed("a.b", "a")
+    model = WideIndexer(inputCols=["a", "number"], outputCols=["ai", "n.i"]).fit(df)
+    model.setSizes([[2_000_000_000, 0], [4, 0]])
+    stage = model.one_hot(spark, ["av", "n.v"])
+    found = stage.transform(model.transform(df))
+    assert found.schema["av"].metadata == {"ml_attr": {"num_attrs": 2_000_000_000}}
+    row = found.where("id = 0").first()
+    assert (row.av.size, list(row.av.indices), list(row["n.v"].indices)) == (2_000_000_000, [0], [0])
+    stage.write().save(str(tmp_path / "s"))
+    loaded = WideOneHot.load(str(tmp_path / "s"))
+    assert rows_of(loaded.transform(model.transform(df)), "id", "av", "n.v") == rows_of(found, "id", "av", "n.v")
+
+
+def test_an_index_outside_of_the_labels_has_no_slot(spark):
+    from trainflow.operators.stages import WideOneHot
+
+    df = spark.createDataFrame([(0.0,), (2.0,), (3.0,), (-1.0,), (None,)], "i double")
+    found = WideOneHot(inputCols=["i"], outputCols=["v"], sizes=[3]).transform(df)
+    assert [list(r.v.indices) for r in found.collect()] == [[0], [2], [], [], []]
+    assert {r.v.size for r in found.collect()} == {3}

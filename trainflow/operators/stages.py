@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -16,8 +16,9 @@ from pyspark.ml.util import (
     MLReadable,
     MLWritable,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from trainflow.functions import elapsed_days, to_timestamp
 from trainflow.operators.frequency import category_index, mode_values, value_counts
@@ -290,12 +291,11 @@ class WideIndexerModel(FrequencyEncoderModel):
         """``column, value, idx``."""
         return self.tables(spark).select("column", "value", F.col("cnt").alias("idx"))
 
-    def one_hot(self, spark, outputCols: Sequence[str]) -> OneHotEncoderModel:
+    def one_hot(self, spark, outputCols: Sequence[str]) -> "WideOneHot":
         """The stage that makes sparse vectors of the indexes, one slot per label; null and unseen
-        values have none. It is fitted on one row that holds the numbers of labels: no pass over the rows."""
-        kinds = ", ".join(f"`{c}` double" for c in self.getOutputCols())
-        row = spark.createDataFrame([tuple(float(n) for n in self.categories().values())], kinds)
-        return OneHotEncoder(inputCols=self.getOutputCols(), outputCols=list(outputCols), dropLast=True).fit(row)
+        values have none. It needs the numbers of labels alone: no pass over the rows."""
+        sizes = list(self.categories().values())
+        return WideOneHot(inputCols=self.getOutputCols(), outputCols=list(outputCols), sizes=sizes)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         result = dataset
@@ -304,3 +304,52 @@ class WideIndexerModel(FrequencyEncoderModel):
             joined = lookup(result, quoted(c).cast("string"), table, "value", {"cnt": out}, "left", TableSize(*size))
             result = joined.withColumn(out, F.coalesce(quoted(out), F.lit(size[0])).cast("double"))
         return result
+
+
+class WideOneHot(Transformer, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+    """Sparse one-hot vectors of indexes of any number of labels; an index outside of them has no slot.
+
+    Spark's ``OneHotEncoder`` gives the same vectors, but names every slot in the column's metadata, which the
+    driver makes and holds. Here the metadata has the number of slots alone.
+    """
+
+    sizes = Param(Params._dummy(), "sizes", "number of labels of each input column", typeConverter=TypeConverters.toListInt)
+
+    @keyword_only
+    def __init__(
+        self,
+        *,
+        inputCols: Sequence[str] | None = None,
+        outputCols: Sequence[str] | None = None,
+        sizes: Sequence[int] | None = None,
+    ):
+        super().__init__()
+        self.setParams(**self._input_kwargs)
+
+    @keyword_only
+    def setParams(
+        self,
+        *,
+        inputCols: Sequence[str] | None = None,
+        outputCols: Sequence[str] | None = None,
+        sizes: Sequence[int] | None = None,
+    ):
+        return self._set(**self._input_kwargs)
+
+    def getSizes(self) -> list[int]:
+        return self.getOrDefault(self.sizes)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        columns = zip(self.getInputCols(), self.getOutputCols(), self.getSizes(), strict=True)
+        return dataset.withColumns({out: _slot_vector(quoted(c).cast("long"), size, out) for c, out, size in columns})
+
+
+def _slot_vector(index: Column, size: int, name: str) -> Column:
+    """The index as a sparse vector of ``size`` slots, with their number as metadata."""
+    inside = F.coalesce((index >= 0) & (index < size), F.lit(False))
+    # Written as the fields of a vector and read as one: no row goes through Python.
+    start = f'{{"v":{{"type":0,"size":{size},"indices":['
+    slot = F.concat(F.lit(start), index.cast("string"), F.lit('],"values":[1.0]}}'))
+    text = F.when(inside, slot).otherwise(F.lit(f'{start}],"values":[]}}}}'))
+    vector = F.from_json(text, StructType([StructField("v", VectorUDT())]))["v"]
+    return vector.alias(name, metadata={"ml_attr": {"num_attrs": size}})
