@@ -70,3 +70,24 @@ def test_numbers_in_texts(spark):
 def test_rows_as_json_leave_out_nulls(spark):
     df = spark.createDataFrame([(1, None, "ü\"")], "a int, b int, c string")
     assert df.select(row_as_json("a", "b", "c").alias("j")).first().j == '{"a":1,"c":"ü\\""}'
+
+
+def test_words_of_single_texts_are_counted_without_a_shuffle(spark):
+    rows = [(1, "b a b"), (2, "x"), (2, "x y"), (None, "a"), (None, "a a"), (3, None), (4, "")]
+    found = text.term_counts(spark.createDataFrame(rows, "k int, t string"), ["k"], "t")
+    wanted = {(1, "a"): 1, (1, "b"): 2, (2, "x"): 2, (2, "y"): 1, (None, "a"): 3}
+    assert {(r.k, r.term): r.tf for r in found.collect()} == wanted
+    single = text._counts_in_row(spark.createDataFrame(rows[:1], "k int, t string"), ["k"], "t")
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    assert {(r.term, r.tf) for r in single.collect()} == {("a", 1), ("b", 2)}
+
+
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_frequent_words_are_broadcast_and_the_others_looked_up(spark, documents, monkeypatch, most):
+    from trainflow.operators import lookup
+
+    counts = text.term_counts(documents, ["k"], "t")
+    frequencies = text.counted_frequency(counts)
+    wanted = sorted(map(tuple, text.tf_idf(counts, ["k"], frequencies, 5).collect()))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", most)
+    assert sorted(map(tuple, text.tf_idf(counts, ["k"], frequencies, 5).collect())) == wanted
