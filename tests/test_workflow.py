@@ -338,3 +338,25 @@ def test_saved_equals_fitted_sees_a_forest_that_changed(spark, monkeypatch):
 
     monkeypatch.setattr(ModelRegistry, "load_newest", changed)
     assert not catalog.saved_equals_fitted(spark, folder).where("NOT equal").isEmpty()
+
+
+def test_cases_are_joined_once_for_both_trainings(spark, monkeypatch):
+    from trainflow.catalog import model as catalog
+
+    asked = []
+
+    class Enough(Exception):
+        pass
+
+    def trained(df, *args, **kwargs):
+        asked.append(df)
+        if len(asked) == 2:
+            raise Enough
+
+    made = catalog.cases
+    reads = []
+    monkeypatch.setattr(catalog, "cases", lambda *a: reads.append(a) or made(*a))
+    monkeypatch.setattr(catalog.flow, "run_training", trained)
+    with pytest.raises(Enough):
+        catalog.retrain_gate(spark, "/root/testdata/sf0.001")
+    assert len(reads) == 1 and asked[0].count() == asked[1].count()
