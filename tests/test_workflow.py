@@ -340,6 +340,20 @@ def test_saved_equals_fitted_sees_a_forest_that_changed(spark, monkeypatch):
     assert not catalog.saved_equals_fitted(spark, folder).where("NOT equal").isEmpty()
 
 
+def test_the_forest_reads_parts_of_bounded_size(spark, monkeypatch):
+    from pyspark.ml.linalg import SparseVector
+
+    from trainflow.plans import training
+
+    rows = [(SparseVector(10, [i % 10], [1.0]), float(i % 2), "left out") for i in range(400)]
+    df = spark.createDataFrame(rows, [SPEC.features, SPEC.indexed_target, "other"]).coalesce(1)
+    assert training.forest_rows(df, SPEC).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(training, "PART_CELLS", 500)
+    parts = training.forest_rows(df, SPEC)
+    assert parts.columns == [SPEC.features, SPEC.indexed_target] and parts.count() == 400
+    assert max(map(len, parts.rdd.glom().collect())) * 10 <= 2 * 500
+
+
 def test_cases_are_joined_once_for_both_trainings(spark, monkeypatch):
     from trainflow.catalog import model as catalog
 

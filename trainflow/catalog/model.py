@@ -228,7 +228,7 @@ def saved_equals_fitted(spark, folder):
     fitted = features.fit_features(rows, CASE_SPEC)
     prepared = written(fitted.transform(rows), "prepared")
     labels = training.fit_labels(prepared, CASE_SPEC)
-    classifier = training.model_pipeline(CASE_SPEC, labels).fit(labels.transform(prepared))
+    classifier = training.fit_classifier(labels.transform(prepared), CASE_SPEC, labels)
     model = training.scoring_model(fitted, classifier)
     root = new_folder(spark, "model")
     labels.write().save(f"{root}/labels")
@@ -245,12 +245,16 @@ def _same_scores(fitted, loaded, rows):
 
     def scored(model):
         found = model.transform(rows)
-        vectors = {n: vector_to_array(n) for n in names[:2]}
+        # Of the many slots of a case only those that hold something: the same comparison, on much less.
+        slots = F.transform(vector_to_array(names[0]), lambda x, i: F.when(x != 0, F.struct(i.alias("i"), x.alias("x"))))
+        filled = F.struct(F.size(vector_to_array(names[0])).alias("n"), F.array_compact(slots).alias("slots"))
+        vectors = {names[0]: filled, names[1]: vector_to_array(names[1])}
         return found.withColumns(vectors).select("case_id", F.struct(*names).alias("all"))
 
     first = scored(fitted)
     second = scored(loaded).select(F.col("case_id").alias("k"), F.col("all").alias("other"))
-    joined = first.join(second, F.col("case_id") == F.col("k"))
+    # The stored rows are small, their scores are not: never broadcast by the size of the rows.
+    joined = first.hint("merge").join(second, F.col("case_id") == F.col("k"))
     return joined.select("case_id", F.col("all").eqNullSafe(F.col("other")).alias("equal"))
 
 

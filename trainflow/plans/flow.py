@@ -26,7 +26,7 @@ from trainflow.operators.quality import (
 from trainflow.operators.splits import TEST, TRAIN, with_split
 from trainflow.plans.evaluation import EvaluationLog, Verdict, evaluate
 from trainflow.plans.features import FeatureProfile, fit_and_store, fit_stored, profile_features, store_inputs
-from trainflow.plans.training import fit_labels, model_pipeline, scoring_model, split_counts, split_metrics
+from trainflow.plans.training import fit_classifier, fit_labels, scoring_model, split_counts, split_metrics
 from trainflow.sources.files import NumberedLog, delete, exists
 from trainflow.sources.landing import compact, compact_enveloped, read_store, refuse_names
 from trainflow.sources.registry import ModelRegistry
@@ -115,7 +115,7 @@ def train(
     train_part = vectors.where(F.col(SPLIT) == TRAIN)
     labels = fit_labels(train_part, spec)
     labels.write().overwrite().save(paths.label_indexer)
-    classifier = model_pipeline(spec, labels).fit(labels.transform(train_part))
+    classifier = fit_classifier(labels.transform(train_part), spec, labels)
     counts = split_counts(classifier.transform(vectors), spec, SPLIT)
     metrics = split_metrics(counts, labels.labels[0], SPLIT)
     model = scoring_model(features, classifier)
